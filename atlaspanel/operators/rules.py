@@ -130,7 +130,7 @@ def load_profile(df: DataFrame, code_col: str = "country_code", indicator_col: s
     return df.agg(
         F.count_distinct(F.col(indicator_col)).alias("indicators"),
         F.count_distinct(F.col(code_col)).alias("countries"),
-        F.count(F.lit(1)).alias("rows"),
+        F.count(F.lit(1)).alias("points"),
     )
 
 

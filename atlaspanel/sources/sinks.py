@@ -64,7 +64,7 @@ def backup_name(source: str, start_year: int, end_year: int) -> str:
 
 def load_row_count(df: DataFrame, table: str) -> DataFrame:
     """K6: ``SELECT COUNT(*)`` after a load, as a one-row frame (table, rows)."""
-    return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(table).alias("table_name"), "rows")
+    return df.agg(F.count(F.lit(1)).alias("loaded_rows")).select(F.lit(table).alias("table_name"), "loaded_rows")
 
 
 # --- landing writers (produce the payload files the readers S1-S5 consume) ----
