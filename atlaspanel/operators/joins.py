@@ -15,9 +15,19 @@ from pyspark.sql import functions as F
 DIMENSION_BROADCAST_MAX_ROWS = 100_000
 
 
+_CHECKED: dict = {}
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1).
+
+    The answer is remembered per (session, semantic plan, bound), so the same
+    dimension is counted once however many joins it feeds.
+    """
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> DataFrame:

@@ -57,13 +57,17 @@ def fact_panel(
 
     Output: ``country_code, country_name, year`` + ``columns`` in order.
     The dimension side is broadcast behind a row-count check; the sources are
-    joined on both keys, sharing the spine's hash partitioning.
+    joined on both keys. Pass ``spine=None`` to use the equivalent spine-free
+    plan (see ``outer_merge``), which reads every source once.
     """
     names = bounded_broadcast(
         dim.select(F.col("country_code").alias("__dim_code"), F.col("country_name").alias("__dim_name"))
     )
     trimmed = [s.drop("country_name") if "country_name" in s.columns else s for s in sources]
-    out = merge_sources_on_spine(spine.select(*keys), trimmed, keys)
+    if spine is None:
+        out = outer_merge(trimmed, keys)
+    else:
+        out = merge_sources_on_spine(spine.select(*keys), trimmed, keys)
     out = out.join(names, F.col("country_code") == F.col("__dim_code"), "left")
     return out.select(
         F.col("country_code"),
@@ -71,3 +75,15 @@ def fact_panel(
         F.col("year"),
         *[F.col(c) for c in columns],
     )
+
+
+def outer_merge(sources: list[DataFrame], keys: list[str] = KEYS) -> DataFrame:
+    """``DISTINCT keys of all sources`` LEFT JOIN each source, as FULL OUTER joins.
+
+    For every key k with a_k, b_k, ... rows in the sources (0 counting as one
+    all-NULL row) both forms return the product a_k * b_k * ... rows, so they
+    are equal; the outer form drops the spine's extra scan and aggregate of
+    each source (a source feeding both spine and join is otherwise computed
+    twice, since the pruned spine branch is not exchange-reusable).
+    """
+    return reduce(lambda a, b: a.join(b, on=keys, how="full"), sources)

@@ -15,6 +15,8 @@ from atlaspanel import dictionary as D
 from atlaspanel.operators import conform, marts
 from atlaspanel.plans import pipeline as P
 from atlaspanel.plans import standins as S
+from atlaspanel.plans.refresh import RefreshInputs
+from atlaspanel.plans.suites import SuiteParams
 from atlaspanel.session import configure
 
 A_CFG = P.SourceConfig(
@@ -55,6 +57,18 @@ C2_CFG = P.SourceConfig(
 
 FACT_COLUMNS = D.marts(S.STANDIN_DICTIONARY)
 
+# Check-suite parameters of the stand-in data: its own source names, year floor
+# and dimension domain (region names play the continents).
+STANDIN_SUITE = SuiteParams(
+    sources=("a", "b", "c1", "c2"),
+    year_checked_sources=("a", "b"),
+    raw_min_year=S.YEAR_LO,
+    fact_min_year=S.YEAR_LO,
+    continents=("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"),
+    staged=("a", "b", "imf"),
+    staged_with_name=("a", "b"),
+)
+
 
 class StandinPanel:
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -98,12 +112,8 @@ class StandinPanel:
         return P.validate_points(pts, cfg)
 
     def _source(self, which: str):
-        return {
-            "a": (A_CFG, self.points_a),
-            "b": (B_CFG, self.points_b),
-            "c1": (C1_CFG, self.points_c1),
-            "c2": (C2_CFG, self.points_c2),
-        }[which]
+        cfg = {"a": A_CFG, "b": B_CFG, "c1": C1_CFG, "c2": C2_CFG}[which]
+        return cfg, getattr(self, f"points_{which}")
 
     # raw wide tables
     def raw(self, which: str) -> DataFrame:
@@ -134,3 +144,18 @@ class StandinPanel:
 
     def latest_value(self, fact: DataFrame | None = None) -> DataFrame:
         return marts.latest_value(self.dim, fact if fact is not None else self.fact, FACT_COLUMNS)
+
+    def refresh_inputs(self) -> RefreshInputs:
+        return RefreshInputs(
+            seed=self.seed,
+            sources={
+                "a": (self.points_a, A_CFG),
+                "b": (self.points_b, B_CFG),
+                "c1": (self.points_c1, C1_CFG),
+                "c2": (self.points_c2, C2_CFG),
+            },
+            named=("a", "b"),
+            two_part=("c1", "c2"),
+            dictionary=S.STANDIN_DICTIONARY,
+            params=STANDIN_SUITE,
+        )

@@ -115,7 +115,9 @@ def stage_two_part_source(
 
 
 def build_panel(staged: list[DataFrame], dim: DataFrame, columns: list[str]) -> DataFrame:
-    """L2: spine of all (country, year) keys -> the fact table (J4 on U2)."""
+    """L2: all (country, year) keys of the staged sources -> the fact table.
+
+    J4 on U2's key set, planned as outer joins so each staged source is read
+    once (``spine.outer_merge``)."""
     keys = ["country_code", "year"]
-    the_spine = spine.spine_distinct(staged, keys)
-    return spine.fact_panel(the_spine, dim, staged, columns, keys)
+    return spine.fact_panel(None, dim, staged, columns, keys)

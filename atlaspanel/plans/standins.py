@@ -13,8 +13,6 @@ time from real sizes, and splits skewed partitions).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,21 +58,27 @@ WINDOW = (1990, 2026)  # half-open extraction window
 INCOME_LABELS = ("Low income", "Lower middle income", "Upper middle income", "High income")
 
 
-@dataclass
 class Tables:
-    region: DataFrame
-    nation: DataFrame
-    customer: DataFrame
-    supplier: DataFrame
-    part: DataFrame
-    orders: DataFrame
-    lineitem: DataFrame
-    events: DataFrame
+    """The test tables as lazy parquet scans, opened on first use.
+
+    Catalyst prunes columns and pushes filters into each scan per query.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in TABLES:
+            raise AttributeError(name)
+        if name not in self._frames:
+            self._frames[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._frames[name]
 
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Lazy parquet scans; Catalyst prunes columns and pushes filters per query."""
-    return Tables(**{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES})
+    return Tables(spark, sf_dir)
 
 
 def _nations(t: Tables) -> DataFrame:
