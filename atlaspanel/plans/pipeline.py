@@ -32,6 +32,7 @@ class SourceConfig:
     required: tuple = ("indicator",)
     map_labels: bool = False  # pivot keys arrive as descriptive labels
     order_col: str = "ingest_seq"
+    order_unique: bool = True  # False: ties in the order key resolve to the smallest value
     extra_rules: tuple = field(default=())
 
     @property
@@ -81,7 +82,9 @@ def raw_table(valid: DataFrame, cfg: SourceConfig) -> DataFrame:
     pts = valid
     if cfg.map_labels:
         pts = reshape.map_labels_to_codes(pts, D.label_map(cfg.dictionary), cfg.codes)
-    wide = reshape.pivot_indicators(pts, list(cfg.keys), cfg.codes, order_col=cfg.order_col)
+    wide = reshape.pivot_indicators(
+        pts, list(cfg.keys), cfg.codes, order_col=cfg.order_col, order_unique=cfg.order_unique
+    )
     return reshape.conform_columns(wide, list(cfg.keys), cfg.codes)
 
 

@@ -132,8 +132,10 @@ def points_a(t: Tables) -> DataFrame:
 
 
 def points_b(t: Tables) -> DataFrame:
-    """Source B (HDR-like) long points. (l_orderkey, l_linenumber) is not unique,
-    so the cell order key is the full tuple, which makes ties value-identical."""
+    """Source B (HDR-like) long points. The ingest order is
+    ``l_orderkey * 8 + l_linenumber`` (line numbers are 1..7); that pair is
+    not unique in the test data, so B is pivoted with ``order_unique=False``
+    (ties resolve to the smallest quantity)."""
     li = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
     )
@@ -147,7 +149,7 @@ def points_b(t: Tables) -> DataFrame:
             F.year("l_shipdate").alias("year"),
             F.concat_ws("_", "l_returnflag", "l_linestatus").alias("indicator"),
             F.col("l_quantity").alias("value"),
-            F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("ingest_seq"),
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ingest_seq"),
         )
     )
 
