@@ -1 +1,10 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+The system this engine re-implements has no streaming, watermark, windowed or
+stateful operator: every load is a batch full refresh of landed payloads, and
+incremental loading exists only as a stated future step. Adding a Structured
+Streaming path would be an operator the reference does not have, so none is
+registered here. The batch layers already cut lineage per layer
+(``plans.refresh``), which is what a future ``availableNow`` file-stream
+ingestion would reuse unchanged.
+"""
