@@ -30,7 +30,12 @@ def unpivot_years(
     years = years if years is not None else year_columns(df)
     if not years:
         raise ValueError("no year-named columns to unpivot")
-    typed = df.select(*id_columns, *[F.col(f"`{y}`").cast("double").alias(y) for y in years])
+    # numeric year columns unpivot as double; text payloads stay text so that
+    # validation (V5) can reject non-numbers instead of a cast failing
+    numeric = all(t in ("double", "float", "int", "bigint", "smallint", "tinyint") or t.startswith("decimal")
+                  for c, t in df.dtypes if c in years)
+    vtype = "double" if numeric else "string"
+    typed = df.select(*id_columns, *[F.col(f"`{y}`").cast(vtype).alias(y) for y in years])
     long = typed.unpivot(id_columns, years, year_col, value_col)
     return long.withColumn(year_col, F.col(year_col).cast("int"))
 

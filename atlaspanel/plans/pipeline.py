@@ -27,7 +27,8 @@ class SourceConfig:
     year_lo: int | None = None  # inclusive bounds of a valid point
     year_hi: int | None = None
     window: tuple | None = None  # half-open [start, end) extraction window
-    year_is_text: bool = False  # year arrives as text (kept as text in raw)
+    year_is_text: bool = False  # year arrives as text (validated with try_cast)
+    raw_year_text: bool = True  # for text years: keep normalised text in raw (else int)
     check_aggregates: bool = False  # reject aggregate codes (1C_..., ..ALLC..)
     required: tuple = ("indicator",)
     map_labels: bool = False  # pivot keys arrive as descriptive labels
@@ -70,7 +71,8 @@ def validate_points(points: DataFrame, cfg: SourceConfig):
     valid, rejects = rules.split_valid_rejects(points, point_rules(cfg))
     valid = valid.withColumn("value", rules.coerce_value("value"))
     if cfg.year_is_text:
-        valid = valid.withColumn("year", F.col("year").try_cast("int").cast("string"))
+        as_int = F.col("year").try_cast("int")
+        valid = valid.withColumn("year", as_int.cast("string") if cfg.raw_year_text else as_int)
     if cfg.window:
         y = F.col("year").cast("int") if cfg.year_is_text else F.col("year")
         valid = valid.filter((y >= F.lit(cfg.window[0])) & (y < F.lit(cfg.window[1])))

@@ -107,30 +107,39 @@ def read_point_records(spark: SparkSession, path: str, multi_line: bool = False)
     return spark.read.schema(POINT_RECORD_SCHEMA).option("multiLine", multi_line).json(path)
 
 
-def read_nested_map(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_nested_map(spark: SparkSession, path: str, multi_line: bool = False, ordered: bool = False) -> DataFrame:
     """``values[indicator][country][year] = value`` -> (country_code, indicator, year, value).
 
     Three generator steps; each output row is independent, so this stays a
     narrow, per-partition transformation.
     """
     raw = spark.read.schema(NESTED_MAP_SCHEMA).option("multiLine", multi_line).json(path)
-    by_indicator = raw.select(F.explode("values").alias("indicator", "countries"))
-    by_country = by_indicator.select("indicator", F.explode("countries").alias("country_code", "years"))
+    seq = []
+    if ordered:  # document order; entries of one document share it (map keys are unique)
+        raw = payload_order(raw, parquet=False)
+        seq = ["ingest_seq"]
+    by_indicator = raw.select(*seq, F.explode("values").alias("indicator", "countries"))
+    by_country = by_indicator.select(*seq, "indicator", F.explode("countries").alias("country_code", "years"))
     return by_country.select(
-        "country_code", "indicator", F.explode("years").alias("year", "value")
-    ).select("country_code", "indicator", "year", "value")
+        *seq, "country_code", "indicator", F.explode("years").alias("year", "value")
+    ).select("country_code", "indicator", "year", "value", *seq)
 
 
-def read_parallel_arrays(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_parallel_arrays(spark: SparkSession, path: str, multi_line: bool = False, ordered: bool = False) -> DataFrame:
     """Per document zip(period, value) -> (country_code, year, value).
 
     Like a zip over two lists, pairs stop at the shorter array: both arrays are
     sliced to the common length before ``arrays_zip`` (which would pad).
     """
     raw = spark.read.schema(PARALLEL_ARRAYS_SCHEMA).option("multiLine", multi_line).json(path)
-    docs = raw.select(F.explode("series.docs").alias("doc"))
+    seq = []
+    if ordered:  # document order; pairs of one document share it
+        raw = payload_order(raw, parquet=False)
+        seq = ["ingest_seq"]
+    docs = raw.select(*seq, F.explode("series.docs").alias("doc"))
     n = F.least(F.size("doc.period"), F.size("doc.value"))
     pairs = docs.filter(n > 0).select(
+        *seq,
         F.col("doc.dimensions.REF_AREA").alias("country_code"),
         F.inline(
             F.arrays_zip(
@@ -139,7 +148,7 @@ def read_parallel_arrays(spark: SparkSession, path: str, multi_line: bool = Fals
             )
         ),
     )
-    return pairs.select("country_code", F.col("period").alias("year"), "value")
+    return pairs.select("country_code", F.col("period").alias("year"), "value", *seq)
 
 
 def read_layer_table(spark: SparkSession, layer: str, name: str) -> DataFrame:
@@ -150,3 +159,34 @@ def read_layer_table(spark: SparkSession, layer: str, name: str) -> DataFrame:
 def head_sample(df: DataFrame, columns: list[str], order: list[str], n: int = 5) -> DataFrame:
     """``SELECT cols ... LIMIT n``, ordered by a key so the sample is deterministic."""
     return df.select(*columns).orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
+
+
+POSITION_BITS = 40  # rows per landed file addressable by the order key
+
+
+def payload_order(df: DataFrame, parquet: bool, col: str = "ingest_seq") -> DataFrame:
+    """Attach the payload row order as one ``long``: (file rank, row within file).
+
+    ``df`` must come straight from a file scan. Files are ranked by path (a
+    frame of one row per file, broadcast behind a size check); the row position
+    is ``_metadata.row_index`` for parquet and the row's position in its task
+    for text formats, which is exact when a file is read by one task
+    (multi-line JSON always is; small CSV files are). A primitive order key
+    keeps the pivot's aggregates hash-based.
+    """
+    from pyspark.sql.window import Window
+
+    from atlaspanel.operators.joins import bounded_broadcast
+
+    with_meta = df.withColumn("__file", F.col("_metadata.file_path"))
+    if parquet:
+        pos = F.col("_metadata.row_index")
+    else:
+        pos = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    with_meta = with_meta.withColumn("__pos", pos)
+    files = with_meta.select("__file").distinct()
+    ranked = files.withColumn("__rank", F.row_number().over(Window.orderBy("__file")).cast("long"))
+    out = with_meta.join(bounded_broadcast(ranked), "__file", "inner")
+    return out.withColumn(col, F.shiftleft(F.col("__rank"), POSITION_BITS) + F.col("__pos")).drop(
+        "__file", "__pos", "__rank"
+    )
