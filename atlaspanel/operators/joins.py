@@ -24,7 +24,7 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     The answer is remembered per (session, semantic plan, bound), so the same
     dimension is counted once however many joins it feeds.
     """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    key = (id(df.sparkSession), df.semanticHash(), tuple(df.dtypes), max_rows)
     if key not in _CHECKED:
         _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return _CHECKED[key]

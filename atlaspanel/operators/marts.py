@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from atlaspanel.operators.joins import bounded_broadcast
 
 
 def _country_base(dim: DataFrame) -> DataFrame:
@@ -18,10 +19,21 @@ def _country_base(dim: DataFrame) -> DataFrame:
 
 
 def dim_left_fact(dim: DataFrame, fact: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct (code, name) of the dimension LEFT JOIN the fact rows."""
+    """Distinct (code, name) of the dimension LEFT JOIN the fact rows.
+
+    Planned as (fact JOIN dimension) UNION ALL (dimension rows without facts):
+    the first part is a map-side join against the size-checked dimension, the
+    second an anti join against the fact's distinct codes (partially
+    aggregated). A plain left join would shuffle the fact on country_code as
+    the non-preserved side, where AQE cannot split a hot country.
+    """
     base = _country_base(dim)
     right = fact.select("country_code", "year", *columns)
-    return base.join(right, "country_code", "left")
+    matched = right.join(bounded_broadcast(base), "country_code", "inner")
+    unmatched = base.join(right.select("country_code").distinct(), "country_code", "left_anti")
+    nulls = [F.lit(None).cast(t).alias(c) for c, t in right.dtypes if c != "country_code"]
+    out_cols = ["country_code", "country_name", "year", *columns]
+    return matched.select(*out_cols).unionByName(unmatched.select("country_code", "country_name", *nulls).select(*out_cols))
 
 
 def peak_and_last_year(dim: DataFrame, fact: DataFrame, columns: list[str]) -> DataFrame:
