@@ -94,7 +94,7 @@ pts_b AS (
   SELECT {_iso3('s.s_nationkey')} AS country_code, n.n_name AS country_name,
          CAST(year(l.l_shipdate) AS INTEGER) AS year, concat_ws('_', l.l_returnflag, l.l_linestatus) AS indicator,
          l.l_quantity AS value,
-         l.l_orderkey * 8 + l.l_linenumber AS ingest_seq
+         (l.l_orderkey * 8 + l.l_linenumber) * 64 + CAST(l.l_quantity AS BIGINT) AS ingest_seq
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
 ),
 valid_b AS (
@@ -107,9 +107,7 @@ valid_b AS (
 raw_b AS (
   SELECT country_code, country_name, year,
     {_pivot_cells(S.STANDIN_B)}
-  FROM (SELECT country_code, country_name, year, indicator, ingest_seq, MIN(value) AS value
-        FROM valid_b WHERE value IS NOT NULL AND NOT isnan(value)
-        GROUP BY country_code, country_name, year, indicator, ingest_seq)
+  FROM valid_b WHERE value IS NOT NULL AND NOT isnan(value)
   GROUP BY country_code, country_name, year
 ),
 stg_b AS (

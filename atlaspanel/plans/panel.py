@@ -35,7 +35,6 @@ B_CFG = P.SourceConfig(
     year_hi=S.YEAR_HI,
     window=S.WINDOW,
     required=("country_name", "indicator"),
-    order_unique=False,
 )
 C1_CFG = P.SourceConfig(
     name="c1",

@@ -132,10 +132,14 @@ def points_a(t: Tables) -> DataFrame:
 
 
 def points_b(t: Tables) -> DataFrame:
-    """Source B (HDR-like) long points. The ingest order is
-    ``l_orderkey * 8 + l_linenumber`` (line numbers are 1..7); that pair is
-    not unique in the test data, so B is pivoted with ``order_unique=False``
-    (ties resolve to the smallest quantity)."""
+    """Source B (HDR-like) long points.
+
+    The ingest order is (l_orderkey, l_linenumber, l_quantity) packed into one
+    long: line numbers are 1..7 and quantities integers 1..50 (TPC-H), so
+    ``(l_orderkey * 8 + l_linenumber) * 64 + l_quantity`` is order-preserving.
+    (l_orderkey, l_linenumber) repeats in the test data; with the quantity in
+    the key, remaining ties carry identical values, so the pivot stays
+    deterministic without a tie-breaking aggregate."""
     li = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
     )
@@ -149,7 +153,7 @@ def points_b(t: Tables) -> DataFrame:
             F.year("l_shipdate").alias("year"),
             F.concat_ws("_", "l_returnflag", "l_linestatus").alias("indicator"),
             F.col("l_quantity").alias("value"),
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ingest_seq"),
+            ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 64 + F.col("l_quantity").cast("long")).alias("ingest_seq"),
         )
     )
 
