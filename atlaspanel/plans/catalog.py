@@ -367,6 +367,13 @@ def reject_summary(spark, sf_dir):
     return rules.reject_summary(rejects, source="a")
 
 
+def reject_sample(spark, sf_dir):
+    """The first five rejects of the faulted source in ingest order (the log sample)."""
+    _valid, rejects = _faulty_split(_panel(spark, sf_dir))
+    sample = rules.reject_sample(rejects, ["ingest_seq"], 5)
+    return sample.select("ingest_seq", F.array_join("errors", ",").alias("errors"))
+
+
 def load_profile(spark, sf_dir):
     """Distinct indicators, countries and rows of source A."""
     return rules.load_profile(_panel(spark, sf_dir).points_a)
@@ -742,7 +749,7 @@ QUERIES = {
         "unmapped_indicators", "conform_columns",
         "check_code_length", "check_year_range", "coerce_year_text", "check_required", "coerce_value",
         "reject_aggregates", "filter_year_window", "drop_null_values", "split_valid_rejects",
-        "reject_summary", "load_profile",
+        "reject_summary", "reject_sample", "load_profile",
         "conform_dimension", "dim_country", "rename_indicators", "cast_year", "not_null_filter",
         "compare_filter", "scale_value", "case_non_null",
         "join_dim_iso3", "join_dim_iso2", "merge_sources_on_spine", "fact_panel", "dim_left_fact",

@@ -375,6 +375,8 @@ def _select(name: str) -> str:
         "reject_summary": """SELECT 'a' AS source, error, count(*) AS rejects FROM (
                    SELECT unnest(string_split(errors, ',')) AS error FROM fa_checked WHERE errors <> '')
                    GROUP BY error""",
+        "reject_sample": """SELECT ingest_seq, errors FROM fa_checked WHERE errors <> ''
+                   ORDER BY ingest_seq LIMIT 5""",
         "load_profile": """SELECT count(DISTINCT indicator) AS indicators, count(DISTINCT country_code) AS countries,
                    count(*) AS points FROM pts_a""",
         # projection / filter
