@@ -69,17 +69,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     A cluster names it (a path every executor can reach). Only when it is
     unset, as in local tests, a private temporary folder is created and set.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    else:
+        configured = None
+    configured = configured or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="atlaspanel-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        if sc is None:
+            try:
+                spark.conf.set("spark.checkpoint.dir", configured)
+            except Exception:  # read-only on some deployments; the path is still returned
+                pass
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
