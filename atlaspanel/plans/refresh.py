@@ -74,8 +74,13 @@ def refresh_all(
     stop_on_fail: bool = True,
     fact_partition_by: list[str] | None = None,
     parallel_loads: int = 4,
+    backup_dir: str | None = None,
 ) -> DataFrame:
-    """Run the whole refresh; returns the quality report of every step."""
+    """Run the whole refresh; returns the quality report of every step.
+
+    ``backup_dir`` (a shared path) also exports every raw table as a header
+    CSV named with its year span (K3), read from the written table.
+    """
     p = inputs.params
     reports = []
 
@@ -92,6 +97,12 @@ def refresh_all(
         rules.require_rows(valid, name)
         sinks.replace_table(P.raw_table(valid, cfg), layers.raw, name)
         sinks.replace_table(rejects, layers.raw, f"{name}_rejects")
+        if backup_dir:
+            start, end = cfg.window or (0, 1)
+            sinks.export_csv_backup(
+                readers.read_layer_table(spark, layers.raw, name),
+                f"{backup_dir.rstrip('/')}/{sinks.backup_name(name, start, end)}",
+            )
         return name
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_loads)) as pool:

@@ -61,9 +61,13 @@ def test_query_matches_oracle(spark, name):
     assert _rows(df.columns, df.collect()) == _rows(ocols, cur.fetchall())
 
 
-def test_refresh_all_runs_every_layer(spark):
+def test_refresh_all_runs_every_layer(spark, tmp_path):
     p = PN.StandinPanel(spark, SF)
-    report = refresh_all(spark, p.refresh_inputs(), Layers("r_raw", "r_stg", "r_marts", "r_quality"))
+    backups = str(tmp_path / "backup")
+    report = refresh_all(spark, p.refresh_inputs(), Layers("r_raw", "r_stg", "r_marts", "r_quality"), backup_dir=backups)
+    assert sorted(os.listdir(backups)) == ["a_1990_2025", "b_1990_2025", "c1_1990_2025", "c2_1990_2025"]
+    back = spark.read.option("header", True).csv(os.path.join(backups, "a_1990_2025"))
+    assert back.count() == spark.table("r_raw.a").count()
     rows = report.collect()
     assert len(rows) == 113
     assert not [r for r in rows if r.outcome == "fail"]
