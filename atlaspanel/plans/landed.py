@@ -20,7 +20,7 @@ from atlaspanel import dictionary as D
 from atlaspanel.operators import reshape
 from atlaspanel.plans.pipeline import SourceConfig
 from atlaspanel.plans.refresh import RefreshInputs
-from atlaspanel.plans.suites import SuiteParams
+from atlaspanel.plans.suites import RAW_TABLES, SuiteParams
 from atlaspanel.sources import readers
 
 
@@ -105,9 +105,9 @@ def landed_refresh_inputs(
     }
     return RefreshInputs(
         seed=seed,
-        sources={k: (points[k], cfg[k]) for k in ("wb", "hdr", "weo", "fdi")},
-        named=("wb", "hdr"),
-        two_part=("weo", "fdi"),
+        sources={RAW_TABLES[k]: (points[k], cfg[k]) for k in ("wb", "hdr", "weo", "fdi")},
+        named=(RAW_TABLES["wb"], RAW_TABLES["hdr"]),
+        two_part=(RAW_TABLES["weo"], RAW_TABLES["fdi"]),
         dictionary=D.INDICATORS,
         params=SuiteParams(),
     )

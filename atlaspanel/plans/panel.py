@@ -61,6 +61,7 @@ FACT_COLUMNS = D.marts(S.STANDIN_DICTIONARY)
 # and dimension domain (region names play the continents).
 STANDIN_SUITE = SuiteParams(
     sources=("a", "b", "c1", "c2"),
+    source_ids=(),
     year_checked_sources=("a", "b"),
     raw_min_year=S.YEAR_LO,
     fact_min_year=S.YEAR_LO,
@@ -158,4 +159,5 @@ class StandinPanel:
             two_part=("c1", "c2"),
             dictionary=S.STANDIN_DICTIONARY,
             params=STANDIN_SUITE,
+            two_part_name="imf",
         )

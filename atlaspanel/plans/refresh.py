@@ -37,6 +37,7 @@ class RefreshInputs:
     two_part: tuple | None
     dictionary: tuple
     params: suites.SuiteParams = field(default_factory=suites.SuiteParams)
+    two_part_name: str = "imf_indicators"  # staged as stg_<two_part_name>
 
 
 @dataclass(frozen=True)
@@ -89,7 +90,7 @@ def refresh_all(
     # (as the reference ingests its sources in parallel); Spark interleaves
     # their stages on the free task slots.
     sinks.ensure_layer(spark, layers.raw)
-    sinks.replace_table(inputs.seed, layers.raw, "country_metadata")
+    sinks.replace_table(inputs.seed, layers.raw, suites.SEED_TABLE)
 
     def load(name: str) -> str:
         points, cfg = inputs.sources[name]
@@ -107,20 +108,20 @@ def refresh_all(
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_loads)) as pool:
         list(pool.map(load, list(inputs.sources)))
-    raw = {n: readers.read_layer_table(spark, layers.raw, n) for n in ["country_metadata", *inputs.sources]}
+    raw = {n: readers.read_layer_table(spark, layers.raw, n) for n in [suites.SEED_TABLE, *inputs.sources]}
 
     # 2. raw scan checks
     reports.append(_gate_table(_run_suite(raw, suites.raw_scan_checks(inputs.dictionary, p), "raw", {}), layers, "raw_checks", stop_on_fail))
 
     # 3. staging views (K4) over the raw tables
-    seed = raw["country_metadata"]
+    seed = raw[suites.SEED_TABLE]
     stg_dim = conform.conform_dimension(seed)
     staged = {"stg_country_metadata": stg_dim}
     for name in inputs.named:
         staged[f"stg_{name}"] = P.stage_named_source(raw[name], seed, inputs.sources[name][1])
     if inputs.two_part:
         weo, fdi = inputs.two_part
-        staged["stg_imf"] = P.stage_two_part_source(
+        staged[f"stg_{inputs.two_part_name}"] = P.stage_two_part_source(
             raw[weo], raw[fdi], seed, inputs.sources[weo][1], inputs.sources[fdi][1]
         )
     for view, df in staged.items():
@@ -129,15 +130,15 @@ def refresh_all(
     # 4. marts (K5)
     columns = [i.mart for i in inputs.dictionary]
     dim = conform.dim_country(stg_dim)
-    sinks.publish_table(dim, layers.marts, "dim_country")
-    dim_t = readers.read_layer_table(spark, layers.marts, "dim_country")
+    sinks.publish_table(dim, layers.marts, suites.DIM_TABLE)
+    dim_t = readers.read_layer_table(spark, layers.marts, suites.DIM_TABLE)
     stage_frames = [df for v, df in staged.items() if v != "stg_country_metadata"]
     fact = P.build_panel(stage_frames, dim_t, columns)
-    sinks.publish_table(fact, layers.marts, "fact", partition_by=fact_partition_by)
-    fact_t = readers.read_layer_table(spark, layers.marts, "fact").select(*fact.columns)
-    sinks.publish_table(marts.peak_and_last_year(dim_t, fact_t, columns), layers.marts, "mart")
-    mart_t = readers.read_layer_table(spark, layers.marts, "mart")
-    mart_frames = {"dim_country": dim_t, "fact": fact_t, "mart": mart_t}
+    sinks.publish_table(fact, layers.marts, suites.FACT_TABLE, partition_by=fact_partition_by)
+    fact_t = readers.read_layer_table(spark, layers.marts, suites.FACT_TABLE).select(*fact.columns)
+    sinks.publish_table(marts.peak_and_last_year(dim_t, fact_t, columns), layers.marts, suites.MART_TABLE)
+    mart_t = readers.read_layer_table(spark, layers.marts, suites.MART_TABLE)
+    mart_frames = {suites.DIM_TABLE: dim_t, suites.FACT_TABLE: fact_t, suites.MART_TABLE: mart_t}
 
     # 5. model tests on every layer
     tests = _run_suite(raw, suites.source_tests(p), "raw", {})

@@ -13,29 +13,48 @@ from atlaspanel import dictionary as D
 from atlaspanel.operators.quality import AT_LEAST, POSITIVE, THRESHOLD, Check
 
 
+# Published table names (the names analysts query).
+FACT_TABLE = "fact_macro_indicators"
+MART_TABLE = "mart_country_indicators_wide"
+DIM_TABLE = "dim_country"
+SEED_TABLE = "country_metadata"
+
+# Raw table of each dictionary source.
+RAW_TABLES = {
+    "wb": "wb_indicators",
+    "hdr": "hdr_indicators",
+    "weo": "imf_weo_indicators",
+    "fdi": "imf_fdi_indicator",
+}
+
+
 @dataclass(frozen=True)
 class SuiteParams:
-    sources: tuple = ("wb", "hdr", "weo", "fdi")  # raw tables, one per source
-    year_checked_sources: tuple = ("wb", "hdr")  # raw invalid_count(year) with valid min
+    sources: tuple = tuple(RAW_TABLES.values())  # raw tables, one per source
+    source_ids: tuple = tuple((v, k) for k, v in RAW_TABLES.items())  # raw table -> dictionary source
+    year_checked_sources: tuple = (RAW_TABLES["wb"], RAW_TABLES["hdr"])  # raw invalid_count(year) with valid min
     raw_min_year: int = D.WINDOW_START_YEAR
     fact_min_year: int = D.FACT_MIN_YEAR
     continents: tuple = D.CONTINENTS
     income_groups: tuple = D.INCOME_GROUPS
-    staged: tuple = ("wb", "hdr", "imf")  # staging views (named stg_<x>)
-    staged_with_name: tuple = ("wb", "hdr")  # staging views whose country_name is tested
+    staged: tuple = ("wb_indicators", "hdr_indicators", "imf_indicators")  # staging views (named stg_<x>)
+    staged_with_name: tuple = ("wb_indicators", "hdr_indicators")  # staging views whose country_name is tested
+
+    def source_id(self, raw_table: str) -> str:
+        return dict(self.source_ids).get(raw_table, raw_table)
 
 
 def raw_scan_checks(dictionary, p: SuiteParams) -> dict[str, list[Check]]:
     """Raw-layer scans: row count, missing keys, year floor, value ranges (graded)."""
     out = {
-        "country_metadata": [Check("row_count", grade=POSITIVE)]
+        SEED_TABLE: [Check("row_count", grade=POSITIVE)]
         + [Check("missing_count", (c,)) for c in ("iso3", "country_name", "continent", "region", "income_group")]
     }
     for src in p.sources:
         checks = [Check("row_count", grade=POSITIVE), Check("missing_count", ("country_code",)), Check("missing_count", ("year",))]
         if src in p.year_checked_sources:
             checks.append(Check("invalid_range", ("year",), lo=p.raw_min_year, grade=THRESHOLD))
-        for i in D.for_source(src, dictionary):
+        for i in D.for_source(p.source_id(src), dictionary):
             if i.lo is not None or i.hi is not None:
                 checks.append(Check("invalid_range", (i.code,), lo=i.lo, hi=i.hi, grade=THRESHOLD))
         out[src] = checks
@@ -44,7 +63,7 @@ def raw_scan_checks(dictionary, p: SuiteParams) -> dict[str, list[Check]]:
 
 def source_tests(p: SuiteParams) -> dict[str, list[Check]]:
     """Model tests on the raw tables."""
-    out = {"country_metadata": [Check("unique", ("iso3",)), Check("not_null", ("iso3",)), Check("not_null", ("country_name",))]}
+    out = {SEED_TABLE: [Check("unique", ("iso3",)), Check("not_null", ("iso3",)), Check("not_null", ("country_name",))]}
     for src in p.sources:
         out[src] = [
             Check("not_null", ("country_code",)),
@@ -82,7 +101,7 @@ def staging_tests(p: SuiteParams) -> dict[str, list[Check]]:
 def mart_tests(p: SuiteParams) -> dict[str, list[Check]]:
     """Model tests on the marts."""
     return {
-        "dim_country": [
+        DIM_TABLE: [
             Check("unique", ("country_code",)),
             Check("not_null", ("country_code",)),
             Check("not_null", ("country_name",)),
@@ -90,13 +109,13 @@ def mart_tests(p: SuiteParams) -> dict[str, list[Check]]:
             Check("accepted_values", ("continent",), values=p.continents),
             Check("accepted_values", ("income_group",), values=p.income_groups),
         ],
-        "fact": [
+        FACT_TABLE: [
             Check("not_null", ("country_code",)),
-            Check("relationships", ("country_code",), parent="dim_country", parent_column="country_code"),
+            Check("relationships", ("country_code",), parent=DIM_TABLE, parent_column="country_code"),
             Check("not_null", ("year",)),
             Check("unique_combination", ("country_code", "year")),
         ],
-        "mart": [
+        MART_TABLE: [
             Check("unique", ("country_code",)),
             Check("not_null", ("country_code",)),
             Check("not_null", ("country_name",)),
@@ -107,7 +126,7 @@ def mart_tests(p: SuiteParams) -> dict[str, list[Check]]:
 def mart_scan_checks(p: SuiteParams) -> dict[str, list[Check]]:
     """Mart-layer scans."""
     return {
-        "dim_country": [
+        DIM_TABLE: [
             Check("row_count", grade=POSITIVE),
             Check("duplicate_count", ("country_code",)),
             *[Check("missing_count", (c,)) for c in ("country_code", "country_name", "continent")],
@@ -115,14 +134,14 @@ def mart_scan_checks(p: SuiteParams) -> dict[str, list[Check]]:
             Check("invalid_values", ("income_group",), values=p.income_groups),
             Check("required_columns", ("country_code", "country_name", "continent", "region", "income_group")),
         ],
-        "fact": [
+        FACT_TABLE: [
             Check("row_count", grade=POSITIVE),
             *[Check("missing_count", (c,)) for c in ("country_code", "country_name", "year")],
             Check("min", ("year",), bound=p.fact_min_year, grade=AT_LEAST),
             Check("duplicate_count", ("country_code", "year")),
             Check("required_columns", ("country_code", "country_name", "year")),
         ],
-        "mart": [
+        MART_TABLE: [
             Check("row_count", grade=POSITIVE),
             Check("duplicate_count", ("country_code",)),
             *[Check("missing_count", (c,)) for c in ("country_code", "country_name")],

@@ -86,7 +86,11 @@ def main() -> None:
     timed("latest_value", lambda: mart.collect())
 
     def checks():
-        frames = {"dim_country": dim, "fact": fact, "mart": marts.peak_and_last_year(dim, fact, FACT_COLUMNS)}
+        frames = {
+            suites.DIM_TABLE: dim,
+            suites.FACT_TABLE: fact,
+            suites.MART_TABLE: marts.peak_and_last_year(dim, fact, FACT_COLUMNS),
+        }
         parts = []
         for suite in (suites.mart_tests(STANDIN_SUITE), suites.mart_scan_checks(STANDIN_SUITE)):
             for name, cks in suite.items():

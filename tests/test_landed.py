@@ -58,7 +58,7 @@ def test_landed_refresh_with_full_dictionary(spark, tmp_path):
     report = refresh_all(spark, inputs, Layers("l_raw", "l_stg", "l_marts", "l_quality"), stop_on_fail=False)
     rows = report.collect()
     assert len(rows) == 52 + 56 + 20
-    fact = spark.table("l_marts.fact")
+    fact = spark.table("l_marts.fact_macro_indicators")
     assert len(fact.columns) == 3 + 56
     got = {(r.country_code, r.year): r for r in fact.collect()}
     # first value in payload order wins for the repeated (economy, Series) row
@@ -70,11 +70,20 @@ def test_landed_refresh_with_full_dictionary(spark, tmp_path):
     assert got[("TZA", 2021)].country_name == "Tanzania, United Republic of"
     assert ("ZZZ", 2020) not in got
     assert ("NAM", 1999) not in got  # outside the window and below the WEO floor
-    mart = {r.country_code: r for r in spark.table("l_marts.mart").collect()}
-    assert len(spark.table("l_marts.mart").columns) == 2 + 112
+    mart = {r.country_code: r for r in spark.table("l_marts.mart_country_indicators_wide").collect()}
+    assert len(spark.table("l_marts.mart_country_indicators_wide").columns) == 2 + 112
     assert (mart["NAM"].wb_gdp_constant_2015_usd, mart["NAM"].wb_gdp_constant_2015_usd_year) == (2.0e10, 2021)
-    rejects = spark.table("l_raw.hdr_rejects").select(F.explode("errors").alias("e")).collect()
+    rejects = spark.table("l_raw.hdr_indicators_rejects").select(F.explode("errors").alias("e")).collect()
     assert [r.e for r in rejects] == ["year_text"]
-    fdi_rej = spark.table("l_raw.fdi_rejects").collect()
+    fdi_rej = spark.table("l_raw.imf_fdi_indicator_rejects").collect()
     assert len(fdi_rej) == 1 and "aggregate" in fdi_rej[0].errors
     assert len(D.INDICATORS) == 56
+
+    from atlaspanel.plans import questions as Q
+
+    top = Q.top_economies(spark, 2021, layer="l_marts").collect()
+    assert [(r.country_name, r.gdp_trillions_usd) for r in top] == [("Namibia", 0.02)]
+    assert Q.member_trend(spark, 2000, flag="is_eu", layer="l_marts").count() == 0
+    assert Q.inequality_by_continent(spark, layer="l_marts").count() == 0  # no Gini values landed
+    assert [r.country_name for r in Q.schooling_gdp_listing(spark, 2021, layer="l_marts").collect()] == []
+    assert Q.measure_correlation(spark, layer="l_marts").collect()[0].pairs == 0

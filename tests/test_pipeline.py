@@ -71,9 +71,9 @@ def test_refresh_all_runs_every_layer(spark, tmp_path):
     rows = report.collect()
     assert len(rows) == 113
     assert not [r for r in rows if r.outcome == "fail"]
-    fact = spark.table("r_marts.fact")
+    fact = spark.table("r_marts.fact_macro_indicators")
     assert fact.count() == fact.select("country_code", "year").distinct().count()
-    assert spark.table("r_marts.mart").count() == spark.table("r_marts.dim_country").count()
+    assert spark.table("r_marts.mart_country_indicators_wide").count() == spark.table("r_marts.dim_country").count()
 
 
 def test_refresh_all_stops_on_failing_gate(spark):
