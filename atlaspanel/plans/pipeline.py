@@ -103,20 +103,30 @@ def stage_two_part_source(
 ) -> DataFrame:
     """L1 for the IMF-like source: WEO part (ISO3, text year) and FDI part
     (ISO2, int year), names from the dimension, merged on their own spine
-    (U3 + J3)."""
+    (U3 + J3).
+
+    Planned as one FULL OUTER join of the parts on (country_code, year)
+    (``spine.outer_merge``), so each part is computed once. Both parts take
+    ``country_name`` from the same dimension row of their ISO3 code, so the
+    spine's (code, name, year) rows are its (code, year) rows whenever the
+    dimension is unique on ISO3 (a model test of the dimension), and then the
+    two forms return the same rows."""
     weo_st = conform.attach_dim_name(conform.cast_year(weo_raw), seed)
     weo_st = conform.rename_indicators(weo_st, weo.dictionary).select(
-        "country_code", "country_name", "year", *weo.marts
+        "country_code", F.col("country_name").alias("__weo_name"), "year", *weo.marts
     )
     fdi_st = conform.join_dim_iso2(fdi_raw, seed)
     fdi_st = conform.rename_indicators(fdi_st, fdi.dictionary).select(
-        "country_code", "country_name", F.col("year").cast("int").alias("year"), *fdi.marts
+        "country_code", F.col("country_name").alias("__fdi_name"), F.col("year").cast("int").alias("year"), *fdi.marts
+    )
+    merged = spine.outer_merge([weo_st, fdi_st], ["country_code", "year"])
+    return merged.select(
+        "country_code",
+        F.coalesce("__weo_name", "__fdi_name").alias("country_name"),
+        "year",
+        *weo.marts,
+        *fdi.marts,
     )
-    part_spine = spine.union_distinct(weo_st, fdi_st, ["country_code", "country_name", "year"])
-    keys = ["country_code", "year"]
-    return spine.merge_sources_on_spine(
-        part_spine, [weo_st.drop("country_name"), fdi_st.drop("country_name")], keys
-    ).select("country_code", "country_name", "year", *weo.marts, *fdi.marts)
 
 
 def build_panel(staged: list[DataFrame], dim: DataFrame, columns: list[str]) -> DataFrame:

@@ -75,3 +75,31 @@ def test_dictionary_shape():
     assert [len(D.for_source(s)) for s in ("wb", "hdr", "weo", "fdi")] == [28, 23, 4, 1]
     assert len({i.mart for i in D.INDICATORS}) == 56
     assert len(D.label_map(D.INDICATORS)) == 28
+
+
+@pytest.mark.parametrize("bound", [100_000, 1])
+def test_orphan_count_broadcast_and_preaggregated(spark, monkeypatch, bound):
+    # A hot child key (a third of the rows) and an orphan key; the parent
+    # either fits the broadcast bound (map-side anti join) or does not
+    # (child counted per key first, then the anti join on distinct keys).
+    monkeypatch.setattr(quality, "DIMENSION_BROADCAST_MAX_ROWS", bound)
+    child = spark.createDataFrame([(1,)] * 30 + [(2,)] * 50 + [(9,)] * 10 + [(None,)] * 10, "k int")
+    parent = spark.createDataFrame([(1,), (2,), (3,)], "pk int")
+    one = quality.orphan_count(child, "k", parent, "pk", "m")
+    assert one.collect()[0].m == 10.0
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    # the per-key partial count exists only when the parent is over the bound
+    assert ("__rows" in plan) == (bound == 1)
+    none = quality.orphan_count(child.filter("k <> 9"), "k", parent, "pk", "m")
+    assert none.collect()[0].m == 0.0
+
+
+def test_sql_text_metrics_quote_names_and_values(spark):
+    df = spark.createDataFrame([("it's", 1), ("x", -2), (None, 3)], "`odd name` string, `v-1` int")
+    checks = [
+        Check("accepted_values", ("odd name",), values=("it's",)),
+        Check("invalid_range", ("v-1",), lo=0, hi=2.5, grade=THRESHOLD),
+        Check("missing_count", ("odd name",)),
+    ]
+    got = {r.check: (r.measured, r.outcome) for r in quality.quality_report(df, checks, "t").collect()}
+    assert got == {"accepted_values": (1.0, "fail"), "invalid_range": (2.0, "warn"), "missing_count": (1.0, "fail")}
