@@ -56,7 +56,9 @@ def case_non_null_column(df: DataFrame, test: str, value: str, alias: str) -> Da
 def fact_inner_dim(fact: DataFrame, dim: DataFrame, dim_columns: list[str]) -> DataFrame:
     """Fact JOIN dimension on country_code (dimension broadcast when checked small)."""
     d = dim.select(F.col("country_code").alias("__d_code"), *dim_columns)
-    return fact.join(bounded_broadcast(d), F.col("country_code") == F.col("__d_code"), "inner").drop("__d_code")
+    return fact.join(bounded_broadcast(d, bounded_by=dim), F.col("country_code") == F.col("__d_code"), "inner").drop(
+        "__d_code"
+    )
 
 
 # --- G3-G8 ------------------------------------------------------------------

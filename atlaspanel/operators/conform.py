@@ -61,7 +61,7 @@ def join_dim_iso3(df: DataFrame, seed: DataFrame, code_col: str = "country_code"
     the dimension is broadcast when its size is checked small, so the large
     side is never shuffled for this join.
     """
-    dim = bounded_broadcast(seed.select(F.col("iso3").alias("__iso3")))
+    dim = bounded_broadcast(seed.select(F.col("iso3").alias("__iso3")), bounded_by=seed)
     return df.join(dim, F.col(code_col) == F.col("__iso3"), "inner").drop("__iso3")
 
 
@@ -72,7 +72,8 @@ def join_dim_iso2(df: DataFrame, seed: DataFrame, code_col: str = "country_code"
             F.col("iso2").alias("__iso2"),
             F.col("iso3").alias("__iso3"),
             F.col("country_name").alias("__name"),
-        )
+        ),
+        bounded_by=seed,
     )
     rest = [c for c in df.columns if c not in (code_col, "country_name")]
     return df.join(dim, F.col(code_col) == F.col("__iso2"), "inner").select(
@@ -83,7 +84,7 @@ def join_dim_iso2(df: DataFrame, seed: DataFrame, code_col: str = "country_code"
 def attach_dim_name(df: DataFrame, seed: DataFrame, code_col: str = "country_code") -> DataFrame:
     """Inner join on ISO3 taking ``country_name`` from the dimension (IMF staging)."""
     dim = bounded_broadcast(
-        seed.select(F.col("iso3").alias("__iso3"), F.col("country_name").alias("__name"))
+        seed.select(F.col("iso3").alias("__iso3"), F.col("country_name").alias("__name")), bounded_by=seed
     )
     rest = [c for c in df.columns if c not in (code_col, "country_name")]
     return df.join(dim, F.col(code_col) == F.col("__iso3"), "inner").select(

@@ -30,8 +30,16 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return _CHECKED[key]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is checked to be bounded, else ``df`` unchanged."""
-    if row_count_at_most(df, max_rows):
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS, bounded_by: DataFrame | None = None
+) -> DataFrame:
+    """``broadcast(df)`` when its size is checked to be bounded, else ``df`` unchanged.
+
+    ``bounded_by``: a frame with at least as many rows as ``df`` (``df`` is a
+    projection, filter or distinct of it). Its memoised check proves the bound
+    for every such derivative, so one count covers all projections of a
+    dimension.
+    """
+    if row_count_at_most(bounded_by if bounded_by is not None else df, max_rows):
         return F.broadcast(df)
     return df

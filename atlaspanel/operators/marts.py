@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from atlaspanel.functions.sqltext import ident
 from atlaspanel.operators.joins import bounded_broadcast
 
 
@@ -29,7 +30,7 @@ def dim_left_fact(dim: DataFrame, fact: DataFrame, columns: list[str]) -> DataFr
     """
     base = _country_base(dim)
     right = fact.select("country_code", "year", *columns)
-    matched = right.join(bounded_broadcast(base), "country_code", "inner")
+    matched = right.join(bounded_broadcast(base, bounded_by=dim), "country_code", "inner")
     unmatched = base.join(right.select("country_code").distinct(), "country_code", "left_anti")
     nulls = [F.lit(None).cast(t).alias(c) for c, t in right.dtypes if c != "country_code"]
     out_cols = ["country_code", "country_name", "year", *columns]
@@ -45,9 +46,10 @@ def peak_and_last_year(dim: DataFrame, fact: DataFrame, columns: list[str]) -> D
     """
     aggs = []
     for c in columns:
-        aggs.append(F.max(c).alias(c))
-        aggs.append(F.max(F.when(F.col(c).isNotNull(), F.col("year"))).alias(f"{c}_year"))
-    per_country = fact.groupBy("country_code").agg(*aggs)
+        q = ident(c)
+        aggs.append(f"max({q}) AS {q}")
+        aggs.append(f"max(CASE WHEN {q} IS NOT NULL THEN year END) AS {ident(c + '_year')}")
+    per_country = fact.groupBy("country_code").agg(*[F.expr(a) for a in aggs])
     return _attach(dim, per_country, columns)
 
 
@@ -57,18 +59,18 @@ def latest_value(dim: DataFrame, fact: DataFrame, columns: list[str]) -> DataFra
     fact, so ``max_by`` has no ties."""
     aggs = []
     for c in columns:
-        has = F.col(c).isNotNull()
-        aggs.append(F.max_by(F.col(c), F.when(has, F.col("year"))).alias(c))
-        aggs.append(F.max(F.when(has, F.col("year"))).alias(f"{c}_year"))
-    per_country = fact.groupBy("country_code").agg(*aggs)
+        q = ident(c)
+        aggs.append(f"max_by({q}, CASE WHEN {q} IS NOT NULL THEN year END) AS {q}")
+        aggs.append(f"max(CASE WHEN {q} IS NOT NULL THEN year END) AS {ident(c + '_year')}")
+    per_country = fact.groupBy("country_code").agg(*[F.expr(a) for a in aggs])
     return _attach(dim, per_country, columns)
 
 
 def _attach(dim: DataFrame, per_country: DataFrame, columns: list[str]) -> DataFrame:
-    out_cols = [F.col("country_code"), F.col("country_name")]
+    out_cols = ["country_code", "country_name"]
     for c in columns:
-        out_cols += [F.col(c), F.col(f"{c}_year")]
+        out_cols += [ident(c), ident(f"{c}_year")]
     # The dimension is the preserved side of the outer join, so it cannot be the
     # broadcast side; the aggregate is already hash-partitioned on country_code,
     # so only the (dimension-sized) base moves in this join.
-    return _country_base(dim).join(per_country, "country_code", "left").select(*out_cols)
+    return _country_base(dim).join(per_country, "country_code", "left").selectExpr(*out_cols)

@@ -125,7 +125,9 @@ def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column
     """
     keys = parent.select(F.col(parent_column).alias("__parent_key")).distinct()
     present = child.filter(F.col(column).isNotNull())
-    if row_count_at_most(keys, DIMENSION_BROADCAST_MAX_ROWS):
+    # the parent's own (memoised) count bounds its distinct keys; count the
+    # keys only when the parent is over the bound
+    if row_count_at_most(parent, DIMENSION_BROADCAST_MAX_ROWS) or row_count_at_most(keys, DIMENSION_BROADCAST_MAX_ROWS):
         lonely = present.join(F.broadcast(keys), F.col(column) == F.col("__parent_key"), "left_anti")
         return lonely.agg(F.count(F.lit(1)).cast("double").alias(alias))
     per_key = present.groupBy(F.col(column).alias("__child_key")).agg(F.count(F.lit(1)).alias("__rows"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlaspanel.functions.exprs import valid_number
+from atlaspanel.functions.sqltext import ident
 
 
 def year_columns(df: DataFrame) -> list[str]:
@@ -131,9 +132,12 @@ def unmapped_indicators(
 
 
 def conform_columns(df: DataFrame, keys: list[str], columns: list[str], dtype: str = "double") -> DataFrame:
-    """Fixed output schema -- keys then ``columns`` in order; absent -> typed NULL, extras dropped."""
+    """Fixed output schema -- keys then ``columns`` in order; absent -> typed NULL, extras dropped.
+
+    One ``selectExpr`` (the list is as wide as the dictionary)."""
     present = set(df.columns)
-    out = [F.col(k) for k in keys]
+    out = [ident(k) for k in keys]
     for c in columns:
-        out.append(F.col(c).cast(dtype).alias(c) if c in present else F.lit(None).cast(dtype).alias(c))
-    return df.select(*out)
+        src = ident(c) if c in present else "NULL"
+        out.append(f"CAST({src} AS {dtype}) AS {ident(c)}")
+    return df.selectExpr(*out)

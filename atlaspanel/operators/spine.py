@@ -61,7 +61,8 @@ def fact_panel(
     plan (see ``outer_merge``), which reads every source once.
     """
     names = bounded_broadcast(
-        dim.select(F.col("country_code").alias("__dim_code"), F.col("country_name").alias("__dim_name"))
+        dim.select(F.col("country_code").alias("__dim_code"), F.col("country_name").alias("__dim_name")),
+        bounded_by=dim,
     )
     trimmed = [s.drop("country_name") if "country_name" in s.columns else s for s in sources]
     if spine is None:

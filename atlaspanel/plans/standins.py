@@ -82,7 +82,7 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def _nations(t: Tables) -> DataFrame:
-    return bounded_broadcast(t.nation.select("n_nationkey", "n_name"))
+    return bounded_broadcast(t.nation.select("n_nationkey", "n_name"), bounded_by=t.nation)
 
 
 def country_seed(t: Tables) -> DataFrame:

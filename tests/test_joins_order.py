@@ -35,3 +35,21 @@ def test_payload_order_follows_files_and_rows(spark, tmp_path):
     assert [r.k for r in out] == ["a", "b", "c"]
     assert dict(readers.payload_order(df, parquet=True).dtypes)["ingest_seq"] == "bigint"
     assert F is not None
+
+
+def test_bounded_by_reuses_one_check(spark, monkeypatch):
+    # projections of one dimension share its memoised count; a frame over the
+    # bound is not hinted even when a derivative would be small
+    from atlaspanel.operators import joins
+
+    calls = []
+    real = joins.row_count_at_most
+    monkeypatch.setattr(joins, "row_count_at_most", lambda df, n: calls.append(df.columns) or real(df, n))
+    dim = spark.createDataFrame([(i, f"n{i}") for i in range(5)], "code int, name string")
+    for cols in (["code"], ["code", "name"], ["name"]):
+        hinted = joins.bounded_broadcast(dim.select(*cols), bounded_by=dim)
+        assert "Hint broadcast" in hinted._jdf.queryExecution().logical().toString()
+    assert all(c == ["code", "name"] for c in calls)
+    big = spark.range(50).withColumnRenamed("id", "code")
+    out = joins.bounded_broadcast(big.select("code").limit(3), max_rows=10, bounded_by=big)
+    assert "Hint broadcast" not in out._jdf.queryExecution().logical().toString()
