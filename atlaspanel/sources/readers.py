@@ -161,18 +161,33 @@ def head_sample(df: DataFrame, columns: list[str], order: list[str], n: int = 5)
     return df.select(*columns).orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
 
 
-POSITION_BITS = 40  # rows per landed file addressable by the order key
+POSITION_BITS = 40  # parquet: rows per landed file addressable by the order key
+# text formats: decimal digits of the byte offset of a split and of a row's
+# index within its task (monotonically_increasing_id keeps 33 bits for it)
+OFFSET_DIGITS = 15
+TASK_ROW_DIGITS = 10
+
+
+def _decimal_power(digits: int):
+    """10^digits as a decimal(38,0) literal (beyond the range of a long)."""
+    return F.expr(f"CAST({10**digits} AS DECIMAL(38,0))")
 
 
 def payload_order(df: DataFrame, parquet: bool, col: str = "ingest_seq") -> DataFrame:
-    """Attach the payload row order as one ``long``: (file rank, row within file).
+    """Attach the payload row order: (file rank, position within the file).
 
     ``df`` must come straight from a file scan. Files are ranked by path (a
-    frame of one row per file, broadcast behind a size check); the row position
-    is ``_metadata.row_index`` for parquet and the row's position in its task
-    for text formats, which is exact when a file is read by one task
-    (multi-line JSON always is; small CSV files are). A primitive order key
-    keeps the pivot's aggregates hash-based.
+    frame of one row per file, broadcast behind a size check).
+
+    * parquet: ``_metadata.row_index`` is the row's position in its file; the
+      key is the ``long`` ``rank << 40 | row_index``.
+    * text formats (JSON lines, CSV) may be split across tasks: a row is
+      placed by its split's byte offset (``_metadata.file_block_start``) and
+      its index within the task (rows of one split are read contiguously, in
+      file order). The key is ``decimal(38,0)``:
+      ``rank * 10^25 + block_start * 10^10 + row_in_task`` -- exact for any
+      split size or file packing, and still a primitive the pivot's
+      ``min_by`` aggregates with a hash aggregate.
     """
     from pyspark.sql.window import Window
 
@@ -182,11 +197,16 @@ def payload_order(df: DataFrame, parquet: bool, col: str = "ingest_seq") -> Data
     if parquet:
         pos = F.col("_metadata.row_index")
     else:
-        pos = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        dec = "decimal(38,0)"
+        row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        pos = F.col("_metadata.file_block_start").cast(dec) * _decimal_power(TASK_ROW_DIGITS) + row_in_task.cast(dec)
     with_meta = with_meta.withColumn("__pos", pos)
     files = with_meta.select("__file").distinct()
     ranked = files.withColumn("__rank", F.row_number().over(Window.orderBy("__file")).cast("long"))
     out = with_meta.join(bounded_broadcast(ranked), "__file", "inner")
-    return out.withColumn(col, F.shiftleft(F.col("__rank"), POSITION_BITS) + F.col("__pos")).drop(
-        "__file", "__pos", "__rank"
-    )
+    if parquet:
+        key = F.shiftleft(F.col("__rank"), POSITION_BITS) + F.col("__pos")
+    else:
+        scale = _decimal_power(OFFSET_DIGITS + TASK_ROW_DIGITS)
+        key = (F.col("__rank").cast("decimal(38,0)") * scale + F.col("__pos")).cast("decimal(38,0)")
+    return out.withColumn(col, key).drop("__file", "__pos", "__rank")

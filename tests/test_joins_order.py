@@ -37,6 +37,28 @@ def test_payload_order_follows_files_and_rows(spark, tmp_path):
     assert F is not None
 
 
+def test_payload_order_exact_across_text_splits(spark, tmp_path):
+    # JSON lines split into many tasks (tiny split size), several splits packed
+    # per task: sorting by the key restores file order, file by file.
+    d = str(tmp_path)
+    with open(os.path.join(d, "a.json"), "w") as fh:
+        fh.write("".join('{"i": %d, "pad": "%s"}\n' % (i, "x" * (i % 13)) for i in range(3000)))
+    with open(os.path.join(d, "b.json"), "w") as fh:
+        fh.write("".join('{"i": %d, "pad": ""}\n' % (10_000 + i) for i in range(50)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = spark.read.schema("i int, pad string").json(d)
+        assert df.rdd.getNumPartitions() > 10
+        keyed = readers.payload_order(df, parquet=False)
+        assert dict(keyed.dtypes)["ingest_seq"] == "decimal(38,0)"
+        got = [r.i for r in keyed.orderBy("ingest_seq").select("i").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == list(range(3000)) + [10_000 + i for i in range(50)]
+
+
 def test_bounded_by_reuses_one_check(spark, monkeypatch):
     # projections of one dimension share its memoised count; a frame over the
     # bound is not hinted even when a derivative would be small
