@@ -90,6 +90,104 @@ def raw_table(valid: DataFrame, cfg: SourceConfig) -> DataFrame:
     return reshape.conform_columns(wide, list(cfg.keys), cfg.codes)
 
 
+# --- single pass over a source for both raw outputs (used by refresh_all) ------
+
+CELL, REJECT, EMPTY = "cell", "reject", "empty"
+
+
+def checked_points(points: DataFrame, cfg: SourceConfig) -> DataFrame:
+    """One scan of a source's points for the raw table *and* its rejects.
+
+    Each point is classified once by the same rules as ``validate_points``:
+    ``reject`` (with its error codes), ``cell`` (valid, inside the window,
+    with a value) or ``empty`` (valid, inside the window, no value). One hash
+    aggregate then reduces cells to their first value per (keys, indicator)
+    -- phase 1 of the pivot, partial before the shuffle, so a hot country
+    ships one partial row per task -- and carries every reject row through
+    (a per-row id keeps identical rejects apart; their columns are grouping
+    keys, so the aggregate stays hash-based), while all empties collapse to
+    one marker row.
+
+    The result is small (cells + rejects) and is meant to be written once:
+    ``raw_from_checked``, ``rejects_from_checked`` and ``has_valid_points``
+    read it, so the points -- the largest input -- are scanned once rather
+    than once per output plus an emptiness probe.
+    """
+    rule_cols = point_rules(cfg)
+    bad = rules.first_error(rule_cols)
+    value = rules.coerce_value("value")
+    if cfg.year_is_text:
+        year_int = F.col("year").try_cast("int")
+        year_out = year_int.cast("string") if cfg.raw_year_text else year_int
+    else:
+        year_int = year_out = F.col("year")
+    in_window = F.lit(True)
+    if cfg.window:
+        in_window = (year_int >= F.lit(cfg.window[0])) & (year_int < F.lit(cfg.window[1]))
+    indicator = F.col("indicator")
+    if cfg.map_labels:
+        indicator = reshape.label_to_code("indicator", D.label_map(cfg.dictionary), cfg.codes)
+    kind = F.when(bad.isNotNull(), F.lit(REJECT)).when(
+        in_window, F.when(value.isNotNull(), F.lit(CELL)).otherwise(F.lit(EMPTY))
+    )
+    cell_keys = [f"__c_{k}" for k in cfg.keys]
+    reject_cols = [f"__r_{c}" for c in points.columns]
+    classified = points.select(
+        kind.alias("__kind"),
+        *[F.col(k).alias(f"__k_{k}") for k in points.columns],
+        year_out.alias("__year_out"),
+        indicator.alias("__indicator"),
+        value.alias("__value"),
+        F.when(bad.isNotNull(), rules.error_list(rule_cols)).alias("__errors"),
+    ).filter(F.col("__kind").isNotNull())
+    is_cell = F.col("__kind") == CELL
+    is_reject = F.col("__kind") == REJECT
+    tagged = classified.select(
+        "__kind",
+        *[
+            F.when(is_cell, F.col("__year_out") if k == "year" else F.col(f"__k_{k}")).alias(f"__c_{k}")
+            for k in cfg.keys
+        ],
+        F.when(is_cell, F.col("__indicator")).alias("__c_indicator"),
+        F.when(is_cell, F.col("__value")).alias("__c_value"),
+        F.when(is_cell, F.col(f"__k_{cfg.order_col}")).alias("__c_order"),
+        *[F.when(is_reject, F.col(f"__k_{c}")).alias(f"__r_{c}") for c in points.columns],
+        F.when(is_reject, F.col("__errors")).alias("__r_errors"),
+        F.when(is_reject, F.monotonically_increasing_id()).alias("__r_id"),
+    )
+    group = ["__kind", *cell_keys, "__c_indicator", *reject_cols, "__r_errors", "__r_id"]
+    if not cfg.order_unique:
+        # ties on the order key resolve to the smallest value (as in pivot_indicators)
+        tagged = tagged.groupBy(*group, "__c_order").agg(F.min("__c_value").alias("__c_value"))
+    return tagged.groupBy(*group).agg(F.min_by("__c_value", "__c_order").alias("__c_value"))
+
+
+def raw_from_checked(checked: DataFrame, cfg: SourceConfig) -> DataFrame:
+    """The raw wide table from ``checked_points``: phase 2 of the pivot (one
+    value per cell already) and the fixed schema (R2, R6)."""
+    cells = checked.filter(F.col("__kind") == CELL).select(
+        *[F.col(f"__c_{k}").alias(k) for k in cfg.keys],
+        F.col("__c_indicator").alias("indicator"),
+        F.col("__c_value").alias("value"),
+    )
+    wide = cells.groupBy(*cfg.keys).pivot("indicator", cfg.codes).agg(F.min("value"))
+    return reshape.conform_columns(wide, list(cfg.keys), cfg.codes)
+
+
+def rejects_from_checked(checked: DataFrame, point_columns: list[str], cfg: SourceConfig) -> DataFrame:
+    """The rejects of ``checked_points``, shaped as ``validate_points`` returns them."""
+    return checked.filter(F.col("__kind") == REJECT).select(
+        *[F.col(f"__r_{c}").alias(c) for c in point_columns],
+        F.col("__r_errors").alias("errors"),
+        F.lit(cfg.name).alias("source"),
+    )
+
+
+def has_valid_points(checked: DataFrame) -> DataFrame:
+    """Rows of ``checked_points`` standing for valid points (for V12)."""
+    return checked.filter(F.col("__kind").isin(CELL, EMPTY))
+
+
 def stage_named_source(raw: DataFrame, seed: DataFrame, cfg: SourceConfig) -> DataFrame:
     """L1 for sources that carry their own country name (WB, HDR; stand-ins A, B):
     J1 inner join on ISO3, P3 rename to mart names."""

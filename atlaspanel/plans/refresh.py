@@ -85,7 +85,8 @@ def refresh_all(
     p = inputs.params
     reports = []
 
-    # 1. raw load (K1) with validation (V9) and the empty-source guard.
+    # 1. raw load (K1) with validation (V9) and the empty-source guard (V12),
+    # one scan of each source's points (``pipeline.checked_points``).
     # The sources are independent, so their jobs are submitted concurrently
     # (as the reference ingests its sources in parallel); Spark interleaves
     # their stages on the free task slots.
@@ -93,11 +94,14 @@ def refresh_all(
     sinks.replace_table(inputs.seed, layers.raw, suites.SEED_TABLE)
 
     def load(name: str) -> str:
+        # one scan of the points: classified and reduced to cells + rejects,
+        # written once; raw table, rejects and the empty-source guard read it
         points, cfg = inputs.sources[name]
-        valid, rejects = P.validate_points(points, cfg)
-        rules.require_rows(valid, name)
-        sinks.replace_table(P.raw_table(valid, cfg), layers.raw, name)
-        sinks.replace_table(rejects, layers.raw, f"{name}_rejects")
+        sinks.replace_table(P.checked_points(points, cfg), layers.raw, f"{name}_checked")
+        checked = readers.read_layer_table(spark, layers.raw, f"{name}_checked")
+        rules.require_rows(P.has_valid_points(checked), name)
+        sinks.replace_table(P.raw_from_checked(checked, cfg), layers.raw, name)
+        sinks.replace_table(P.rejects_from_checked(checked, points.columns, cfg), layers.raw, f"{name}_rejects")
         if backup_dir:
             start, end = cfg.window or (0, 1)
             sinks.export_csv_backup(
