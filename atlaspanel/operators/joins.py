@@ -21,10 +21,14 @@ _CHECKED: dict = {}
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1).
 
-    The answer is remembered per (session, semantic plan, bound), so the same
-    dimension is counted once however many joins it feeds.
+    The answer is remembered per (session, semantic plan, input files, bound),
+    so the same dimension is counted once however many joins it feeds. The
+    files are part of the key because a table rewritten under the same name
+    keeps its semantic plan but not its part files: a new version is counted
+    again rather than trusted from an older, smaller one.
     """
-    key = (id(df.sparkSession), df.semanticHash(), tuple(df.dtypes), max_rows)
+    files = hash(tuple(sorted(df.inputFiles())))
+    key = (id(df.sparkSession), df.semanticHash(), tuple(df.dtypes), files, max_rows)
     if key not in _CHECKED:
         _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return _CHECKED[key]

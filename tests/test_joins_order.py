@@ -75,3 +75,14 @@ def test_bounded_by_reuses_one_check(spark, monkeypatch):
     big = spark.range(50).withColumnRenamed("id", "code")
     out = joins.bounded_broadcast(big.select("code").limit(3), max_rows=10, bounded_by=big)
     assert "Hint broadcast" not in out._jdf.queryExecution().logical().toString()
+
+
+def test_size_check_not_trusted_after_overwrite(spark):
+    # a table rewritten under its name keeps its semantic plan; the memoised
+    # bound must not carry over to the larger version
+    from atlaspanel.operators import joins
+
+    spark.range(5).write.mode("overwrite").saveAsTable("memo_dim")
+    assert joins.row_count_at_most(spark.table("memo_dim"), 10)
+    spark.range(50).write.mode("overwrite").saveAsTable("memo_dim")
+    assert not joins.row_count_at_most(spark.table("memo_dim"), 10)
