@@ -623,6 +623,9 @@ def test_accepted_values(spark, sf_dir):
 def test_relationships(spark, sf_dir):
     """Q4: orders whose customer is missing from customer restricted to c_custkey % 5 <> 0."""
     p = _panel(spark, sf_dir)
+    # Fault injection, not sampling: every order is checked; a fifth of the
+    # customers is removed from the parent so that orphans exist (the test
+    # tables have none).
     parent = p.t.customer.filter(F.col("c_custkey") % 5 != 0)
     chk = Check("relationships", ("o_custkey",), parent="customer", parent_column="c_custkey")
     return _report(p.t.orders, [chk], "orders", parents={"customer": parent})
