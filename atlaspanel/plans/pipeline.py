@@ -155,11 +155,20 @@ def checked_points(points: DataFrame, cfg: SourceConfig) -> DataFrame:
         F.when(is_reject, F.col("__errors")).alias("__r_errors"),
         F.when(is_reject, F.monotonically_increasing_id()).alias("__r_id"),
     )
-    group = ["__kind", *cell_keys, "__c_indicator", *reject_cols, "__r_errors", "__r_id"]
+    # Floating grouping keys are normalised (-0.0 -> 0.0, one NaN), so floating
+    # reject columns ride as aggregates instead (one row per reject group, so
+    # max() is the value itself, and a double buffer keeps the aggregate hashed).
+    floating = {f"__r_{c}" for c, t in points.dtypes if t in ("double", "float")}
+    carried = [c for c in reject_cols if c in floating]
+    group = ["__kind", *cell_keys, "__c_indicator", *[c for c in reject_cols if c not in floating], "__r_errors", "__r_id"]
     if not cfg.order_unique:
         # ties on the order key resolve to the smallest value (as in pivot_indicators)
-        tagged = tagged.groupBy(*group, "__c_order").agg(F.min("__c_value").alias("__c_value"))
-    return tagged.groupBy(*group).agg(F.min_by("__c_value", "__c_order").alias("__c_value"))
+        tagged = tagged.groupBy(*group, "__c_order").agg(
+            F.min("__c_value").alias("__c_value"), *[F.max(c).alias(c) for c in carried]
+        )
+    return tagged.groupBy(*group).agg(
+        F.min_by("__c_value", "__c_order").alias("__c_value"), *[F.max(c).alias(c) for c in carried]
+    )
 
 
 def raw_from_checked(checked: DataFrame, cfg: SourceConfig) -> DataFrame:

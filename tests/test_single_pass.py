@@ -61,3 +61,14 @@ def test_single_pass_empty_source(spark):
     checked = P.checked_points(none_valid, cfg)
     assert P.has_valid_points(checked).isEmpty()
     assert P.rejects_from_checked(checked, points.columns, cfg).count() == points.count()
+
+
+def test_single_pass_keeps_reject_values_bit_exact(spark):
+    # floating grouping keys are normalised (-0.0 -> 0.0); reject values must not be
+    rows = [("XXXX", "n", 2000, "P1", -0.0, 1), ("XXXX", "n", 2000, "P1", float("nan"), 2), ("N01", "n", 2000, "P1", 1.5, 3)]
+    points = spark.createDataFrame(rows, "country_code string, country_name string, year int, indicator string, value double, ingest_seq long")
+    cfg = PN.B_CFG
+    checked = P.checked_points(points, cfg)
+    got = sorted(str(r.value) for r in P.rejects_from_checked(checked, points.columns, cfg).collect())
+    assert got == ["-0.0", "nan"]
+    _assert_same(points, cfg)
