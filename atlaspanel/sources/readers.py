@@ -161,9 +161,13 @@ def head_sample(df: DataFrame, columns: list[str], order: list[str], n: int = 5)
     return df.select(*columns).orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
 
 
-POSITION_BITS = 40  # parquet: rows per landed file addressable by the order key
-# text formats: decimal digits of the byte offset of a split and of a row's
-# index within its task (monotonically_increasing_id keeps 33 bits for it)
+# Fixed digit budgets of the payload order key (decimal(38,0)):
+#   file rank < 2^39 (RANK_PARTITIONS range partitions x 2^33 rows each)
+#   parquet: rank * 10^13 + row_index            (row_index < 10^13 per file)
+#   text:    rank * 10^25 + block_start * 10^10 + row_in_task
+#            (byte offset < 10^15, row index within a task < 2^33 < 10^10)
+RANK_PARTITIONS = 64
+ROW_INDEX_DIGITS = 13
 OFFSET_DIGITS = 15
 TASK_ROW_DIGITS = 10
 
@@ -173,40 +177,52 @@ def _decimal_power(digits: int):
     return F.expr(f"CAST({10**digits} AS DECIMAL(38,0))")
 
 
+def _file_ranks(files: DataFrame) -> DataFrame:
+    """An order-preserving rank per file path, computed in parallel.
+
+    Range-partition the paths, sort each partition, and take
+    ``monotonically_increasing_id`` (partition index in the high bits, row in
+    the partition in the low bits): it increases with the path. No window
+    without a partition, so the file list never funnels through one task.
+    Ranks are not dense; the key only needs their order.
+    """
+    return (
+        files.repartitionByRange(RANK_PARTITIONS, "__file")
+        .sortWithinPartitions("__file")
+        .withColumn("__rank", F.monotonically_increasing_id())
+    )
+
+
 def payload_order(df: DataFrame, parquet: bool, col: str = "ingest_seq") -> DataFrame:
     """Attach the payload row order: (file rank, position within the file).
 
-    ``df`` must come straight from a file scan. Files are ranked by path (a
-    frame of one row per file, broadcast behind a size check).
+    ``df`` must come straight from a file scan. Files are ranked by path
+    (``_file_ranks``: one row per file, joined back map-side behind a size
+    check, else by shuffle with AQE splitting a file that holds most rows).
+    The key is ``decimal(38,0)``, a primitive the pivot's ``min_by`` still
+    aggregates with a hash aggregate.
 
-    * parquet: ``_metadata.row_index`` is the row's position in its file; the
-      key is the ``long`` ``rank << 40 | row_index``.
+    * parquet: ``_metadata.row_index`` is the row's position in its file;
+      key ``rank * 10^13 + row_index``.
     * text formats (JSON lines, CSV) may be split across tasks: a row is
       placed by its split's byte offset (``_metadata.file_block_start``) and
       its index within the task (rows of one split are read contiguously, in
-      file order). The key is ``decimal(38,0)``:
-      ``rank * 10^25 + block_start * 10^10 + row_in_task`` -- exact for any
-      split size or file packing, and still a primitive the pivot's
-      ``min_by`` aggregates with a hash aggregate.
+      file order); key ``rank * 10^25 + block_start * 10^10 + row_in_task`` --
+      exact for any split size or file packing.
     """
-    from pyspark.sql.window import Window
-
     from atlaspanel.operators.joins import bounded_broadcast
 
+    dec = "decimal(38,0)"
     with_meta = df.withColumn("__file", F.col("_metadata.file_path"))
     if parquet:
-        pos = F.col("_metadata.row_index")
+        pos = F.col("_metadata.row_index").cast(dec)
+        scale = _decimal_power(ROW_INDEX_DIGITS)
     else:
-        dec = "decimal(38,0)"
         row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         pos = F.col("_metadata.file_block_start").cast(dec) * _decimal_power(TASK_ROW_DIGITS) + row_in_task.cast(dec)
+        scale = _decimal_power(OFFSET_DIGITS + TASK_ROW_DIGITS)
     with_meta = with_meta.withColumn("__pos", pos)
-    files = with_meta.select("__file").distinct()
-    ranked = files.withColumn("__rank", F.row_number().over(Window.orderBy("__file")).cast("long"))
+    ranked = _file_ranks(with_meta.select("__file").distinct())
     out = with_meta.join(bounded_broadcast(ranked), "__file", "inner")
-    if parquet:
-        key = F.shiftleft(F.col("__rank"), POSITION_BITS) + F.col("__pos")
-    else:
-        scale = _decimal_power(OFFSET_DIGITS + TASK_ROW_DIGITS)
-        key = (F.col("__rank").cast("decimal(38,0)") * scale + F.col("__pos")).cast("decimal(38,0)")
+    key = (F.col("__rank").cast(dec) * scale + F.col("__pos")).cast(dec)
     return out.withColumn(col, key).drop("__file", "__pos", "__rank")

@@ -33,10 +33,32 @@ def test_payload_order_follows_files_and_rows(spark, tmp_path):
     df = spark.read.parquet(os.path.join(d, "f0"), os.path.join(d, "f1"))
     out = readers.payload_order(df, parquet=True).orderBy("ingest_seq").collect()
     assert [r.k for r in out] == ["a", "b", "c"]
-    assert dict(readers.payload_order(df, parquet=True).dtypes)["ingest_seq"] == "bigint"
+    assert dict(readers.payload_order(df, parquet=True).dtypes)["ingest_seq"] == "decimal(38,0)"
     assert F is not None
 
 
+def test_payload_order_ranks_many_files_in_parallel(spark, tmp_path):
+    # 120 files over several range partitions: sorting by the key gives path
+    # order, then row order within a file; no single-partition window
+    d = str(tmp_path)
+    for i in range(120):
+        with open(os.path.join(d, f"p{i:03d}.json"), "w") as fh:
+            fh.write("".join('{"f": %d, "r": %d}\n' % (i, r) for r in range(3)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.read.schema("f int, r int").json(os.path.join(d, "p*.json"))
+        files = df.select(F.col("_metadata.file_path").alias("__file")).distinct()
+        parts = readers._file_ranks(files).select(F.shiftright("__rank", 33).alias("p")).distinct().count()
+        assert parts > 1  # ranks come from several range partitions
+        keyed = readers.payload_order(df, parquet=False)
+        got = [(r.f, r.r) for r in keyed.orderBy("ingest_seq").collect()]
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == [(i, r) for i in range(120) for r in range(3)]
+    assert "Window" not in plan
+
+
 def test_payload_order_exact_across_text_splits(spark, tmp_path):
     # JSON lines split into many tasks (tiny split size), several splits packed
     # per task: sorting by the key restores file order, file by file.
