@@ -75,8 +75,11 @@ def null_count_sql(col: str) -> str:
 def invalid_range_count_sql(col: str, lo=None, hi=None) -> str:
     """Q9: non-NULL values outside [lo, hi] (either side optional); NULL is missing, not invalid."""
     c = ident(col)
-    bad = [f"{c} < {literal(lo)}" for _ in [lo] if lo is not None]
-    bad += [f"{c} > {literal(hi)}" for _ in [hi] if hi is not None]
+    bad = []
+    if lo is not None:
+        bad.append(f"{c} < {literal(lo)}")
+    if hi is not None:
+        bad.append(f"{c} > {literal(hi)}")
     cond = " OR ".join(bad) or "FALSE"
     return f"CAST(sum(CASE WHEN {c} IS NOT NULL AND ({cond}) THEN 1 ELSE 0 END) AS DOUBLE)"
 
@@ -108,8 +111,9 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Q4 rows: non-NULL child keys with no parent row (left anti join)."""
-    p = bounded_broadcast(parent.select(F.col(parent_column).alias("__parent_key")).distinct())
+    """Q4 rows: non-NULL child rows with no parent row (left anti join; beyond
+    the broadcast bound a shuffle join, where AQE splits a hot child key)."""
+    p = bounded_broadcast(parent.select(F.col(parent_column).alias("__parent_key")).distinct(), bounded_by=parent)
     return child.filter(F.col(column).isNotNull()).join(
         p, F.col(column) == F.col("__parent_key"), "left_anti"
     )
