@@ -2,9 +2,9 @@
 
 Each reader output becomes the canonical long point
 ``(country_code, country_name, year, indicator, value, ingest_seq)``; the
-ingest order is the payload's row order (``monotonically_increasing_id`` right
-after the scan: increasing in file order within and across splits), which is
-what "first value" means for a pivot over a payload.
+ingest order is the payload's row order (``readers.payload_order``: file rank,
+then the row's position in its file, exact however files are split across
+tasks), which is what "first value" means for a pivot over a payload.
 
 ``landed_refresh_inputs`` wires them with the 56-indicator dictionary into
 ``refresh_all``: WB and HDR are staged with their own names, WEO + FDI as the
