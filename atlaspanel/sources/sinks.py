@@ -43,9 +43,20 @@ def publish_view(df: DataFrame, name: str) -> str:
     return name
 
 
+# A single-file backup goes through one task; allowed only for tables proven
+# this small (a raw table is countries x years, a few thousand rows).
+SINGLE_FILE_MAX_ROWS = 1_000_000
+
+
 def export_csv_backup(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """K3: header CSV copy. A directory of part files; ``single_file`` funnels
-    through one task and is meant for small backups only."""
+    """K3: header CSV copy. A directory of part files; ``single_file`` writes
+    one part through one task and is refused unless the table's row count is
+    proven to be at most ``SINGLE_FILE_MAX_ROWS``."""
+    if single_file:
+        from atlaspanel.operators.joins import row_count_at_most
+
+        if not row_count_at_most(df, SINGLE_FILE_MAX_ROWS):
+            raise ValueError(f"single-file CSV backup refused: more than {SINGLE_FILE_MAX_ROWS} rows")
     out = df.coalesce(1) if single_file else df
     (
         out.write.mode("overwrite")

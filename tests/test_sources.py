@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from atlaspanel.sources import readers, sinks
 
 SEED_CSV = """country_name,iso3,iso2,continent,region,income_group,EU,OECD,ASEAN,BRICS,G20,FCS
@@ -84,6 +86,15 @@ def test_csv_backup_roundtrip(spark, scratch):
     assert sorted(back.collect()) == sorted(df.collect())
 
 
+def test_single_file_backup_only_for_bounded_tables(spark, scratch, monkeypatch):
+    df = spark.createDataFrame([("AAA", 2001, 1.25), ("BBB", 2002, None)], "country_code string, year int, v double")
+    path = sinks.export_csv_backup(df, os.path.join(scratch, "one"), single_file=True)
+    assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
+    monkeypatch.setattr(sinks, "SINGLE_FILE_MAX_ROWS", 1)
+    with pytest.raises(ValueError):
+        sinks.export_csv_backup(df, os.path.join(scratch, "two"), single_file=True)
+
+
 def test_publish_view_and_head_sample(spark):
     df = spark.createDataFrame([(i, f"n{i}") for i in range(10)], "k int, name string")
     sinks.publish_view(df, "v_test")
