@@ -56,6 +56,11 @@ def ranked(df: DataFrame, order: list, name: str, rank: str = "rank") -> DataFra
     return t.withColumn(rank, base.cast("long") + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))).drop("__place")
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` stored with a number per row in ``__row``, so that a verdict can be joined back to exactly its row."""
+    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), name)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that do not clash (case-insensitively) with those of ``df``."""
     taken = {c.lower() for c in df.columns}

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,20 +96,18 @@ def entropy_balance(cells: DataFrame, margins: dict[str, DataFrame], tolerance:
     return {c: d.select(F.when(F.col("key") == "n", None).otherwise(F.expr("substring(key, 2)")).alias("key"), "lambda") for c, d in duals.items()}
 
 
-def _copies(pdf):
+def _copies(table: pa.Table) -> pa.Table:
     """Whole copies of one group: largest first, each the copies nearest to what the rates still owe."""
-    pdf = pdf.sort_values(["size", "__h", "__id"], ascending=[False, True, True], kind="mergesort")
+    table = table.sort_by([("size", "descending"), ("__h", "ascending"), ("__id", "ascending")])
     owed, out = 0.0, []
-    for rate, size in zip(pdf["rate"].to_numpy(), pdf["size"].to_numpy()):
-        low = math.floor(rate + 1e-9)
+    for rate, size in zip(table["rate"].to_pylist(), table["size"].to_pylist()):
+        n = math.floor(rate + 1e-9)
         owed += rate * size
-        n = low
-        if rate - low > 1e-9 and size > 0 and owed - low * size > size / 2:
-            n = low + 1
+        if rate - n > 1e-9 and owed - n * size > size / 2:
+            n += 1
         owed -= n * size
         out.append(n)
-    pdf["copies"] = out
-    return pdf[["__id", "copies"]]
+    return table.select(["__id", "doc_id", "size", "source_size", "target", "rate"]).append_column("copies", pa.array(out, pa.int32()))
 
 
 def mix_documents(
@@ -119,7 +118,6 @@ def mix_documents(
 
     ``keep_rows``: instead ``docs`` itself, each row as often as the mix takes it.
     """
-    # the count of words is one less than the pieces between runs of white space around a marked text
     text = F.coalesce(F.col(text_col), F.lit(""))
     size = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     keys = docs.select(F.monotonically_increasing_id().alias("__id"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"))
@@ -135,7 +133,7 @@ def mix_documents(
         .join(dual.alias("d"), F.col("t.source").eqNullSafe(F.col("d.key")), "left")
         .select(
             F.col("t.source").alias("source"), F.col("t.size").alias("source_size"), "target",
-            F.least(F.coalesce(F.exp("lambda"), F.lit(0.0)), F.lit(cap)).alias("rate"),
+            F.least(F.round(F.coalesce(F.exp("lambda"), F.lit(0.0)), 9), F.lit(cap)).alias("rate"),
             F.greatest(F.ceil(F.col("n") / DOCS_PER_BUCKET), F.lit(1)).alias("buckets"),
         ),
         "mix-rates",
@@ -148,11 +146,7 @@ def mix_documents(
         .withColumn("bucket", F.pmod("__h", F.col("buckets")))
     )
     schema = "__id long, doc_id long, size long, source_size long, target double, rate double, copies int"
-
-    def round_group(pdf):
-        return pdf.merge(_copies(pdf), on="__id")[["__id", "doc_id", "size", "source_size", "target", "rate", "copies"]]
-
-    mixed = rated.groupBy("source", "bucket").applyInPandas(round_group, schema)
+    mixed = rated.groupBy("source", "bucket").applyInArrow(_copies, schema)
     if not keep_rows:
         return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "rate", "copies")
     taken = mixed.select("__id", "copies").filter("copies > 0")
