@@ -46,19 +46,19 @@ def ranked(df: DataFrame, order: list, name: str, rank: str = "rank") -> DataFra
         name,
     )
     pid = F.shiftright("__place", 33)
-    at, offsets = 0, {}
-    for r in sorted(t.groupBy(pid.alias("p")).count().collect()):
-        offsets[r["p"]] = at
-        at += r["count"]
-    if not offsets:
-        return t.withColumn(rank, F.col("__place")).drop("__place")
-    base = F.element_at(F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]), pid)
-    return t.withColumn(rank, base.cast("long") + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))).drop("__place")
-
-
-def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` stored with a number per row in ``__row``, so that a verdict can be joined back to exactly its row."""
-    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), name)
+    counts = {r["p"]: r["count"] for r in t.groupBy(pid.cast("int").alias("p")).count().collect()}
+    starts, at = [], 0
+    for p in range(max(counts, default=0) + 1):
+        starts.append(at)
+        at += counts.get(p, 0)
+    start = F.element_at(F.lit(starts).cast("array<bigint>"), pid.cast("int") + 1)
+    return t.withColumn(rank, start + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))).drop("__place")
+
+
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` stored with a number per row, and the number's column: a verdict joins back to exactly its row."""
+    (row,) = fresh(docs, "__row")
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

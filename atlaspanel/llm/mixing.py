@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlaspanel.llm.common import ranked, stored
+from atlaspanel.llm.common import fresh, ranked, stored
 
 #: Documents of a source rounded together (one group of one task).
 DOCS_PER_BUCKET = 5_000
@@ -120,9 +120,10 @@ def mix_documents(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     size = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    row, held_size, copy = fresh(docs, "__id", "__size", "__copy")
     keys = docs.select(F.monotonically_increasing_id().alias("__id"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"))
-    rows = stored(docs.withColumns({"__id": F.monotonically_increasing_id(), "__size": size}) if keep_rows else keys, "mix-rows")
-    small = rows.select("__id", F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col("__size").alias("size")) if keep_rows else rows
+    rows = stored(docs.withColumns({row: F.monotonically_increasing_id(), held_size: size}) if keep_rows else keys, "mix-rows")
+    small = rows.select(F.col(row).alias("__id"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(held_size).alias("size")) if keep_rows else rows
     targets = stored(source_targets(small, share, cap, weights), "mix-targets")
     cells = small.groupBy("source").agg(F.sum("size").alias("size"))
     dual = entropy_balance(cells, {"source": targets.filter("target > 0").select(F.col("source").alias("key"), "target")})["source"]
@@ -149,6 +150,5 @@ def mix_documents(
     mixed = rated.groupBy("source", "bucket").applyInArrow(_copies, schema)
     if not keep_rows:
         return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "rate", "copies")
-    taken = mixed.select("__id", "copies").filter("copies > 0")
-    repeated = rows.join(taken, "__id").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(*docs.columns)
+    taken = mixed.filter("copies > 0").select(F.col("__id").alias(row), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(copy))
+    return rows.join(taken, row).select(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlaspanel.llm import mixing, quality, sharding, token_counts, toxicity
+from atlaspanel.llm import mixing, packing, quality, sharding, simhash, token_counts, toxicity
 from atlaspanel.llm.common import read_table
 from atlaspanel.session import configure
 
@@ -20,6 +20,14 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(configure(spark), sf_dir, "documents")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(spark, _docs(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark, _docs(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _docs(spark, sf_dir), read_table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, toxicity.training_labels(labels).select("doc_id", "toxic"))
@@ -45,6 +53,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, _docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op6_toxicity, op7_quality_rules, op8_token_counts, op9_mixing, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_simhash, op6_toxicity, op7_quality_rules, op8_token_counts, op9_mixing, op10_sharding)}
 
 ORACLE_SQL: dict[str, str] = {}

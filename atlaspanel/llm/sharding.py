@@ -20,12 +20,10 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from atlaspanel.llm.common import stored
+from atlaspanel.llm.common import ranked, stored
 
 #: Groups per bucket of the bundling step (what one task sorts).
 GROUPS_PER_BUCKET = 20_000
-#: Rows per numbering bucket of a shard.
-ROWS_PER_BUCKET = 50_000
 
 
 def longest_first(items: list[tuple[int, object]], shards: int) -> dict:
@@ -67,8 +65,9 @@ def schedule_groups(spark: SparkSession, groups: DataFrame, shards: int, grains:
 def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 40, overhead: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) by the law ``bytes``.
 
-    ``slot`` numbers a shard's rows from 0 without a gap: rows are numbered in
-    buckets of a shard and each bucket starts where the one before it ends.
+    ``slot`` numbers a shard's rows from 0 without a gap: all rows are ranked by
+    a range-partitioned sort that starts with the shard, and a shard's first
+    rank is taken off.
     """
     text = F.col(text_col)
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + overhead).cast("long")
@@ -83,27 +82,12 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 40, over
     )
     groups = stored(rows.groupBy("group").agg(F.sum("size").alias("bytes")), "shard-groups")
     shard_of = schedule_groups(spark, groups, shards)
+    assigned = rows.join(shard_of, "group").select("doc_id", "size", "text_crc32", "shard")
     # ids, not texts, spread a shard's rows (a text may be held by very many of them)
-    n = rows.count()
-    buckets = max(n // (shards * ROWS_PER_BUCKET), 1) * 4
-    assigned = stored(
-        rows.join(shard_of, "group").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)).cast("int")),
-        "shard-assigned",
-    )
-    starts = assigned.groupBy("shard", "bucket").count()  # shards x buckets rows
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.select("shard", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
-    place = Window.partitionBy("shard", "bucket").orderBy("doc_id", "group")
-    return (
-        assigned.withColumn("place", F.row_number().over(place) - 1)
-        .join(starts, ["shard", "bucket"])
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            F.lit("bytes").alias("law"),
-            "shard",
-            (F.col("start") + F.col("place")).cast("long").alias("slot"),
-            F.lit(None).cast("int").alias("grown_shard"),
-        )
+    order = ["shard", F.xxhash64("doc_id", "size"), "doc_id", "text_crc32"]
+    placed = ranked(assigned, order, "shard-slots")
+    starts = placed.groupBy("shard").agg(F.min("rank").alias("start"))  # one row per shard
+    return placed.join(starts, "shard").select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        (F.col("rank") - F.col("start")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )

@@ -75,11 +75,13 @@ class Counter:
             if "▁" in t:  # the mark itself in a text counts as a space
                 whole.append(i)
             elif t:
-                cut.append((i, _UNIT.findall(" " + t)))
+                # single spaces only: the pieces between them are the units (less their space)
+                plain = "  " not in t and t[0] != " " and t[-1] != " "
+                cut.append((i, t.split(" ") if plain else [u[1:] for u in _UNIT.findall(" " + t)]))
         missing = list({u for _, units in cut for u in units if u not in known})
         # a unit's first space is the one that the library puts before every text
-        known.update(zip(missing, self.encode([u[1:] for u in missing])))
-        known[" "] = 1
+        known.update(zip(missing, self.encode(missing)))
+        known[""] = 1
         for i, units in cut:
             out[i] = sum(map(known.__getitem__, units))
         for i, n in zip(whole, self.encode([batch[i] for i in whole])):
