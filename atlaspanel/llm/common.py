@@ -13,7 +13,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, path: str | None = None, compression: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, path: str | None = None, compression: str | None = None, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor re-reads the table instead of recomputing it.
@@ -23,6 +23,8 @@ def stored(df: DataFrame, name: str, path: str | None = None, compression: str |
     writer = df.write.mode("overwrite")
     if compression:
         writer = writer.option("compression", compression)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(_nullable(df.schema)).parquet(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlaspanel.llm import mixing, packing, quality, sharding, simhash, token_counts, toxicity
+from atlaspanel.llm import katz, mixing, packing, quality, sharding, simhash, token_counts, topk, toxicity, warc
 from atlaspanel.llm.common import read_table
 from atlaspanel.session import configure
 
@@ -20,14 +20,29 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(configure(spark), sf_dir, "documents")
 
 
+def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return katz.score_texts(spark, _docs(spark, sf_dir), held_out)[0]
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, _docs(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(configure(spark), sf_dir, "embeddings")
+    return topk.top_k(spark, rows, rows.filter(F.col("vec_id") % 20 == 0))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, _docs(spark, sf_dir))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_pages(spark, read_table(configure(spark), sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _docs(spark, sf_dir), read_table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, toxicity.training_labels(labels).select("doc_id", "toxic"))
@@ -53,6 +68,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, _docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_simhash, op6_toxicity, op7_quality_rules, op8_token_counts, op9_mixing, op10_sharding)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_katz_backoff, op2_best_fit_packing, op3_top_k, op4_simhash, op5_warc,
+        op6_toxicity, op7_quality_rules, op8_token_counts, op9_mixing, op10_sharding,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}
