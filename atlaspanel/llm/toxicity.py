@@ -34,6 +34,8 @@ MAX_LABELLED = 20_000
 MAX_FEATURES = 3_000
 #: A feature is looked at if this many labelled documents of the sample hold it.
 MIN_DOCS = 4
+#: Least likelihood-ratio statistic (chi-square with one degree of freedom) of a feature.
+MIN_RATIO = 24.0
 PREFIXES = (4, 5)
 THRESHOLD = 0.7
 
@@ -217,7 +219,7 @@ def _pick_features(model, known):
     return run
 
 
-def fit_logistic(rows: list[list[int]], y: np.ndarray, width: int, l2: float = 0.02, steps: int = 400) -> tuple[np.ndarray, float]:
+def fit_logistic(rows: list[list[int]], y: np.ndarray, width: int, l2: float = 0.004, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weights and intercept of a logistic model on binary features (accelerated gradient steps)."""
     w, b = np.zeros(width), math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
     if not len(y) or y.min() == y.max():
@@ -253,8 +255,14 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     )
     n1, n0 = (texts_of.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()) or (0, 0)
     n1, n0 = n1 or 0, n0 or 0
-    odds = F.log((F.col("toxic") + 0.2) / F.lit(n1 + 1.0)) - F.log((F.col("clean") + 0.2) / F.lit(n0 + 1.0))
-    telling = sums.withColumn("odds", odds).filter(F.abs("odds") > 1.5).withColumn("gain", (F.col("clean") + F.col("toxic")) * F.abs("odds"))
+    # likelihood ratio of the feature and the label being independent; the bound allows for very many features tried
+    part = lambda k, of: F.when(k > 0, k * F.log(k / of)).otherwise(0.0)
+    held, n = F.col("clean") + F.col("toxic"), n0 + n1
+    ratio = 2 * sum(part(k, m * x / n) for k, m, x in (
+        (F.col("toxic"), F.lit(float(n1)), held), (F.col("clean"), F.lit(float(n0)), held),
+        (n1 - F.col("toxic"), F.lit(float(n1)), n - held), (n0 - F.col("clean"), F.lit(float(n0)), n - held),
+    )) if n else F.lit(0.0)
+    telling = sums.withColumn("gain", ratio).filter(F.col("gain") > MIN_RATIO)
     names = sorted(bytes(r["feature"]) for r in telling.orderBy(F.desc("gain"), "feature").limit(MAX_FEATURES).collect())
     known = {f: i for i, f in enumerate(names)}
     picked = texts_of.mapInArrow(_pick_features(lp, known), "at array<int>, toxic int").collect()  # at most max_labelled rows, roughly
