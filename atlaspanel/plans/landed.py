@@ -30,11 +30,12 @@ def source_configs(start_year: int, end_year: int, current_year: int) -> dict[st
     return {
         "wb": SourceConfig(
             "wb", D.for_source("wb"), year_lo=D.MIN_YEAR["wb"], year_hi=current_year, window=window,
-            required=("country_name", "indicator"), map_labels=True,
+            required=("country_name", "indicator"), map_labels=True, raw_names=(("country_name", "Country"),),
         ),
         "hdr": SourceConfig(
             "hdr", D.for_source("hdr"), year_lo=D.MIN_YEAR["hdr"], year_hi=current_year, window=window,
             year_is_text=True, raw_year_text=False, required=("country_name", "indicator"),
+            raw_names=(("country_code", "countryIsoCode"), ("country_name", "country")),
         ),
         "weo": SourceConfig(
             "weo", D.for_source("weo"), keys=("country_code", "year"), year_lo=D.MIN_YEAR["weo"],
@@ -74,7 +75,8 @@ def weo_points(nested: DataFrame) -> DataFrame:
 
 
 def fdi_points(pairs: DataFrame) -> DataFrame:
-    """FDI (code, period, value) pairs -> points; points without a value are skipped (V8)."""
+    """FDI (code, period, value) pairs -> points; points without a value are skipped (V8).
+    An unreadable document is a point whose value is its text, and is rejected."""
     return pairs.filter(F.col("value").isNotNull()).select(
         "country_code", "year", F.lit("FD_FD_IX").alias("indicator"), "value", "ingest_seq"
     )
@@ -91,12 +93,15 @@ def landed_refresh_inputs(
     end_year: int,
     current_year: int,
     wb_format: str = "parquet",
-    multi_line_json: bool = True,
+    multi_line_json: bool = False,
 ) -> RefreshInputs:
+    """``multi_line_json``: for payloads landed as one JSON document over several
+    lines (then one task reads a file); line-delimited documents split. The FDI
+    source may be empty; the refresh then goes on with WEO alone."""
     cfg = source_configs(start_year, end_year, current_year)
     seed = readers.read_country_seed(spark, seed_csv)
-    wb = readers.payload_order(readers.read_wide_years(spark, wb_wide, fmt=wb_format), parquet=wb_format == "parquet")
-    hdr = readers.payload_order(readers.read_point_records(spark, hdr_json, multi_line=multi_line_json), parquet=False)
+    wb = readers.payload_order(readers.read_wide_years(spark, wb_wide, fmt=wb_format), parquet=wb_format == "parquet", path=wb_wide)
+    hdr = readers.payload_order(readers.read_point_records(spark, hdr_json, multi_line=multi_line_json), parquet=False, path=hdr_json)
     points = {
         "wb": wb_points(wb),
         "hdr": hdr_points(hdr),
@@ -110,4 +115,5 @@ def landed_refresh_inputs(
         two_part=(RAW_TABLES["weo"], RAW_TABLES["fdi"]),
         dictionary=D.INDICATORS,
         params=SuiteParams(),
+        optional=(RAW_TABLES["fdi"],),
     )

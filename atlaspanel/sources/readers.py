@@ -28,12 +28,13 @@ POINT_RECORD_SCHEMA = T.StructType(
     ]
 )
 
-# Nested-map JSON (WEO-like): values[indicator][country][year] = value.
+# Nested-map JSON (WEO-like): values[indicator][country][year] = value. Leaves
+# stay text until validation (V5): one bad cell is one reject, not a lost document.
 NESTED_MAP_SCHEMA = T.StructType(
     [
         T.StructField(
             "values",
-            T.MapType(T.StringType(), T.MapType(T.StringType(), T.MapType(T.StringType(), T.DoubleType()))),
+            T.MapType(T.StringType(), T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))),
             True,
         )
     ]
@@ -57,7 +58,7 @@ PARALLEL_ARRAYS_SCHEMA = T.StructType(
                                         True,
                                     ),
                                     T.StructField("period", T.ArrayType(T.StringType()), True),
-                                    T.StructField("value", T.ArrayType(T.DoubleType()), True),
+                                    T.StructField("value", T.ArrayType(T.StringType()), True),
                                 ]
                             )
                         ),
@@ -71,6 +72,26 @@ PARALLEL_ARRAYS_SCHEMA = T.StructType(
 )
 
 
+# Column that receives the text of a document that is not readable JSON.
+CORRUPT = "_corrupt_record"
+
+
+def _json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """JSON documents with the declared schema; an unreadable one keeps its text in ``CORRUPT``."""
+    declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    return (
+        spark.read.schema(declared).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    )
+
+
+def _parts(field: str):
+    """A document as (content, unreadable text) entries: its content, and one more entry if it is unreadable."""
+    content = F.when(F.col(field).isNotNull(), F.struct(F.col(field).alias("content"), F.lit(None).cast("string").alias("bad")))
+    bad = F.when(F.col(CORRUPT).isNotNull(), F.struct(F.lit(None).alias("content"), F.col(CORRUPT).alias("bad")))
+    return F.explode(F.array_compact(F.array(content, bad)))
+
+
 def read_country_seed(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV; only the empty field is NULL, so the code ``NA`` stays text."""
     return (
@@ -102,53 +123,57 @@ def read_point_records(spark: SparkSession, path: str, multi_line: bool = False)
     """S3: JSON arrays (or lines) of point records.
 
     A landed file that is one JSON array needs ``multi_line=True`` (one task per
-    file). Line-delimited files -- including one array per line -- split.
+    file). Line-delimited files -- including one array per line -- split. An
+    unreadable document becomes one point without keys whose ``value`` is the
+    document's text, which validation rejects.
     """
-    return spark.read.schema(POINT_RECORD_SCHEMA).option("multiLine", multi_line).json(path)
+    raw = _json(spark, path, POINT_RECORD_SCHEMA, multi_line)
+    return raw.withColumn("value", F.coalesce(CORRUPT, "value")).drop(CORRUPT)
 
 
 def read_nested_map(spark: SparkSession, path: str, multi_line: bool = False, ordered: bool = False) -> DataFrame:
     """``values[indicator][country][year] = value`` -> (country_code, indicator, year, value).
 
-    Three generator steps; each output row is independent, so this stays a
-    narrow, per-partition transformation.
+    Generator steps only; each output row is independent, so this stays a
+    narrow, per-partition transformation. Values are text (V5 parses them). An
+    unreadable document becomes one point without keys whose ``value`` is the
+    document's text, which validation rejects.
     """
-    raw = spark.read.schema(NESTED_MAP_SCHEMA).option("multiLine", multi_line).json(path)
+    raw = _json(spark, path, NESTED_MAP_SCHEMA, multi_line)
     seq = []
     if ordered:  # document order; entries of one document share it (map keys are unique)
-        raw = payload_order(raw, parquet=False)
+        raw = payload_order(raw, parquet=False, path=path)
         seq = ["ingest_seq"]
-    by_indicator = raw.select(*seq, F.explode("values").alias("indicator", "countries"))
-    by_country = by_indicator.select(*seq, "indicator", F.explode("countries").alias("country_code", "years"))
-    return by_country.select(
-        *seq, "country_code", "indicator", F.explode("years").alias("year", "value")
-    ).select("country_code", "indicator", "year", "value", *seq)
+    parts = raw.select(*seq, _parts("values").alias("part")).select(*seq, "part.content", "part.bad")
+    by_indicator = parts.select(*seq, "bad", F.explode_outer("content").alias("indicator", "countries"))
+    by_country = by_indicator.select(*seq, "bad", "indicator", F.explode_outer("countries").alias("country_code", "years"))
+    cells = by_country.select(*seq, "bad", "country_code", "indicator", F.explode_outer("years").alias("year", "value"))
+    return cells.filter(F.col("year").isNotNull() | F.col("bad").isNotNull()).select(
+        "country_code", "indicator", "year", F.coalesce("bad", "value").alias("value"), *seq
+    )
 
 
 def read_parallel_arrays(spark: SparkSession, path: str, multi_line: bool = False, ordered: bool = False) -> DataFrame:
     """Per document zip(period, value) -> (country_code, year, value).
 
     Like a zip over two lists, pairs stop at the shorter array: both arrays are
-    sliced to the common length before ``arrays_zip`` (which would pad).
+    sliced to the common length before ``arrays_zip`` (which would pad). Values
+    are text (V5 parses them). An unreadable document becomes one point without
+    keys whose ``value`` is the document's text, which validation rejects.
     """
-    raw = spark.read.schema(PARALLEL_ARRAYS_SCHEMA).option("multiLine", multi_line).json(path)
+    raw = _json(spark, path, PARALLEL_ARRAYS_SCHEMA, multi_line)
     seq = []
     if ordered:  # document order; pairs of one document share it
-        raw = payload_order(raw, parquet=False)
+        raw = payload_order(raw, parquet=False, path=path)
         seq = ["ingest_seq"]
-    docs = raw.select(*seq, F.explode("series.docs").alias("doc"))
-    n = F.least(F.size("doc.period"), F.size("doc.value"))
-    pairs = docs.filter(n > 0).select(
-        *seq,
-        F.col("doc.dimensions.REF_AREA").alias("country_code"),
-        F.inline(
-            F.arrays_zip(
-                F.slice("doc.period", 1, n).alias("period"),
-                F.slice("doc.value", 1, n).alias("value"),
-            )
-        ),
-    )
-    return pairs.select("country_code", F.col("period").alias("year"), "value", *seq)
+    parts = raw.select(*seq, _parts("series").alias("part")).select(*seq, "part.content", "part.bad")
+    docs = parts.select(*seq, "bad", F.explode_outer("content.docs").alias("doc"))
+    n = F.coalesce(F.least(F.size("doc.period"), F.size("doc.value")), F.lit(0))
+    zipped = F.arrays_zip(F.slice("doc.period", 1, n).alias("period"), F.slice("doc.value", 1, n).alias("value"))
+    pairs = docs.select(
+        *seq, "bad", F.col("doc.dimensions.REF_AREA").alias("country_code"), F.inline_outer(F.when(n > 0, zipped))
+    ).filter(F.col("period").isNotNull() | F.col("value").isNotNull() | F.col("bad").isNotNull())
+    return pairs.select("country_code", F.col("period").alias("year"), F.coalesce("bad", "value").alias("value"), *seq)
 
 
 def read_layer_table(spark: SparkSession, layer: str, name: str) -> DataFrame:
@@ -178,7 +203,7 @@ def _decimal_power(digits: int):
 
 
 def _file_ranks(files: DataFrame) -> DataFrame:
-    """An order-preserving rank per file path, computed in parallel.
+    """An order-preserving rank per file path (column ``__file``), computed in parallel.
 
     Range-partition the paths, sort each partition, and take
     ``monotonically_increasing_id`` (partition index in the high bits, row in
@@ -193,14 +218,21 @@ def _file_ranks(files: DataFrame) -> DataFrame:
     )
 
 
-def payload_order(df: DataFrame, parquet: bool, col: str = "ingest_seq") -> DataFrame:
+def _listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The payload's files, from their listing alone (no file is opened): one row per path."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.col("path").alias("__file"))
+
+
+def payload_order(df: DataFrame, parquet: bool, path: str | list[str], col: str = "ingest_seq") -> DataFrame:
     """Attach the payload row order: (file rank, position within the file).
 
-    ``df`` must come straight from a file scan. Files are ranked by path
-    (``_file_ranks``: one row per file, joined back map-side behind a size
-    check, else by shuffle with AQE splitting a file that holds most rows).
-    The key is ``decimal(38,0)``, a primitive the pivot's ``min_by`` still
-    aggregates with a hash aggregate.
+    ``df`` must come straight from a scan of ``path``. Files are ranked by name
+    from the listing of ``path``, so the payload itself is scanned once. The
+    ranks (one row per file) are left to the optimizer's own size test; beyond
+    it the join shuffles and AQE splits a file that holds most rows. The key is
+    ``decimal(38,0)``, a primitive the pivot's ``min_by`` still aggregates with
+    a hash aggregate.
 
     * parquet: ``_metadata.row_index`` is the row's position in its file;
       key ``rank * 10^13 + row_index``.
@@ -210,8 +242,6 @@ def payload_order(df: DataFrame, parquet: bool, col: str = "ingest_seq") -> Data
       file order); key ``rank * 10^25 + block_start * 10^10 + row_in_task`` --
       exact for any split size or file packing.
     """
-    from atlaspanel.operators.joins import bounded_broadcast
-
     dec = "decimal(38,0)"
     with_meta = df.withColumn("__file", F.col("_metadata.file_path"))
     if parquet:
@@ -222,7 +252,9 @@ def payload_order(df: DataFrame, parquet: bool, col: str = "ingest_seq") -> Data
         pos = F.col("_metadata.file_block_start").cast(dec) * _decimal_power(TASK_ROW_DIGITS) + row_in_task.cast(dec)
         scale = _decimal_power(OFFSET_DIGITS + TASK_ROW_DIGITS)
     with_meta = with_meta.withColumn("__pos", pos)
-    ranked = _file_ranks(with_meta.select("__file").distinct())
-    out = with_meta.join(bounded_broadcast(ranked), "__file", "inner")
+    # the two listings may spell a path's scheme differently (file:/ and file:///)
+    spelled = lambda c: F.regexp_replace(c, "^file:/+", "file:///")
+    ranked = _file_ranks(_listing(df.sparkSession, path).select(spelled("__file").alias("__file")))
+    out = with_meta.withColumn("__file", spelled("__file")).join(ranked, "__file", "inner")
     key = (F.col("__rank").cast(dec) * scale + F.col("__pos")).cast(dec)
     return out.withColumn(col, key).drop("__file", "__pos", "__rank")

@@ -22,14 +22,16 @@ def replace_table(df: DataFrame, layer: str, name: str, partition_by: list[str]
     """K1/K5: full refresh of ``layer.name`` (DROP + CREATE TABLE AS SELECT).
 
     ``partition_by`` (e.g. ``year`` for the fact at scale) gives partition
-    pruning to readers that filter on it.
+    pruning to readers that filter on it; rows are rebalanced on it first, so a
+    folder holds about one file per advisory partition size, not one per task.
     """
     spark = df.sparkSession
     ensure_layer(spark, layer)
     full = f"`{layer}`.`{name}`"
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        df = df.hint("rebalance", *partition_by)
+        writer = df.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
     writer.saveAsTable(full)
     return full
 
@@ -43,23 +45,10 @@ def publish_view(df: DataFrame, name: str) -> str:
     return name
 
 
-# A single-file backup goes through one task; allowed only for tables proven
-# this small (a raw table is countries x years, a few thousand rows).
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
-
-def export_csv_backup(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """K3: header CSV copy. A directory of part files; ``single_file`` writes
-    one part through one task and is refused unless the table's row count is
-    proven to be at most ``SINGLE_FILE_MAX_ROWS``."""
-    if single_file:
-        from atlaspanel.operators.joins import row_count_at_most
-
-        if not row_count_at_most(df, SINGLE_FILE_MAX_ROWS):
-            raise ValueError(f"single-file CSV backup refused: more than {SINGLE_FILE_MAX_ROWS} rows")
-    out = df.coalesce(1) if single_file else df
+def export_csv_backup(df: DataFrame, path: str) -> str:
+    """K3: header CSV copy, as a directory of part files."""
     (
-        out.write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("header", True)
         .option("emptyValue", "")
         .option("nullValue", "")
@@ -69,8 +58,8 @@ def export_csv_backup(df: DataFrame, path: str, single_file: bool = False) -> st
 
 
 def backup_name(source: str, start_year: int, end_year: int) -> str:
-    """K3 file naming: the source and the year span (end exclusive -> last year)."""
-    return f"{source}_{start_year}_{end_year - 1}"
+    """K3 file naming: the source and the two bounds of the extraction window as given."""
+    return f"{source}_{start_year}_{end_year}"
 
 
 def load_row_count(df: DataFrame, table: str) -> DataFrame:

@@ -17,23 +17,40 @@ def test_broadcast_only_below_the_bound(spark):
     try:
         big = spark.range(1000).withColumnRenamed("id", "k")
         small = spark.range(10).withColumnRenamed("id", "k")
-        hinted = big.join(joins.bounded_broadcast(small, max_rows=100), "k")
+        hinted = big.join(joins.bounded_broadcast(small, max_bytes=800), "k")
         assert "BroadcastHashJoin" in _plan(hinted)
-        not_hinted = big.join(joins.bounded_broadcast(big.select("k"), max_rows=100), "k")
+        not_hinted = big.join(joins.bounded_broadcast(big.select("k"), max_bytes=800), "k")
         assert "BroadcastHashJoin" not in _plan(not_hinted)
         assert not_hinted.count() == 1000
+        # a derivative is judged by the frame it comes from
+        out = joins.bounded_broadcast(big.select("k").limit(3), max_bytes=800, bounded_by=big)
+        assert "Hint broadcast" not in out._jdf.queryExecution().logical().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_size_check_runs_no_job(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(100).write.parquet(path)
+    dim = spark.read.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    joins.bounded_broadcast(dim)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
 def test_payload_order_follows_files_and_rows(spark, tmp_path):
     d = str(tmp_path)
     for i, rows in enumerate([[("a", 1), ("b", 2)], [("c", 3)]]):
         spark.createDataFrame(rows, "k string, v int").coalesce(1).write.parquet(os.path.join(d, f"f{i}"))
     df = spark.read.parquet(os.path.join(d, "f0"), os.path.join(d, "f1"))
-    out = readers.payload_order(df, parquet=True).orderBy("ingest_seq").collect()
+    paths = [os.path.join(d, "f0"), os.path.join(d, "f1")]
+    keyed = readers.payload_order(df, parquet=True, path=paths)
+    out = keyed.orderBy("ingest_seq").collect()
+    # the payload is scanned once; its files are ranked from their listing
+    assert keyed._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
     assert [r.k for r in out] == ["a", "b", "c"]
-    assert dict(readers.payload_order(df, parquet=True).dtypes)["ingest_seq"] == "decimal(38,0)"
+    assert dict(keyed.dtypes)["ingest_seq"] == "decimal(38,0)"
     assert F is not None
 
 
@@ -50,7 +67,7 @@ def test_payload_order_ranks_many_files_in_parallel(spark, tmp_path):
         files = df.select(F.col("_metadata.file_path").alias("__file")).distinct()
         parts = readers._file_ranks(files).select(F.shiftright("__rank", 33).alias("p")).distinct().count()
         assert parts > 1  # ranks come from several range partitions
-        keyed = readers.payload_order(df, parquet=False)
+        keyed = readers.payload_order(df, parquet=False, path=d)
         got = [(r.f, r.r) for r in keyed.orderBy("ingest_seq").collect()]
         plan = keyed._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -72,39 +89,10 @@ def test_payload_order_exact_across_text_splits(spark, tmp_path):
     try:
         df = spark.read.schema("i int, pad string").json(d)
         assert df.rdd.getNumPartitions() > 10
-        keyed = readers.payload_order(df, parquet=False)
+        keyed = readers.payload_order(df, parquet=False, path=d)
         assert dict(keyed.dtypes)["ingest_seq"] == "decimal(38,0)"
         got = [r.i for r in keyed.orderBy("ingest_seq").select("i").collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert got == list(range(3000)) + [10_000 + i for i in range(50)]
-
-
-def test_bounded_by_reuses_one_check(spark, monkeypatch):
-    # projections of one dimension share its memoised count; a frame over the
-    # bound is not hinted even when a derivative would be small
-    from atlaspanel.operators import joins
-
-    calls = []
-    real = joins.row_count_at_most
-    monkeypatch.setattr(joins, "row_count_at_most", lambda df, n: calls.append(df.columns) or real(df, n))
-    dim = spark.createDataFrame([(i, f"n{i}") for i in range(5)], "code int, name string")
-    for cols in (["code"], ["code", "name"], ["name"]):
-        hinted = joins.bounded_broadcast(dim.select(*cols), bounded_by=dim)
-        assert "Hint broadcast" in hinted._jdf.queryExecution().logical().toString()
-    assert all(c == ["code", "name"] for c in calls)
-    big = spark.range(50).withColumnRenamed("id", "code")
-    out = joins.bounded_broadcast(big.select("code").limit(3), max_rows=10, bounded_by=big)
-    assert "Hint broadcast" not in out._jdf.queryExecution().logical().toString()
-
-
-def test_size_check_not_trusted_after_overwrite(spark):
-    # a table rewritten under its name keeps its semantic plan; the memoised
-    # bound must not carry over to the larger version
-    from atlaspanel.operators import joins
-
-    spark.range(5).write.mode("overwrite").saveAsTable("memo_dim")
-    assert joins.row_count_at_most(spark.table("memo_dim"), 10)
-    spark.range(50).write.mode("overwrite").saveAsTable("memo_dim")
-    assert not joins.row_count_at_most(spark.table("memo_dim"), 10)

@@ -38,7 +38,7 @@ def test_nested_map_payload(spark, scratch):
     doc = {"values": {"BCA": {"USA": {"1999": 1.0, "2001": 2.5}, "DEU": {"2001": None}}}}
     open(path, "w").write(json.dumps(doc))
     rows = sorted((r.country_code, r.indicator, r.year, r.value) for r in readers.read_nested_map(spark, path).collect())
-    assert rows == [("DEU", "BCA", "2001", None), ("USA", "BCA", "1999", 1.0), ("USA", "BCA", "2001", 2.5)]
+    assert rows == [("DEU", "BCA", "2001", None), ("USA", "BCA", "1999", "1.0"), ("USA", "BCA", "2001", "2.5")]
 
 
 def test_parallel_arrays_zip_truncates(spark, scratch):
@@ -53,7 +53,7 @@ def test_parallel_arrays_zip_truncates(spark, scratch):
     }
     open(path, "w").write(json.dumps(doc))
     rows = sorted((r.country_code, r.year, r.value) for r in readers.read_parallel_arrays(spark, path).collect())
-    assert rows == [("DE", "2000", 0.1), ("US", "2000", 0.5), ("US", "2001", None)]
+    assert rows == [("DE", "2000", "0.1"), ("US", "2000", "0.5"), ("US", "2001", None)]
 
 
 def test_wide_years_renames(spark, scratch):
@@ -81,18 +81,34 @@ def test_ensure_layer_idempotent(spark):
 def test_csv_backup_roundtrip(spark, scratch):
     df = spark.createDataFrame([("AAA", 2001, 1.25), ("BBB", 2002, None)], "country_code string, year int, v double")
     path = sinks.export_csv_backup(df, os.path.join(scratch, sinks.backup_name("wb", 2000, 2026)))
-    assert path.endswith("wb_2000_2025")
+    assert path.endswith("wb_2000_2026")
     back = spark.read.schema(df.schema).option("header", True).option("nullValue", "").csv(path)
     assert sorted(back.collect()) == sorted(df.collect())
 
 
-def test_single_file_backup_only_for_bounded_tables(spark, scratch, monkeypatch):
-    df = spark.createDataFrame([("AAA", 2001, 1.25), ("BBB", 2002, None)], "country_code string, year int, v double")
-    path = sinks.export_csv_backup(df, os.path.join(scratch, "one"), single_file=True)
-    assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
-    monkeypatch.setattr(sinks, "SINGLE_FILE_MAX_ROWS", 1)
-    with pytest.raises(ValueError):
-        sinks.export_csv_backup(df, os.path.join(scratch, "two"), single_file=True)
+def test_unreadable_json_loses_nothing_else(spark, scratch):
+    """A bad cell is one text value; a broken document is one reject; all other points stay."""
+    path = os.path.join(scratch, "weo.json")
+    good = {"values": {"BCA": {"USA": {"2001": 1.0, "2002": "n/a", "2003": 2.5}, "DEU": {"2001": 4}, "FRA": {"2001": None}}}}
+    open(path, "w").write(json.dumps(good) + "\n{broken\n" + json.dumps({"values": {"BCA": {"ITA": {"2001": 7.5}}}}) + "\n{}\n")
+    rows = [tuple(r) for r in readers.read_nested_map(spark, path).collect()]
+    assert sorted(rows, key=str) == sorted(
+        [("USA", "BCA", "2001", "1.0"), ("USA", "BCA", "2002", "n/a"), ("USA", "BCA", "2003", "2.5"), ("DEU", "BCA", "2001", "4"),
+         ("FRA", "BCA", "2001", None), ("ITA", "BCA", "2001", "7.5"), (None, None, None, "{broken")], key=str)
+    multi = os.path.join(scratch, "multi.json")
+    open(multi, "w").write(json.dumps(good, indent=1))
+    assert readers.read_nested_map(spark, multi, multi_line=True).count() == 5
+
+    path = os.path.join(scratch, "fdi.json")
+    doc = {"series": {"docs": [{"dimensions": {"REF_AREA": "US"}, "period": ["2000", "2001"], "value": [0.5, "n/a"]}, {"dimensions": {"REF_AREA": "DE"}, "period": [], "value": []}]}}
+    open(path, "w").write(json.dumps(doc) + "\n[broken\n")
+    rows = [tuple(r) for r in readers.read_parallel_arrays(spark, path).collect()]
+    assert sorted(rows, key=str) == sorted([("US", "2000", "0.5"), ("US", "2001", "n/a"), (None, None, "[broken")], key=str)
+
+    path = os.path.join(scratch, "hdr.json")
+    open(path, "w").write('{"countryIsoCode": "NAM", "year": 2020, "value": 1}\n{broken\n')
+    rows = [(r.countryIsoCode, r.year, r.value) for r in readers.read_point_records(spark, path).collect()]
+    assert sorted(rows, key=str) == sorted([("NAM", "2020", "1"), (None, None, "{broken")], key=str)
 
 
 def test_publish_view_and_head_sample(spark):
