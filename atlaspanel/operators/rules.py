@@ -111,9 +111,10 @@ def error_list(rules: list[Column]) -> Column:
     return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, ","))
 
 
-def with_errors(df: DataFrame, rules: list[Column], errors_col: str = "errors") -> DataFrame:
-    """Attach ``errors``: the codes of every failing rule (empty array = valid)."""
-    return df.withColumn(errors_col, error_list(rules))
+def checked(df: DataFrame, rules: list[Column], errors_col: str = "errors") -> DataFrame:
+    """V9 in one pass: every row with its ``status`` (valid or rejected) and its failing rules' codes."""
+    status = F.when(first_error(rules).isNull(), F.lit("valid")).otherwise(F.lit("rejected"))
+    return df.withColumns({"status": status, errors_col: error_list(rules)})
 
 
 def split_valid_rejects(df: DataFrame, rules: list[Column], errors_col: str = "errors"):

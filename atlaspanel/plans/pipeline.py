@@ -35,6 +35,7 @@ class SourceConfig:
     order_col: str = "ingest_seq"
     order_unique: bool = True  # False: ties in the order key resolve to the smallest value
     extra_rules: tuple = field(default=())
+    raw_names: tuple = ()  # (canonical key, column name in the raw table) where they differ
 
     @property
     def codes(self) -> list[str]:
@@ -61,21 +62,26 @@ def point_rules(cfg: SourceConfig) -> list:
     return out
 
 
+def outside_window(cfg: SourceConfig):
+    """V7: a year that parses and lies outside the extraction window. Such points
+    are skipped before validation; they are history or forecast, not faults."""
+    if not cfg.window:
+        return F.lit(False)
+    y = F.col("year").try_cast("int") if cfg.year_is_text else F.col("year")
+    return F.coalesce((y < F.lit(cfg.window[0])) | (y >= F.lit(cfg.window[1])), F.lit(False))
+
+
 def validate_points(points: DataFrame, cfg: SourceConfig):
-    """V9 over a source: (valid points, rejects with their error codes).
+    """V7 and V9 over a source: (valid points, rejects with their error codes).
 
-    Valid points get a double ``value`` (NaN -> NULL) and, for text years, the
-    normalised text of the parsed year; the window filter (V7) applies to
-    valid points only.
+    Points outside the window are neither. Valid points get a double ``value``
+    (NaN -> NULL) and, for text years, the normalised text of the parsed year.
     """
-    valid, rejects = rules.split_valid_rejects(points, point_rules(cfg))
+    valid, rejects = rules.split_valid_rejects(points.filter(~outside_window(cfg)), point_rules(cfg))
     valid = valid.withColumn("value", rules.coerce_value("value"))
     if cfg.year_is_text:
         as_int = F.col("year").try_cast("int")
         valid = valid.withColumn("year", as_int.cast("string") if cfg.raw_year_text else as_int)
-    if cfg.window:
-        y = F.col("year").cast("int") if cfg.year_is_text else F.col("year")
-        valid = valid.filter((y >= F.lit(cfg.window[0])) & (y < F.lit(cfg.window[1])))
     return valid, rejects.withColumn("source", F.lit(cfg.name))
 
 
@@ -103,15 +109,14 @@ def checked_points(points: DataFrame, cfg: SourceConfig) -> DataFrame:
     with a value) or ``empty`` (valid, inside the window, no value). One hash
     aggregate then reduces cells to their first value per (keys, indicator)
     -- phase 1 of the pivot, partial before the shuffle, so a hot country
-    ships one partial row per task -- and carries every reject row through
-    (a per-row id keeps identical rejects apart; their columns are grouping
-    keys, so the aggregate stays hash-based), while all empties collapse to
-    one marker row.
+    ships one partial row per task -- and rejects to one row per distinct
+    reject with their number (``__n``; repeated on read), while all empties
+    collapse to one marker row. Points outside the window are skipped first.
 
     The result is small (cells + rejects) and is meant to be written once:
-    ``raw_from_checked``, ``rejects_from_checked`` and ``has_valid_points``
-    read it, so the points -- the largest input -- are scanned once rather
-    than once per output plus an emptiness probe.
+    ``raw_from_checked``, ``rejects_from_checked``, ``load_report`` and
+    ``has_valid_points`` read it, so the points -- the largest input -- are
+    scanned once rather than once per output plus an emptiness probe.
     """
     rule_cols = point_rules(cfg)
     bad = rules.first_error(rule_cols)
@@ -120,26 +125,23 @@ def checked_points(points: DataFrame, cfg: SourceConfig) -> DataFrame:
         year_int = F.col("year").try_cast("int")
         year_out = year_int.cast("string") if cfg.raw_year_text else year_int
     else:
-        year_int = year_out = F.col("year")
-    in_window = F.lit(True)
-    if cfg.window:
-        in_window = (year_int >= F.lit(cfg.window[0])) & (year_int < F.lit(cfg.window[1]))
+        year_out = F.col("year")
     indicator = F.col("indicator")
     if cfg.map_labels:
         indicator = reshape.label_to_code("indicator", D.label_map(cfg.dictionary), cfg.codes)
-    kind = F.when(bad.isNotNull(), F.lit(REJECT)).when(
-        in_window, F.when(value.isNotNull(), F.lit(CELL)).otherwise(F.lit(EMPTY))
-    )
+    kind = F.when(bad.isNotNull(), F.lit(REJECT)).when(value.isNotNull(), F.lit(CELL)).otherwise(F.lit(EMPTY))
+    unknown = F.coalesce(~indicator.isin(cfg.codes), F.lit(True))
     cell_keys = [f"__c_{k}" for k in cfg.keys]
     reject_cols = [f"__r_{c}" for c in points.columns]
-    classified = points.select(
+    classified = points.filter(~outside_window(cfg)).select(
         kind.alias("__kind"),
         *[F.col(k).alias(f"__k_{k}") for k in points.columns],
         year_out.alias("__year_out"),
         indicator.alias("__indicator"),
+        F.when(unknown, F.col("indicator")).alias("__label"),
         value.alias("__value"),
         F.when(bad.isNotNull(), rules.error_list(rule_cols)).alias("__errors"),
-    ).filter(F.col("__kind").isNotNull())
+    )
     is_cell = F.col("__kind") == CELL
     is_reject = F.col("__kind") == REJECT
     tagged = classified.select(
@@ -149,26 +151,30 @@ def checked_points(points: DataFrame, cfg: SourceConfig) -> DataFrame:
             for k in cfg.keys
         ],
         F.when(is_cell, F.col("__indicator")).alias("__c_indicator"),
+        F.when(is_cell, F.col("__label")).alias("__c_label"),
         F.when(is_cell, F.col("__value")).alias("__c_value"),
         F.when(is_cell, F.col(f"__k_{cfg.order_col}")).alias("__c_order"),
         *[F.when(is_reject, F.col(f"__k_{c}")).alias(f"__r_{c}") for c in points.columns],
         F.when(is_reject, F.col("__errors")).alias("__r_errors"),
-        F.when(is_reject, F.monotonically_increasing_id()).alias("__r_id"),
     )
-    # Floating grouping keys are normalised (-0.0 -> 0.0, one NaN), so floating
-    # reject columns ride as aggregates instead (one row per reject group, so
-    # max() is the value itself, and a double buffer keeps the aggregate hashed).
+    # Floating grouping keys are normalised (-0.0 -> 0.0), so floating reject
+    # columns are grouped by their text and ride as aggregates (equal within a
+    # group, so max() is the value itself, and a double buffer keeps it hashed).
     floating = {f"__r_{c}" for c, t in points.dtypes if t in ("double", "float")}
     carried = [c for c in reject_cols if c in floating]
-    group = ["__kind", *cell_keys, "__c_indicator", *[c for c in reject_cols if c not in floating], "__r_errors", "__r_id"]
+    texts = [f"__t{c}" for c in carried]
+    tagged = tagged.withColumns({f"__t{c}": F.col(c).cast("string") for c in carried}) if carried else tagged
+    group = ["__kind", *cell_keys, "__c_indicator", "__c_label", *[c for c in reject_cols if c not in floating], *texts, "__r_errors"]
+    number = F.count(F.lit(1)).alias("__n")
     if not cfg.order_unique:
         # ties on the order key resolve to the smallest value (as in pivot_indicators)
         tagged = tagged.groupBy(*group, "__c_order").agg(
-            F.min("__c_value").alias("__c_value"), *[F.max(c).alias(c) for c in carried]
+            F.min("__c_value").alias("__c_value"), number, *[F.max(c).alias(c) for c in carried]
         )
+        number = F.sum("__n").alias("__n")
     return tagged.groupBy(*group).agg(
-        F.min_by("__c_value", "__c_order").alias("__c_value"), *[F.max(c).alias(c) for c in carried]
-    )
+        F.min_by("__c_value", "__c_order").alias("__c_value"), number, *[F.max(c).alias(c) for c in carried]
+    ).drop(*texts)
 
 
 def raw_from_checked(checked: DataFrame, cfg: SourceConfig) -> DataFrame:
@@ -184,14 +190,48 @@ def raw_from_checked(checked: DataFrame, cfg: SourceConfig) -> DataFrame:
 
 
 def rejects_from_checked(checked: DataFrame, point_columns: list[str], cfg: SourceConfig) -> DataFrame:
-    """The rejects of ``checked_points``, shaped as ``validate_points`` returns them."""
-    return checked.filter(F.col("__kind") == REJECT).select(
+    """The rejects of ``checked_points``, shaped as ``validate_points`` returns them (each as often as it occurred)."""
+    repeated = checked.filter(F.col("__kind") == REJECT).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+    return repeated.select(
         *[F.col(f"__r_{c}").alias(c) for c in point_columns],
         F.col("__r_errors").alias("errors"),
         F.lit(cfg.name).alias("source"),
     )
 
 
+REPORT_COLUMNS = ["source", "metric", "detail", "number"]
+
+
+def load_report(checked: DataFrame, name: str, cfg: SourceConfig) -> DataFrame:
+    """What a load took in (V10, V11, R5), from ``checked_points`` alone: numbers of
+    points, indicators and countries, every unmapped label with its points, and
+    every error code with its rejects."""
+    is_cell, is_reject = F.col("__kind") == CELL, F.col("__kind") == REJECT
+    n, row = F.col("__n"), lambda m, d, v: F.struct(F.lit(m).alias("metric"), d.cast("string").alias("detail"), v.cast("long").alias("number"))
+    none = F.lit(None)
+    profile = checked.agg(
+        F.coalesce(F.sum(F.when(is_cell, n)), F.lit(0)).alias("valued"),
+        F.coalesce(F.sum(F.when(F.col("__kind") == EMPTY, n)), F.lit(0)).alias("empty"),
+        F.coalesce(F.sum(F.when(is_reject, n)), F.lit(0)).alias("rejected"),
+        F.count_distinct(F.when(is_cell, F.col("__c_indicator"))).alias("indicators"),
+        F.count_distinct(F.when(is_cell, F.col("__c_country_code"))).alias("countries"),
+    ).select(F.inline(F.array(*[row(c, none, F.col(c)) for c in ("valued", "empty", "rejected", "indicators", "countries")])))
+    unmapped = checked.filter(F.col("__c_label").isNotNull()).groupBy(F.col("__c_label").alias("detail")).agg(F.sum("__n").alias("number"))
+    errors = checked.filter(is_reject).select(F.explode("__r_errors").alias("detail"), "__n").groupBy("detail").agg(F.sum("__n").alias("number"))
+    parts = [profile, unmapped.select(F.lit("unmapped_label").alias("metric"), "detail", "number"), errors.select(F.lit("reject").alias("metric"), "detail", "number")]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select(F.lit(name).alias("source"), "metric", "detail", F.col("number").cast("long").alias("number"))
+
+
+def to_raw_names(df: DataFrame, cfg: SourceConfig) -> DataFrame:
+    """Canonical key columns under the raw table's own names."""
+    return df.withColumnsRenamed(dict(cfg.raw_names)) if cfg.raw_names else df
+
+
+def from_raw_names(df: DataFrame, cfg: SourceConfig) -> DataFrame:
+    return df.withColumnsRenamed({raw: key for key, raw in cfg.raw_names}) if cfg.raw_names else df
+
+
 def has_valid_points(checked: DataFrame) -> DataFrame:
     """Rows of ``checked_points`` standing for valid points (for V12)."""
     return checked.filter(F.col("__kind").isin(CELL, EMPTY))
@@ -206,7 +246,7 @@ def stage_named_source(raw: DataFrame, seed: DataFrame, cfg: SourceConfig) -> Da
 
 
 def stage_two_part_source(
-    weo_raw: DataFrame, fdi_raw: DataFrame, seed: DataFrame, weo: SourceConfig, fdi: SourceConfig
+    weo_raw: DataFrame, fdi_raw: DataFrame, seed: DataFrame, weo: SourceConfig, fdi: SourceConfig, where=None
 ) -> DataFrame:
     """L1 for the IMF-like source: WEO part (ISO3, text year) and FDI part
     (ISO2, int year), names from the dimension, merged on their own spine
@@ -217,7 +257,8 @@ def stage_two_part_source(
     ``country_name`` from the same dimension row of their ISO3 code, so the
     spine's (code, name, year) rows are its (code, year) rows whenever the
     dimension is unique on ISO3 (a model test of the dimension), and then the
-    two forms return the same rows."""
+    two forms return the same rows. ``where``: a condition on the keys, applied
+    to each part, since nothing is pushed through a full outer join."""
     weo_st = conform.attach_dim_name(conform.cast_year(weo_raw), seed)
     weo_st = conform.rename_indicators(weo_st, weo.dictionary).select(
         "country_code", F.col("country_name").alias("__weo_name"), "year", *weo.marts
@@ -226,6 +267,8 @@ def stage_two_part_source(
     fdi_st = conform.rename_indicators(fdi_st, fdi.dictionary).select(
         "country_code", F.col("country_name").alias("__fdi_name"), F.col("year").cast("int").alias("year"), *fdi.marts
     )
+    if where is not None:
+        weo_st, fdi_st = weo_st.filter(where), fdi_st.filter(where)
     merged = spine.outer_merge([weo_st, fdi_st], ["country_code", "year"])
     return merged.select(
         "country_code",
@@ -236,10 +279,14 @@ def stage_two_part_source(
     )
 
 
-def build_panel(staged: list[DataFrame], dim: DataFrame, columns: list[str]) -> DataFrame:
+def build_panel(staged: list[DataFrame], dim: DataFrame, columns: list[str], where=None) -> DataFrame:
     """L2: all (country, year) keys of the staged sources -> the fact table.
 
     J4 on U2's key set, planned as outer joins so each staged source is read
-    once (``spine.outer_merge``)."""
+    once (``spine.outer_merge``). ``where``: a condition on the keys, applied to
+    every source before the merge; the keys are the join keys, so the rows are
+    those of the filtered fact, and the condition reaches each source's scan."""
     keys = ["country_code", "year"]
+    if where is not None:
+        staged = [s.filter(where) for s in staged]
     return spine.fact_panel(None, dim, staged, columns, keys)

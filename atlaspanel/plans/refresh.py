@@ -38,6 +38,7 @@ class RefreshInputs:
     dictionary: tuple
     params: suites.SuiteParams = field(default_factory=suites.SuiteParams)
     two_part_name: str = "imf_indicators"  # staged as stg_<two_part_name>
+    optional: tuple = ()  # raw tables of sources that may be empty (the load goes on without them)
 
 
 @dataclass(frozen=True)
@@ -73,14 +74,17 @@ def refresh_all(
     inputs: RefreshInputs,
     layers: Layers = Layers(),
     stop_on_fail: bool = True,
-    fact_partition_by: list[str] | None = None,
+    fact_partition_by: list[str] | None = ("year",),
     parallel_loads: int = 4,
     backup_dir: str | None = None,
 ) -> DataFrame:
     """Run the whole refresh; returns the quality report of every step.
 
     ``backup_dir`` (a shared path) also exports every raw table as a header
-    CSV named with its year span (K3), read from the written table.
+    CSV named with its extraction window (K3), read from the written table.
+    What each load took in, its unmapped labels and its rejects by error code
+    are written as the table ``load_report`` of the quality layer. Staging is
+    written as tables of the staging layer, which later sessions read too.
     """
     p = inputs.params
     reports = []
@@ -99,8 +103,10 @@ def refresh_all(
         points, cfg = inputs.sources[name]
         sinks.replace_table(P.checked_points(points, cfg), layers.raw, f"{name}_checked")
         checked = readers.read_layer_table(spark, layers.raw, f"{name}_checked")
-        rules.require_rows(P.has_valid_points(checked), name)
-        sinks.replace_table(P.raw_from_checked(checked, cfg), layers.raw, name)
+        empty = P.has_valid_points(checked).isEmpty()
+        if name not in inputs.optional:
+            rules.require_rows(P.has_valid_points(checked), name)
+        sinks.replace_table(P.to_raw_names(P.raw_from_checked(checked, cfg), cfg), layers.raw, name)
         sinks.replace_table(P.rejects_from_checked(checked, points.columns, cfg), layers.raw, f"{name}_rejects")
         if backup_dir:
             start, end = cfg.window or (0, 1)
@@ -108,16 +114,23 @@ def refresh_all(
                 readers.read_layer_table(spark, layers.raw, name),
                 f"{backup_dir.rstrip('/')}/{sinks.backup_name(name, start, end)}",
             )
-        return name
+        return empty
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_loads)) as pool:
-        list(pool.map(load, list(inputs.sources)))
-    raw = {n: readers.read_layer_table(spark, layers.raw, n) for n in [suites.SEED_TABLE, *inputs.sources]}
+        empty = dict(zip(inputs.sources, pool.map(load, list(inputs.sources))))
+    reported = [
+        P.load_report(readers.read_layer_table(spark, layers.raw, f"{n}_checked"), n, cfg) for n, (_, cfg) in inputs.sources.items()
+    ]
+    sinks.replace_table(reduce(lambda a, b: a.unionByName(b), reported), layers.quality, "load_report")
+    raw = {suites.SEED_TABLE: readers.read_layer_table(spark, layers.raw, suites.SEED_TABLE)}
+    raw |= {n: P.from_raw_names(readers.read_layer_table(spark, layers.raw, n), cfg) for n, (_, cfg) in inputs.sources.items()}
+    # an optional source without points has nothing to check
+    checked_raw = {n: df for n, df in raw.items() if not empty.get(n)}
 
     # 2. raw scan checks
-    reports.append(_gate_table(_run_suite(raw, suites.raw_scan_checks(inputs.dictionary, p), "raw", {}), layers, "raw_checks", stop_on_fail))
+    reports.append(_gate_table(_run_suite(checked_raw, suites.raw_scan_checks(inputs.dictionary, p), "raw", {}), layers, "raw_checks", stop_on_fail))
 
-    # 3. staging views (K4) over the raw tables
+    # 3. staging (K4) over the raw tables: written once, read by the fact and by every test
     seed = raw[suites.SEED_TABLE]
     stg_dim = conform.conform_dimension(seed)
     staged = {"stg_country_metadata": stg_dim}
@@ -128,8 +141,12 @@ def refresh_all(
         staged[f"stg_{inputs.two_part_name}"] = P.stage_two_part_source(
             raw[weo], raw[fdi], seed, inputs.sources[weo][1], inputs.sources[fdi][1]
         )
+    for view, df in staged.items():
+        sinks.replace_table(df, layers.staging, view)
+    staged = {view: readers.read_layer_table(spark, layers.staging, view) for view in staged}
     for view, df in staged.items():
         sinks.publish_view(df, view)
+    stg_dim = staged["stg_country_metadata"]
 
     # 4. marts (K5)
     columns = [i.mart for i in inputs.dictionary]
@@ -138,14 +155,14 @@ def refresh_all(
     dim_t = readers.read_layer_table(spark, layers.marts, suites.DIM_TABLE)
     stage_frames = [df for v, df in staged.items() if v != "stg_country_metadata"]
     fact = P.build_panel(stage_frames, dim_t, columns)
-    sinks.publish_table(fact, layers.marts, suites.FACT_TABLE, partition_by=fact_partition_by)
+    sinks.publish_table(fact, layers.marts, suites.FACT_TABLE, partition_by=list(fact_partition_by or []))
     fact_t = readers.read_layer_table(spark, layers.marts, suites.FACT_TABLE).select(*fact.columns)
     sinks.publish_table(marts.peak_and_last_year(dim_t, fact_t, columns), layers.marts, suites.MART_TABLE)
     mart_t = readers.read_layer_table(spark, layers.marts, suites.MART_TABLE)
     mart_frames = {suites.DIM_TABLE: dim_t, suites.FACT_TABLE: fact_t, suites.MART_TABLE: mart_t}
 
     # 5. model tests on every layer
-    tests = _run_suite(raw, suites.source_tests(p), "raw", {})
+    tests = _run_suite(checked_raw, suites.source_tests(p), "raw", {})
     tests = tests.unionByName(_run_suite(staged, suites.staging_tests(p), "staging", staged))
     tests = tests.unionByName(_run_suite(mart_frames, suites.mart_tests(p), "marts", mart_frames))
     reports.append(_gate_table(tests, layers, "model_tests", stop_on_fail))

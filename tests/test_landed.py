@@ -53,7 +53,7 @@ def test_landed_refresh_with_full_dictionary(spark, tmp_path):
     _land(spark, d)
     inputs = landed_refresh_inputs(
         spark, f"{d}/seed.csv", f"{d}/wb", f"{d}/hdr.json", f"{d}/weo.json", f"{d}/fdi.json",
-        start_year=2000, end_year=2026, current_year=2025,
+        start_year=2000, end_year=2026, current_year=2025, multi_line_json=True,
     )
     report = refresh_all(spark, inputs, Layers("l_raw", "l_stg", "l_marts", "l_quality"), stop_on_fail=False)
     rows = report.collect()
@@ -78,6 +78,17 @@ def test_landed_refresh_with_full_dictionary(spark, tmp_path):
     fdi_rej = spark.table("l_raw.imf_fdi_indicator_rejects").collect()
     assert len(fdi_rej) == 1 and "aggregate" in fdi_rej[0].errors
     assert len(D.INDICATORS) == 56
+    # raw tables keep the payloads' own key names; another session reads the staging layer
+    assert spark.table("l_raw.hdr_indicators").columns[:2] == ["countryIsoCode", "country"]
+    assert "Country" in spark.table("l_raw.wb_indicators").columns
+    assert spark.newSession().table("l_stg.stg_wb_indicators").count() > 0
+    # what the load took in: the label without a dictionary entry, the rejects, the profile
+    load = {(r.source, r.metric, r.detail): r.number for r in spark.table("l_quality.load_report").collect()}
+    assert any(m == "unmapped_label" and s == "wb_indicators" for s, m, _ in load), load
+    assert load["hdr_indicators", "reject", "year_text"] == 1
+    assert load["hdr_indicators", "valued", None] == 2
+    # a point outside the window is no fault
+    assert ("imf_weo_indicators", "reject", "year_range") not in load
 
     from atlaspanel.plans import questions as Q
 
@@ -87,3 +98,18 @@ def test_landed_refresh_with_full_dictionary(spark, tmp_path):
     assert Q.inequality_by_continent(spark, layer="l_marts").count() == 0  # no Gini values landed
     assert [r.country_name for r in Q.schooling_gdp_listing(spark, 2021, layer="l_marts").collect()] == []
     assert Q.measure_correlation(spark, layer="l_marts").collect()[0].pairs == 0
+
+
+def test_refresh_without_fdi(spark, tmp_path):
+    """An empty FDI payload leaves an empty table behind, and the refresh goes on."""
+    d = str(tmp_path)
+    _land(spark, d)
+    where = dict(start_year=2000, end_year=2026, current_year=2025, multi_line_json=True)
+    layers = Layers("e_raw", "e_stg", "e_marts", "e_quality")
+    paths = [f"{d}/seed.csv", f"{d}/wb", f"{d}/hdr.json", f"{d}/weo.json", f"{d}/fdi.json"]
+    refresh_all(spark, landed_refresh_inputs(spark, *paths, **where), layers, stop_on_fail=False)
+    assert spark.table("e_raw.imf_fdi_indicator").count() == 1
+    open(f"{d}/fdi.json", "w").write(json.dumps({"series": {"docs": []}}))
+    refresh_all(spark, landed_refresh_inputs(spark, *paths, **where), layers, stop_on_fail=False)
+    assert spark.table("e_raw.imf_fdi_indicator").count() == 0
+    assert spark.table("e_marts.fact_macro_indicators").filter("imf_financial_development_index is not null").count() == 0
