@@ -1,12 +1 @@
 """Column-expression helpers shared by the operators (all JVM-side, codegen-friendly)."""
-
-from atlaspanel.functions.exprs import (  # noqa: F401
-    case_non_null,
-    first_non_null_by,
-    iso2_of,
-    iso3_of,
-    nan_to_null,
-    null_safe_order,
-    scale_value,
-    valid_number,
-)

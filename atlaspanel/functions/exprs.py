@@ -14,12 +14,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def nan_to_null(col) -> Column:
-    """NaN -> NULL (T6): Spark and DuckDB both rank NaN above every number."""
-    c = _c(col)
-    return F.when(~F.isnan(c), c)
-
-
 def valid_number(col) -> Column:
     """True for a value that may enter an aggregate: not NULL and not NaN."""
     c = _c(col)
@@ -36,18 +30,6 @@ def scale_value(col, divisor: float) -> Column:
     return _c(col).cast("double") / F.lit(float(divisor))
 
 
-def first_non_null_by(value, order, when=None) -> Column:
-    """Deterministic "first non-null" cell value: the value with the smallest order key.
-
-    ``min_by`` skips rows whose order key is NULL, so a condition is applied by
-    nulling the order key outside it; NULL/NaN values must be filtered before.
-    """
-    o = _c(order)
-    if when is not None:
-        o = F.when(when, o)
-    return F.min_by(_c(value), o)
-
-
 def null_safe_order(col, descending: bool = False) -> Column:
     """Sort key with NULLs last in both directions (DuckDB's default, T10)."""
     c = _c(col)

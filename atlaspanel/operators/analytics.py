@@ -3,20 +3,18 @@ G3-G8, ordering O1-O2 and the end-to-end questions A1-A5.
 
 Conventions that keep results engine-independent: NULLs sort last in both
 directions (T10), every ``limit`` has a unique tie-break, membership flags are
-0/1 integers compared with ``= 1`` (T9), averages and correlations are rounded
-to 6 places so summation order cannot change them.
+0/1 integers compared with ``= 1`` (T9). Averages and correlations are
+returned as computed; a comparison that needs fixed places rounds them itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atlaspanel.functions.exprs import case_non_null, null_safe_order, scale_value
 from atlaspanel.operators.joins import bounded_broadcast
 
-ROUND_PLACES = 6
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -71,7 +69,7 @@ def sum_flags(dim: DataFrame, flags: list[str], suffix: str = "_members") -> Dat
 
 def group_avg(df: DataFrame, group: list[str], cols: dict[str, str]) -> DataFrame:
     """``AVG`` per group (NULLs ignored); ``cols`` maps alias -> column."""
-    return df.groupBy(*group).agg(*[F.round(F.avg(c), ROUND_PLACES).alias(a) for a, c in cols.items()])
+    return df.groupBy(*group).agg(*[F.avg(c).alias(a) for a, c in cols.items()])
 
 
 def count_distinct(df: DataFrame, group: list[str], col: str, alias: str) -> DataFrame:
@@ -150,16 +148,22 @@ def member_trend(
 def inequality_by_continent(fact: DataFrame, dim: DataFrame, gini: str, inequality: str) -> DataFrame:
     """A3: averages and distinct-country count per continent in the latest fact year.
 
-    May be empty when the latest year has no value of ``gini``.
+    May be empty when the latest year has no value of ``gini``. One pass over
+    the fact: it is aggregated per (continent, year), and the latest year is
+    picked from that small result (continents x years rows).
     """
-    latest = scalar_max_filter(fact.select("country_code", "year", gini, inequality), "year")
-    j = not_null_filter(fact_inner_dim(latest, dim, ["continent"]), gini)
-    out = j.groupBy("continent").agg(
-        F.round(F.avg(gini), ROUND_PLACES).alias("avg_gini"),
-        F.round(F.avg(inequality), ROUND_PLACES).alias("avg_inequality_coef"),
-        F.count_distinct("country_code").alias("country_count"),
+    rows = fact.select("country_code", "year", gini, inequality)
+    d = dim.select(F.col("country_code").alias("__d_code"), "continent")
+    j = rows.join(bounded_broadcast(d, bounded_by=dim), F.col("country_code") == F.col("__d_code"), "left")
+    rated = F.col(gini).isNotNull() & F.col("__d_code").isNotNull()
+    per_year = j.groupBy("continent", "year").agg(
+        F.avg(F.when(rated, F.col(gini))).alias("avg_gini"),
+        F.avg(F.when(rated, F.col(inequality))).alias("avg_inequality_coef"),
+        F.count_distinct(F.when(rated, F.col("country_code"))).alias("country_count"),
     )
-    return order_by(out, [("avg_gini", True)])
+    latest = F.max("year").over(Window.partitionBy())  # over continents x years rows
+    out = per_year.withColumn("latest", latest).filter((F.col("year") == F.col("latest")) & (F.col("country_count") > 0))
+    return order_by(out.select("continent", "avg_gini", "avg_inequality_coef", "country_count"), [("avg_gini", True)])
 
 
 def schooling_gdp_listing(
@@ -182,5 +186,5 @@ def measure_correlation(fact: DataFrame, a: str, b: str) -> DataFrame:
     rows = not_null_filter(fact, a, b)
     return rows.agg(
         F.count(F.lit(1)).alias("pairs"),
-        F.round(F.corr(a, b), ROUND_PLACES).alias("correlation"),
+        F.corr(a, b).alias("correlation"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from atlaspanel import dictionary as D
 from atlaspanel.operators.joins import bounded_broadcast
 
+# The published dimension's columns, in order.
 DIM_COLUMNS = [
     "country_code",
     "country_name",

@@ -1,8 +1,8 @@
 """Size-checked broadcast.
 
 A broadcast side is shipped whole to every executor, so it is only hinted when
-its row count is proven below a bound; beyond the bound the join is left to
-Catalyst/AQE (sort-merge or shuffle-hash on the join keys).
+the optimizer's size estimate (from file sizes, no job) is below a bound;
+beyond it the join is left to Catalyst/AQE, which decides on measured sizes.
 """
 
 from __future__ import annotations
@@ -10,40 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A country dimension holds ~200 rows; a bound of 100k rows keeps the broadcast
-# relation to a few MB even for a much wider dimension.
-DIMENSION_BROADCAST_MAX_ROWS = 100_000
+# A country dimension is a few kB; the bound leaves room for a far wider one
+# and for the estimate's product over the dimension's own small joins.
+DIMENSION_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-_CHECKED: dict = {}
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1).
-
-    The answer is remembered per (session, semantic plan, input files, bound),
-    so the same dimension is counted once however many joins it feeds. The
-    files are part of the key because a table rewritten under the same name
-    keeps its semantic plan but not its part files: a new version is counted
-    again rather than trusted from an older, smaller one.
-    """
-    files = hash(tuple(sorted(df.inputFiles())))
-    key = (id(df.sparkSession), df.semanticHash(), tuple(df.dtypes), files, max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (an upper bound over filters and projections of its files)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def bounded_broadcast(
-    df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS, bounded_by: DataFrame | None = None
+    df: DataFrame, max_bytes: int = DIMENSION_BROADCAST_MAX_BYTES, bounded_by: DataFrame | None = None
 ) -> DataFrame:
-    """``broadcast(df)`` when its size is checked to be bounded, else ``df`` unchanged.
+    """``broadcast(df)`` when its estimated size is bounded, else ``df`` unchanged.
 
-    ``bounded_by``: a frame with at least as many rows as ``df`` (``df`` is a
-    projection, filter or distinct of it). Its memoised check proves the bound
-    for every such derivative, so one count covers all projections of a
-    dimension.
+    ``bounded_by``: a frame that ``df`` is a projection, filter or distinct of;
+    its estimate bounds that of ``df``.
     """
-    if row_count_at_most(bounded_by if bounded_by is not None else df, max_rows):
+    if estimated_bytes(bounded_by if bounded_by is not None else df) <= max_bytes:
         return F.broadcast(df)
     return df

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from atlaspanel import dictionary as D
 from atlaspanel.functions.sqltext import ident, in_list, literal
-from atlaspanel.operators.joins import DIMENSION_BROADCAST_MAX_ROWS, bounded_broadcast, row_count_at_most
+from atlaspanel.operators.joins import DIMENSION_BROADCAST_MAX_BYTES, estimated_bytes
 
 REPORT_COLUMNS = ["layer", "dataset", "check", "column", "measured", "outcome"]
 
@@ -110,15 +110,6 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.filter(cond).groupBy(*keys).count().filter(F.col("count") > 1)
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Q4 rows: non-NULL child rows with no parent row (left anti join; beyond
-    the broadcast bound a shuffle join, where AQE splits a hot child key)."""
-    p = bounded_broadcast(parent.select(F.col(parent_column).alias("__parent_key")).distinct(), bounded_by=parent)
-    return child.filter(F.col(column).isNotNull()).join(
-        p, F.col(column) == F.col("__parent_key"), "left_anti"
-    )
-
-
 def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str, alias: str) -> DataFrame:
     """Q4 metric: number of non-NULL child rows with no parent, as one row.
 
@@ -129,9 +120,7 @@ def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column
     """
     keys = parent.select(F.col(parent_column).alias("__parent_key")).distinct()
     present = child.filter(F.col(column).isNotNull())
-    # the parent's own (memoised) count bounds its distinct keys; count the
-    # keys only when the parent is over the bound
-    if row_count_at_most(parent, DIMENSION_BROADCAST_MAX_ROWS) or row_count_at_most(keys, DIMENSION_BROADCAST_MAX_ROWS):
+    if estimated_bytes(keys) <= DIMENSION_BROADCAST_MAX_BYTES:
         lonely = present.join(F.broadcast(keys), F.col(column) == F.col("__parent_key"), "left_anti")
         return lonely.agg(F.count(F.lit(1)).cast("double").alias(alias))
     per_key = present.groupBy(F.col(column).alias("__child_key")).agg(F.count(F.lit(1)).alias("__rows"))
@@ -141,11 +130,14 @@ def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column
 
 # --- report ------------------------------------------------------------------
 
-_AGG_KINDS = {"not_null", "missing_count", "row_count", "invalid_range", "invalid_values", "accepted_values", "min"}
+_AGG_KINDS = {"required_columns", "not_null", "missing_count", "row_count", "invalid_range", "invalid_values", "accepted_values", "min"}
 
 
-def _metric(check: Check) -> str:
+def _metric(check: Check, df: DataFrame) -> str:
     k = check.kind
+    if k == "required_columns":  # Q12: read from the table it reports on, next to its other aggregates
+        missing = sum(c not in df.columns for c in check.columns)
+        return f"CAST(CASE WHEN count(1) >= 0 THEN {missing} END AS DOUBLE)"
     if k in ("not_null", "missing_count"):
         return null_count_sql(check.columns[0])
     if k == "row_count":
@@ -185,7 +177,7 @@ def quality_report(
 
     agg_checks = [(c, f"m{i}") for i, c in enumerate(checks) if c.kind in _AGG_KINDS]
     if agg_checks:
-        one = df.selectExpr(*[f"{_metric(c)} AS {a}" for c, a in agg_checks])
+        one = df.selectExpr(*[f"{_metric(c, df)} AS {a}" for c, a in agg_checks])
         parts.append(_rows(one, agg_checks, layer, dataset))
 
     for i, c in enumerate(checks):
@@ -197,10 +189,6 @@ def quality_report(
             parent = parents[c.parent]
             one = orphan_count(df, c.columns[0], parent, c.parent_column, alias)
             parts.append(_rows(one, [(c, alias)], layer, dataset))
-        elif c.kind == "required_columns":
-            missing = [col for col in c.columns if col not in df.columns]
-            one = df.sparkSession.range(1).select(F.lit(float(len(missing))).alias(alias))
-            parts.append(_rows(one, [(c, alias)], layer, dataset))
 
     if not parts:
         raise ValueError("no checks given")
@@ -214,7 +202,7 @@ class QualityGateError(RuntimeError):
 def gate(report: DataFrame) -> DataFrame:
     """Raise when any check failed (the report itself is tiny: one row per check)."""
     failed = report.filter(F.col("outcome") == "fail").select("dataset", "check", "column", "measured")
-    bad = failed.limit(20).collect()
+    bad = failed.collect()
     if bad:
         lines = ", ".join(f"{r.dataset}.{r.check}({r.column})={r.measured}" for r in bad)
         raise QualityGateError(f"quality checks failed: {lines}")

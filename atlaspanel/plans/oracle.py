@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from atlaspanel.plans import standins as S
 
-YEARS = [str(y) for y in range(1995, 2002)]
+YEARS = [str(y) for y in range(*S.WINDOW)]
+CHUNKS = (YEARS[: len(YEARS) // 2 + 1], YEARS[len(YEARS) // 2 - 1 :])
 
 
 def _iso3(k: str) -> str:
@@ -94,7 +95,7 @@ pts_b AS (
   SELECT {_iso3('s.s_nationkey')} AS country_code, n.n_name AS country_name,
          CAST(year(l.l_shipdate) AS INTEGER) AS year, concat_ws('_', l.l_returnflag, l.l_linestatus) AS indicator,
          l.l_quantity AS value,
-         (l.l_orderkey * 8 + l.l_linenumber) * 64 + CAST(l.l_quantity AS BIGINT) AS ingest_seq
+         {{'o': l.l_orderkey, 'l': l.l_linenumber, 'q': l.l_quantity}} AS ingest_seq
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
 ),
 valid_b AS (
@@ -220,6 +221,7 @@ fa_checked AS (
       CASE WHEN value IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NULL THEN 'value_text' END
     ) AS errors
   FROM fa
+  WHERE NOT COALESCE(TRY_CAST(year AS INTEGER) < 1996 OR TRY_CAST(year AS INTEGER) >= 2000, FALSE)
 )
 """
 
@@ -306,9 +308,13 @@ def _select(name: str) -> str:
         + ", ".join(f'"{y}"' for y in YEARS) + " FROM wide",
         "read_point_records": """SELECT country_code AS "countryIsoCode", country_name AS country, year,
                    indicator AS "indicatorCode", value FROM pts_b""",
-        "read_nested_map": """SELECT country_code, indicator, year, arg_min(value, ingest_seq) AS value
+        "read_nested_map": """SELECT country_code, indicator, year,
+                   CASE WHEN year <> '2000' THEN arg_min(value, ingest_seq) END AS value,
+                   CASE WHEN year = '2000' THEN 'value_text' END AS error
                    FROM pts_c1 WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY indicator, country_code, year""",
-        "read_parallel_arrays": """SELECT country_code, year, arg_min(value, ingest_seq) AS value
+        "read_parallel_arrays": """SELECT country_code, year,
+                   CASE WHEN year <> 2000 THEN arg_min(value, ingest_seq) END AS value,
+                   CASE WHEN year = 2000 THEN 'value_text' END AS error
                    FROM pts_c2 WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY country_code, year""",
         "read_layer_table": "SELECT * FROM seed",
         "head_sample": "SELECT n_nationkey, n_name, n_regionkey FROM nation ORDER BY n_nationkey LIMIT 5",
@@ -326,14 +332,12 @@ def _select(name: str) -> str:
             for y in YEARS
         ),
         "pivot_indicators": "SELECT * FROM raw_a",
-        "concat_chunks": """
-            SELECT economy, "Series", "Country", "1995", "1996", "1997", "1998",
-                   CAST(NULL AS DOUBLE) AS "1999", CAST(NULL AS DOUBLE) AS "2000", CAST(NULL AS DOUBLE) AS "2001"
-            FROM wide WHERE "Series" IN ('1-URGENT', '2-HIGH')
-            UNION ALL
-            SELECT economy, "Series", "Country", CAST(NULL AS DOUBLE) AS "1995", CAST(NULL AS DOUBLE) AS "1996",
-                   "1997", "1998", "1999", "2000", "2001"
-            FROM wide WHERE "Series" NOT IN ('1-URGENT', '2-HIGH')""",
+        "concat_chunks": " UNION ALL ".join(
+            'SELECT economy, "Series", "Country", '
+            + ", ".join(f'"{y}"' if y in chunk else f'CAST(NULL AS DOUBLE) AS "{y}"' for y in YEARS)
+            + f""" FROM wide WHERE "Series" {op} ('1-URGENT', '2-HIGH')"""
+            for chunk, op in zip(CHUNKS, ("IN", "NOT IN"))
+        ),
         "map_labels_to_codes": f"""SELECT country_code, year, indicator AS label, {_label_case(S.STANDIN_A)} AS indicator,
                    value, ingest_seq FROM pts_a""",
         "unmapped_indicators": """SELECT indicator AS label, count(*) AS points FROM pts_a

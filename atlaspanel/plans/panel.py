@@ -17,7 +17,7 @@ from atlaspanel.plans import pipeline as P
 from atlaspanel.plans import standins as S
 from atlaspanel.plans.refresh import RefreshInputs
 from atlaspanel.plans.suites import SuiteParams
-from atlaspanel.session import configure
+from atlaspanel.session import configure, scratch_path
 
 A_CFG = P.SourceConfig(
     name="a",
@@ -140,6 +140,17 @@ class StandinPanel:
     def fact(self) -> DataFrame:
         return P.build_panel([self.staged_a, self.staged_b, self.staged_c], self.dim, FACT_COLUMNS)
 
+    def fact_where(self, where) -> DataFrame:
+        """The fact's rows for a condition on ``country_code`` and ``year``, which reaches every source's scan."""
+        parts = P.stage_two_part_source(self.raw("c1"), self.raw("c2"), self.seed, C1_CFG, C2_CFG, where=where)
+        return P.build_panel([self.staged_a, self.staged_b, parts], self.dim, FACT_COLUMNS, where=where)
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to the shared scratch folder and read back: a plan that uses it twice computes it once."""
+        path = scratch_path(self.spark, f"panel-{name}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def peak_and_last_year(self, fact: DataFrame | None = None) -> DataFrame:
         return marts.peak_and_last_year(self.dim, fact if fact is not None else self.fact, FACT_COLUMNS)
 

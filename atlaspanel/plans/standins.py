@@ -136,7 +136,8 @@ def points_b(t: Tables) -> DataFrame:
 
     The ingest order is (l_orderkey, l_linenumber, l_quantity) packed into one
     long: line numbers are 1..7 and quantities integers 1..50 (TPC-H), so
-    ``(l_orderkey * 8 + l_linenumber) * 64 + l_quantity`` is order-preserving.
+    ``(l_orderkey * 8 + l_linenumber) * 64 + l_quantity`` is order-preserving; a
+    row outside these ranges fails the query instead of getting a wrong place.
     (l_orderkey, l_linenumber) repeats in the test data; with the quantity in
     the key, remaining ties carry identical values, so the pivot stays
     deterministic without a tie-breaking aggregate."""
@@ -144,6 +145,9 @@ def points_b(t: Tables) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
     )
     s = t.supplier.select("s_suppkey", "s_nationkey")
+    whole = F.col("l_quantity").cast("long")
+    packs = F.col("l_linenumber").between(0, 7) & whole.between(0, 63) & (whole == F.col("l_quantity"))
+    place = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 64 + whole
     return (
         li.join(s, li.l_suppkey == s.s_suppkey, "inner")
         .join(_nations(t), F.col("s_nationkey") == F.col("n_nationkey"), "inner")
@@ -153,7 +157,7 @@ def points_b(t: Tables) -> DataFrame:
             F.year("l_shipdate").alias("year"),
             F.concat_ws("_", "l_returnflag", "l_linestatus").alias("indicator"),
             F.col("l_quantity").alias("value"),
-            ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 64 + F.col("l_quantity").cast("long")).alias("ingest_seq"),
+            F.when(packs, place).otherwise(F.raise_error(F.lit("line number or quantity outside the packed order key")).cast("long")).alias("ingest_seq"),
         )
     )
 

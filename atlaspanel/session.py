@@ -66,8 +66,10 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a path every executor can reach). Only when it is
-    unset, as in local tests, a private temporary folder is created and set.
+    A cluster names it (a path every executor can reach). Only on a local
+    master, as in tests, may it be unset: a private temporary folder is then
+    created and set. Elsewhere such a folder would be unreadable to the other
+    machines, so an unset setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -82,12 +84,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         configured = None
     configured = configured or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="atlaspanel-ckpt-")
-        if sc is None:
-            try:
-                spark.conf.set("spark.checkpoint.dir", configured)
-            except Exception:  # read-only on some deployments; the path is still returned
-                pass
     if sc is not None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured

@@ -1,5 +1,6 @@
 """A1-A5, G3-G8, O1-O2, P5-P8 on tiny frames."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from atlaspanel.operators import analytics as A
@@ -59,7 +60,7 @@ def test_schooling_listing_and_correlation(spark):
     rows = A.schooling_gdp_listing(_fact(spark), 2025, "hdi", "pc", "gdp", n=20).collect()
     assert [r.country_name for r in rows] == ["Aland", "Bland"]
     c = A.measure_correlation(_fact(spark), "gdp", "hdi").collect()[0]
-    assert c.pairs == 2 and c.correlation == 1.0
+    assert c.pairs == 2 and c.correlation == pytest.approx(1.0, abs=1e-12)
 
 
 def test_aggregates(spark):
@@ -83,3 +84,8 @@ def test_filters_and_expressions(spark):
     assert A.scale_column(f, "gdp", 1e12, "t").filter("t = 3.0").count() == 1
     rows = A.case_non_null_column(f, "gdp", "year", "y").collect()
     assert sorted((r.country_code, r.y) for r in rows if r.year == 2025) == [("AAA", 2025), ("BBB", None), ("CCC", 2025)]
+
+
+def test_averages_are_not_rounded(spark):
+    df = spark.createDataFrame([("a", 0.123456789), ("a", 0.123456788)], "g string, v double")
+    assert A.group_avg(df, ["g"], {"v": "v"}).first().v == pytest.approx(0.1234567885, abs=1e-12)

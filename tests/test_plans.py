@@ -59,6 +59,22 @@ def test_fact_reads_each_points_table_once(spark):
     assert not [f for f in FORBIDDEN if f in plan]
 
 
+@pytest.mark.parametrize("name", ["inequality_by_continent", "scalar_max_filter", "fact_panel", "merge_sources_on_spine", "dim_left_fact", "split_valid_rejects"])
+def test_no_points_table_is_read_twice(spark, name):
+    df = E.queries()[name](spark, SF)
+    _executed(df)
+    got = _tables_scanned(df)
+    assert got["lineitem"] <= 1 and got["orders"] <= 1 and got["events"] <= 2, got
+
+
+def test_year_condition_reaches_the_scans(spark):
+    """The year of A1 stands below the pivot of every source, not above the outer joins."""
+    plan = E.queries()["top_economies"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "= 2001" in line]
+    for column, times in (("o_orderdate", 1), ("l_shipdate", 1), ("cast(ts#", 2)):
+        assert sum(column in line for line in filters) == times, plan
+
+
 @pytest.mark.parametrize("which", ["a", "b", "c1", "c2"])
 def test_single_pass_load_scans_points_once(spark, which):
     p = PN.StandinPanel(spark, SF)
