@@ -30,12 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlaspanel.llm.common import lower_words, stored, texts
+from atlaspanel.llm.common import lower_words, scratch_path, stored, texts
 
 #: Counts up to this are discounted.
 K = 5
 #: Tokens of a block, and of a bucket's share of the corpus.
-BLOCK_TOKENS = 2_200_000
+BLOCK_TOKENS = 1_500_000
 BUCKET_TOKENS = 2_000_000
 #: Tokens of a text's segment.
 SEGMENT_TOKENS = 1_000_000
@@ -212,14 +212,20 @@ class Block:
         bucket = (_mix(c * 1_000_003 + sub) % np.uint64(self.buckets)).astype(np.int64)
         order = np.lexsort((w, c, bucket))
         c, w, n, q, bucket = c[order], w[order], n[order], q[order], bucket[order]
-        self.asked_pair, self.asked_context, self.pairs = pair[order], c, len(first)
+        self.asked_pair, self.pairs = pair[order], len(first)
+        # a bucket answers its contexts in order: each asked row's place among them, and their numbers
+        new = np.r_[True, (np.diff(c) != 0) | (np.diff(bucket) != 0)] if len(c) else np.zeros(0, bool)
+        self.asked_place, self.asked_contexts = np.cumsum(new) - 1, c[new]
         return c, w, n, q, bucket
 
     def ask_grams(self, level: int, model: dict):
         c, w, n, q, bucket = self._plan_grams(level, model)
+        _, q_of = np.unique(q, return_inverse=True)
         for at, end in _runs(bucket):
             s = slice(at, end)
-            yield level, int(bucket[at]), pack(np.diff(c[s], prepend=0), w[s].astype(np.int64), n[s].astype(np.int32), q[s])
+            # probabilities repeat: their distinct values once, and each row's place among them
+            _, one, place = np.unique(q_of[s], return_index=True, return_inverse=True)
+            yield level, int(bucket[at]), pack(np.diff(c[s], prepend=0), w[s].astype(np.int64), n[s].astype(np.int32), place.astype(np.uint32), q[s][one])
 
     def hear_grams(self, level: int, answers: dict[int, bytes], model: dict):
         self._plan_grams(level, model)
@@ -227,10 +233,10 @@ class Block:
             self.gram, self.gram_count = np.full(len(self.ids), -1, np.int64), np.zeros(len(self.ids), np.int64)
             return
         parts = [unpack(answers[b]) for b in sorted(answers)]
-        r, gram, c, total, seen = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        r, gram, total, seen = (np.concatenate([p[k] for p in parts]) for k in range(4))
         # the sums of a context over its buckets
-        contexts, place = np.unique(c, return_inverse=True)
-        small = np.stack([np.concatenate([p[5 + k] for p in parts]) for k in range(K)])
+        contexts, place = np.unique(self.asked_contexts, return_inverse=True)
+        small = np.stack([np.concatenate([p[4 + k] for p in parts]) for k in range(K)])
         total, seen = (np.bincount(place, x, len(contexts)) for x in (total, seen))
         small = [np.bincount(place, small[k], len(contexts)) for k in range(K)]
         d = discounts(model[level]["n_r"])
@@ -240,8 +246,10 @@ class Block:
         alpha = np.where(total > 0, np.where(none, 1.0, freed) / np.maximum(whole, 1) / np.maximum(1 - seen, 1e-300), 1.0)
         own = self.asked_pair >= 0
         count, number, where = np.zeros(self.pairs, np.int64), np.full(self.pairs, -1, np.int64), np.zeros(self.pairs, np.int64)
-        count[self.asked_pair[own]], number[self.asked_pair[own]] = r[own], gram[own]
-        where[self.asked_pair[own]] = np.searchsorted(contexts, self.asked_context[own])
+        count[self.asked_pair[own]] = r[own]
+        if len(gram):  # the last level's n-grams are no contexts and have no numbers
+            number[self.asked_pair[own]] = gram[own]
+        where[self.asked_pair[own]] = place[self.asked_place[own]]
         at = np.flatnonzero(self.pair_of >= 0)
         k = self.pair_of[at]
         held = count[k]
@@ -298,7 +306,7 @@ def unigram(count: np.ndarray, m: dict) -> np.ndarray:
 # ---- buckets of the model --------------------------------------------------
 
 
-def _merge(buckets: int):
+def _merge(buckets: int, last: int):
     """One bucket of one level: the blocks' counts added up, the model's rows, and the answers."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -320,7 +328,8 @@ def _merge(buckets: int):
             model = pack(np.frombuffer(b"\n".join(seen), np.uint8), count)
         else:
             c = np.concatenate([np.cumsum(d[0]) for d in data])
-            w, n, q = (np.concatenate([d[k] for d in data]) for k in (1, 2, 3))
+            w, n = (np.concatenate([d[k] for d in data]) for k in (1, 2))
+            q = np.concatenate([d[4][d[3]] for d in data])
             order, first = distinct_pairs(c, w)
             sums = np.add.reduceat(n[order].astype(np.int64), first)
             uc, uw, uq = c[order[first]], w[order[first]], q[order[first]]
@@ -340,11 +349,10 @@ def _merge(buckets: int):
                 at += len(d[1])
                 own = np.unique(mine)
                 k = np.searchsorted(contexts, own)
-                answer(
-                    b, sums[g].astype(np.int32), number[g], own, total[k].astype(np.int64), mass[k], *[s[k].astype(np.int32) for s in small]
-                )
-            count = sums[seen]
-            model = pack(np.diff(uc[seen], prepend=0), uw[seen], count, uq[seen])
+                named = number[g] if level < last else number[:0]
+                answer(b, sums[g].astype(np.int32), named, total[k].astype(np.int64), mass[k], *[s[k].astype(np.int32) for s in small])
+            count = sums[seen].astype(np.int64)
+            model = pack(np.diff(uc[seen], prepend=0), uw[seen], count)
         n_r = [int((count == r).sum()) for r in range(1, K + 2)]
         rows.append(("model", level, bucket, None, model, n_r, len(count), int(count.sum())))
         kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
@@ -397,7 +405,7 @@ def score_texts(
     partitioned by kind and bucket.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    corpus = stored(rows.mapInArrow(_blocks(order), BLOCKS), "katz-blocks", compression="uncompressed")
+    corpus = _bucketed(rows.mapInArrow(_blocks(order), BLOCKS), "katz-blocks")
     size = corpus.select(
         F.aggregate("tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"),
         F.size(F.filter(F.arrays_zip("held_out", "lead"), lambda x: ~x["held_out"] & (x["lead"] == 0))).alias("texts"),
@@ -416,7 +424,7 @@ def score_texts(
             asks = corpus.mapInArrow(ask_words, ASKS)
         else:
             asks = _with_answers(corpus, tables).applyInArrow(_ask(level, buckets, dict(model)), ASKS)
-        merged = asks.groupBy("bucket").applyInArrow(_merge(buckets), ANSWERS)
+        merged = asks.groupBy("bucket").applyInArrow(_merge(buckets, order), ANSWERS)
         t = stored(merged, f"katz-level-{level}", compression="uncompressed", partition_by="kind")
         m = t.filter("kind = 'model'").agg(*[F.sum(F.col("n_r")[k]) for k in range(K + 1)], F.sum("grams"), F.sum("total")).first()
         model[level] = {"n_r": [x or 0 for x in m[: K + 1]], "grams": m[K + 1] or 0, "total": m[K + 2] or 0}
@@ -431,6 +439,17 @@ def score_texts(
     return scored, model, tables
 
 
+def _bucketed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table bucketed by ``block`` in the shared folder: what meets it by block moves, the blocks stay."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{name}")
+    table = f"llm_{path.rsplit('/', 1)[-1].replace('-', '_')}"
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    # binary columns are compressed already
+    df.write.bucketBy(parts, "block").option("path", path).option("compression", "uncompressed").format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def _with_answers(corpus: DataFrame, tables: list[DataFrame]):
     answers = tables[0]
     for t in tables[1:]:

@@ -82,7 +82,7 @@ def katz_brute(docs, order):
 def test_katz_equals_brute_force(spark, sf, monkeypatch, order, block):
     if block:  # many blocks and buckets, texts in several segments, frequent contexts over several buckets
         monkeypatch.setattr(katz, "BLOCK_TOKENS", block)
-        monkeypatch.setattr(katz, "BUCKET_TOKENS", block)
+        monkeypatch.setattr(katz, "BUCKET_TOKENS", block)  # (tasks are other processes: they keep the block size)
     docs = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id < 60").repartition(3)
     want, total = katz_brute([(r.doc_id, r.text, zlib.crc32(str(r.doc_id).encode()) % 7 != 2) for r in docs.collect()], order)
     scored, model, tables = katz.score_texts(spark, docs, held_out(), order)
