@@ -76,4 +76,32 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The same rows in DuckDB SQL, where SQL can state them.
+ORACLE_SQL: dict[str, str] = {
+    "op3_top_k": """
+        WITH v AS (
+          SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND len(embedding) > 0
+            AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+        ),
+        scored AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+          FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+          WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        WHERE rank <= 20""",
+    "op5_warc": """
+        WITH p AS (
+          SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+        ),
+        named AS (
+          SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS response FROM p
+        )
+        SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN response IS NOT NULL AND response IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN response IS DISTINCT FROM page_id THEN response END AS refers_to
+        FROM named""",
+}
