@@ -108,6 +108,7 @@ def top_n(df: DataFrame, col: str, n: int, tiebreak: list[str], descending: bool
 
 
 # --- A1-A5 ------------------------------------------------------------------
+# The output column names of A1-A4, which published queries use.
 
 
 def top_economies(

@@ -13,7 +13,8 @@ from atlaspanel import dictionary as D
 from atlaspanel.operators.quality import AT_LEAST, POSITIVE, THRESHOLD, Check
 
 
-# Published table names (the names analysts query).
+# Published table names (the names analysts query), and below the
+# checked columns, bounds and lists of every layer.
 FACT_TABLE = "fact_macro_indicators"
 MART_TABLE = "mart_country_indicators_wide"
 DIM_TABLE = "dim_country"
