@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from atlaspanel.llm.common import ranked, stored
 
-#: Groups per bucket of the bundling step (what one task sorts).
-GROUPS_PER_BUCKET = 20_000
+#: Groups per bucket of the bundling step, until there are as many buckets as grains.
+GROUPS_PER_BUCKET = 1_000
 
 
 def longest_first(items: list[tuple[int, object]], shards: int) -> dict:
@@ -41,7 +41,7 @@ def schedule_groups(spark: SparkSession, groups: DataFrame, shards: int, grains:
     """``groups`` (group string, bytes long; one row each) -> (group, shard)."""
     total, count = groups.agg(F.sum("bytes"), F.count("*")).first()
     grain = max(int(total or 0) // (shards * grains), 1)
-    buckets = max(int(count) // GROUPS_PER_BUCKET, 1)
+    buckets = max(min(int(count) // GROUPS_PER_BUCKET, shards * grains), 1)
     alone = F.col("bytes") >= grain
     # strung together largest first within a bucket, cut whenever a grain is full
     order = Window.partitionBy("bucket", "alone").orderBy(F.desc("bytes"), "group")
@@ -55,7 +55,7 @@ def schedule_groups(spark: SparkSession, groups: DataFrame, shards: int, grains:
     )
     keys = ["bucket", "alone", "bundle"]
     bundles = placed.groupBy(*keys).agg(F.sum("bytes").alias("bytes"))
-    # at most total/grain large groups, total/grain + buckets bundles: shards * grains * 2 + buckets rows
+    # at most shards * grains large groups, as many full bundles and one more a bucket: 3 * shards * grains rows
     items = [(r["bytes"], (r["bucket"], r["alone"], r["bundle"])) for r in bundles.toLocalIterator()]
     shard_of = longest_first(items, shards)
     table = spark.createDataFrame([(*k, s) for k, s in shard_of.items()], "bucket long, alone boolean, bundle long, shard int")
