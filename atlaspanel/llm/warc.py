@@ -87,9 +87,18 @@ def read_seek_table(data: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
-def read_frame(data: bytes, frames: list[tuple[int, int, int]], k: int) -> bytes:
+def _frames(bundle) -> list[tuple[int, int, int]]:
+    """The seek table of an open bundle file; only its footer is read."""
+    size = bundle.size()
+    n, flags, _ = struct.unpack("<IBI", bundle.read_at(9, size - 9))
+    table = 9 + n * (12 if flags & 0x80 else 8)
+    return read_seek_table(bundle.read_at(table, size - table))
+
+
+def read_frame(bundle, frames: list[tuple[int, int, int]], k: int) -> bytes:
+    """One plain frame of an open bundle file; only its own bytes are read."""
     start, size, plain = frames[k]
-    return zstandard.ZstdDecompressor().decompress(data[start : start + size], max_output_size=plain)
+    return zstandard.ZstdDecompressor().decompress(bundle.read_at(size, start), max_output_size=plain)
 
 
 _PAGE = re.compile(r"<urn:x-page:(-?\d+)>")
@@ -195,61 +204,70 @@ def write_archives(
     return stored(named.select("page_id", "url", "html", "digest", "size", refers.alias("refers_to")).mapInArrow(_write(folder, frame_bytes, bundle_bytes), INDEX), "warc-index")
 
 
-def _read(batches):
-    for b in batches:
-        for bundle, data in zip(b.column("bundle").to_pylist(), b.column("content").to_pylist()):
-            frames, rows = read_seek_table(data), []
-            for k in range(len(frames)):
-                plain, at = read_frame(data, frames, k), 0
-                while at < len(plain):
-                    headers, block, after = parse(plain, at)
-                    page = _PAGE.match(headers["WARC-Record-ID"])
-                    kind = headers["WARC-Type"]
-                    http, _, payload = block.partition(b"\r\n\r\n")
-                    size = int(re.search(rb"Content-Length: (\d+)", http)[1])
-                    digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                    refers = _PAGE.match(headers.get("WARC-Refers-To", ""))
-                    ok = kind == "revisit" or (len(payload) == size and hashlib.sha1(payload).hexdigest() == digest)
-                    rows.append((headers["WARC-Record-ID"], int(page[1]) if page else None, size, digest, kind, int(refers[1]) if refers else None, bundle, k, at, ok))
-                    at = after
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.bool_()]
-            names = ["record_id", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "bundle", "frame", "offset", "payload_ok"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
-
-
-def _bundles(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
-    """(bundle, content) of the bundles that the index names."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("bundle"), "content")
-    return files.join(index.select("bundle").distinct(), "bundle", "left_semi")
+def _read(folder: str):
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.bool_()]
+    names = ["record_id", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "bundle", "frame", "offset", "payload_ok"]
+
+    def records(name, frame, plain):
+        at = 0
+        while at < len(plain):
+            headers, block, after = parse(plain, at)
+            page, kind = _PAGE.match(headers["WARC-Record-ID"]), headers["WARC-Type"]
+            http, _, payload = block.partition(b"\r\n\r\n")
+            size = int(re.search(rb"Content-Length: (\d+)", http)[1])
+            digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
+            refers = _PAGE.match(headers.get("WARC-Refers-To", ""))
+            ok = kind == "revisit" or (len(payload) == size and hashlib.sha1(payload).hexdigest() == digest)
+            yield headers["WARC-Record-ID"], int(page[1]) if page else None, size, digest, kind, int(refers[1]) if refers else None, name, frame, at, ok
+            at = after
+
+    def run(batches):
+        store, base = _filesystem(folder)
+        for b in batches:
+            for name in b.column("bundle").to_pylist():
+                with store.open_input_file(f"{base}/{name}") as bundle:
+                    frames = _frames(bundle)
+                    for k in range(len(frames)):
+                        rows = list(records(name, k, read_frame(bundle, frames, k)))
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+    return run
+
+
+def _dealt(spark: SparkSession, bundles: DataFrame) -> DataFrame:
+    """Bundles over all tasks (few small rows would else be put together in one)."""
+    return bundles.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), "bundle")
 
 
 def read_archives(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
-    """Every record of the bundles that ``index`` names, read back and checked against its digest."""
-    if index.isEmpty():
-        return spark.createDataFrame([], RECORDS)
-    return _bundles(spark, folder, index).mapInArrow(_read, RECORDS)
-
-
-def _seek(batches):
-    for b in batches:
-        cols = [b.column(c).to_pylist() for c in ("content", "places")]
-        rows = []
-        for data, places in zip(*cols):
-            frames, held = read_seek_table(data), {}
-            for p in sorted(places, key=lambda p: (p["frame"], p["offset"])):
-                if p["frame"] not in held:
-                    held = {p["frame"]: read_frame(data, frames, p["frame"])}
-                rows.append((p["record_id"], held[p["frame"]][p["offset"] : p["offset"] + p["length"]]))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["record_id", "record"])
+    """Every record of the bundles that ``index`` names, read back and checked against its digest.
+
+    Tasks open the bundles where they lie, frame by frame; no bundle moves.
+    """
+    return _dealt(spark, index.select("bundle").distinct()).mapInArrow(_read(folder), RECORDS)
+
+
+def _seek(folder: str):
+    def run(batches):
+        store, base = _filesystem(folder)
+        for b in batches:
+            for name, places in zip(b.column("bundle").to_pylist(), b.column("places").to_pylist()):
+                with store.open_input_file(f"{base}/{name}") as bundle:
+                    frames, at, plain, rows = _frames(bundle), None, b"", []
+                    for p in sorted(places, key=lambda p: (p["frame"], p["offset"])):
+                        if p["frame"] != at:
+                            at, plain = p["frame"], read_frame(bundle, frames, p["frame"])
+                        rows.append((p["record_id"], plain[p["offset"] : p["offset"] + p["length"]]))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["record_id", "record"])
+
+    return run
 
 
 def fetch_records(spark: SparkSession, folder: str, index: DataFrame, record_ids: DataFrame) -> DataFrame:
-    """(record_id, record) of the wanted identifiers, decoding only the frames that hold them."""
+    """(record_id, record) of the wanted identifiers, reading and decoding only the frames that hold them."""
     wanted = index.join(record_ids.select("record_id").distinct(), "record_id", "left_semi")
     places = wanted.groupBy("bundle").agg(F.collect_list(F.struct("record_id", "frame", "offset", "length")).alias("places"))  # at most a bundle's records
-    return _bundles(spark, folder, index).join(places, "bundle").select("content", "places").mapInArrow(_seek, "record_id string, record binary")
+    return _dealt(spark, places).mapInArrow(_seek(folder), "record_id string, record binary")
 
 
 def archive_pages(spark: SparkSession, pages: DataFrame, folder: str | None = None, **columns) -> DataFrame:
