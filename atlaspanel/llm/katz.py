@@ -36,7 +36,7 @@ from atlaspanel.llm.common import lower_words, scratch_path, stored, texts
 K = 5
 #: Tokens of a block, and of a bucket's share of the corpus.
 BLOCK_TOKENS = 1_500_000
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 4_000_000
 #: Tokens of a text's segment.
 SEGMENT_TOKENS = 1_000_000
 
@@ -192,7 +192,8 @@ class Block:
         rows = known[order]
         c, w = ctx[rows[first]], self.w[rows[first]]
         n = np.add.reduceat(self.counted[rows].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-        q = self.p[rows[first]]
+        # at level 2 the word's count says its probability, in fewer bytes
+        q = self.c[rows[first]] if level == 2 else self.p[rows[first]]
         self.pair_of = np.full(len(ctx), -1, np.int64)
         self.pair_of[rows] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(rows)]))
         # a context's share of the corpus says over how many buckets it is spread
@@ -208,7 +209,7 @@ class Block:
         ps = np.concatenate([np.arange(s) for s in spread[wide]]) if len(wide) else np.zeros(0, np.int64)
         pair = np.r_[np.arange(len(c)), np.full(len(pc), -1)]
         c, sub = np.r_[c, pc], np.r_[sub, ps]
-        w, n, q = np.r_[w, np.full(len(pc), -1)], np.r_[n, np.zeros(len(pc), np.int64)], np.r_[q, np.zeros(len(pc))]
+        w, n, q = np.r_[w, np.full(len(pc), -1)], np.r_[n, np.zeros(len(pc), np.int64)], np.r_[q, np.zeros(len(pc), q.dtype)]
         bucket = (_mix(c * 1_000_003 + sub) % np.uint64(self.buckets)).astype(np.int64)
         order = np.lexsort((w, c, bucket))
         c, w, n, q, bucket = c[order], w[order], n[order], q[order], bucket[order]
@@ -220,12 +221,12 @@ class Block:
 
     def ask_grams(self, level: int, model: dict):
         c, w, n, q, bucket = self._plan_grams(level, model)
-        _, q_of = np.unique(q, return_inverse=True)
         for at, end in _runs(bucket):
             s = slice(at, end)
-            # probabilities repeat: their distinct values once, and each row's place among them
-            _, one, place = np.unique(q_of[s], return_index=True, return_inverse=True)
-            yield level, int(bucket[at]), pack(np.diff(c[s], prepend=0), w[s].astype(np.int64), n[s].astype(np.int32), place.astype(np.uint32), q[s][one])
+            # only counted rows need the probability; it repeats, so its distinct values go once
+            values, place = np.unique(q[s][n[s] > 0], return_inverse=True)
+            values = np.diff(values, prepend=0) if level == 2 else values
+            yield level, int(bucket[at]), pack(np.diff(c[s], prepend=0), w[s].astype(np.int64), n[s].astype(np.int32), place.astype(np.uint32), values)
 
     def hear_grams(self, level: int, answers: dict[int, bytes], model: dict):
         self._plan_grams(level, model)
@@ -306,7 +307,7 @@ def unigram(count: np.ndarray, m: dict) -> np.ndarray:
 # ---- buckets of the model --------------------------------------------------
 
 
-def _merge(buckets: int, last: int):
+def _merge(buckets: int, last: int, totals: dict):
     """One bucket of one level: the blocks' counts added up, the model's rows, and the answers."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -320,7 +321,8 @@ def _merge(buckets: int, last: int):
             for ws, (_, n) in zip(words, data):
                 for w, k in zip(ws, n.tolist()):
                     total[w] = total.get(w, 0) + k
-            seen = sorted(w for w, k in total.items() if k)
+            # frequent words get the small numbers, which take the fewest bytes wherever they are sent
+            seen = sorted((w for w, k in total.items() if k), key=lambda w: (-total[w], w))
             number = {w: i * buckets + bucket + 1 for i, w in enumerate(seen)}
             for b, ws in zip(blocks, words):
                 answer(b, np.array([number.get(w, -1) for w in ws], np.int64), np.array([total[w] for w in ws], np.int64))
@@ -329,10 +331,14 @@ def _merge(buckets: int, last: int):
         else:
             c = np.concatenate([np.cumsum(d[0]) for d in data])
             w, n = (np.concatenate([d[k] for d in data]) for k in (1, 2))
-            q = np.concatenate([d[4][d[3]] for d in data])
+            q = np.zeros(len(c))
+            values = [np.cumsum(d[4]) if level == 2 else d[4] for d in data]
+            q[n > 0] = np.concatenate([v[d[3]] for v, d in zip(values, data)])
+            if level == 2:
+                q[n > 0] = unigram(q[n > 0].astype(np.int64), totals[1])
             order, first = distinct_pairs(c, w)
             sums = np.add.reduceat(n[order].astype(np.int64), first)
-            uc, uw, uq = c[order[first]], w[order[first]], q[order[first]]
+            uc, uw, uq = c[order[first]], w[order[first]], np.maximum.reduceat(q[order], first)
             group = np.empty(len(c), np.int64)
             group[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
             seen = sums > 0
@@ -424,7 +430,7 @@ def score_texts(
             asks = corpus.mapInArrow(ask_words, ASKS)
         else:
             asks = _with_answers(corpus, tables).applyInArrow(_ask(level, buckets, dict(model)), ASKS)
-        merged = asks.groupBy("bucket").applyInArrow(_merge(buckets, order), ANSWERS)
+        merged = asks.groupBy("bucket").applyInArrow(_merge(buckets, order, dict(model)), ANSWERS)
         t = stored(merged, f"katz-level-{level}", compression="uncompressed", partition_by="kind")
         m = t.filter("kind = 'model'").agg(*[F.sum(F.col("n_r")[k]) for k in range(K + 1)], F.sum("grams"), F.sum("total")).first()
         model[level] = {"n_r": [x or 0 for x in m[: K + 1]], "grams": m[K + 1] or 0, "total": m[K + 2] or 0}
