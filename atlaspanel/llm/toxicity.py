@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from atlaspanel.llm.common import stored, texts
+from atlaspanel.llm.common import fresh, stored, texts
 
 #: Bound on the labelled documents that the classifier is fitted on (chosen by hash of the id).
 MAX_LABELLED = 20_000
@@ -270,7 +271,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     return {"chars": lp, "weights": {f: float(w[i]) for f, i in known.items() if w[i]}, "bias": float(b)}
 
 
-def _score(shared):
+def _score(shared, text: str, score_name: str):
     def run(batches):
         model = shared.value
         restorer, weights, bias = Restorer(model["chars"]), model["weights"], model["bias"]
@@ -279,24 +280,25 @@ def _score(shared):
         starts = [(k, own, set(own)) for k, own in starts if own]
         for b in batches:
             scores = []
-            for t in texts(b.column("text")):
+            for t in texts(b.column(text)):
                 found = restorer.words(t)
                 z = bias + sum(weights[f] for f in sorted(found & vocab))
                 for k, own, keys in starts:
                     z += sum(own[f] for f in sorted({w[:k] for w in found} & keys))
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-            keep = [b.column(i) for i, n in enumerate(b.schema.names) if n != "text"]
-            names = [n for n in b.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(scores, pa.float64())], [*names, "score"])
+            names = [n for n in b.schema.names if n != text]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(scores, pa.float64())], [*names, score_name])
 
     return run
 
 
-def score(spark: SparkSession, docs: DataFrame, model: dict, keys: dict, text_col: str = "text") -> DataFrame:
-    """``keys`` (name -> column) of every document with its ``score``."""
-    rows = docs.select(*[c.alias(n) for n, c in keys.items()], F.col(text_col).alias("text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
-    return rows.mapInArrow(_score(spark.sparkContext.broadcast(model)), f"{schema}, score double")
+def score(spark: SparkSession, docs: DataFrame, model: dict, keys: dict, text_col: str = "text", score_name: str = "score") -> DataFrame:
+    """``keys`` (name -> column; they may hold the text itself) of every document with its score."""
+    kept = docs.select(*[c.alias(n) for n, c in keys.items()])
+    (text,) = fresh(kept, "__text")
+    rows = docs.select(*[c.alias(n) for n, c in keys.items()], F.col(text_col).alias(text))
+    schema = T.StructType([*kept.schema.fields, T.StructField(score_name, T.DoubleType())])
+    return rows.mapInArrow(_score(spark.sparkContext.broadcast(model), text, score_name), schema)
 
 
 def training_labels(labels: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:
