@@ -33,7 +33,7 @@ TOP = 20
 SHARD = 8_192
 QUERY_BLOCK = 512
 #: First stretch of the lists; stretches double.
-STRETCH = 64
+STRETCH = 128
 
 FOUND = "query_id long, vec_id long, score long"
 
@@ -69,29 +69,31 @@ class Lists:
 
     def search(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, score) of the best ``k`` vectors for ``q``, by score and then smaller id."""
-        n, dims = len(self.ids), np.flatnonzero(q)
+        n, up, down = len(self.ids), np.flatnonzero(q < 0), np.flatnonzero(q > 0)
         qk = q.astype(self.kind)
         best_rows, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if not len(dims):  # every score is zero: the smallest ids win
+        if not len(up) + len(down):  # every score is zero: the smallest ids win
             rows = np.flatnonzero(self.ids != query_id)[:k]
             return rows, np.zeros(len(rows), np.int64)
-        lists = np.where((q[dims] > 0)[:, None], self.down[dims], self.up[dims])
-        ends = np.where((q[dims] > 0)[:, None], self.high[dims], self.low[dims])
         met = self.ids == query_id
         at, width = 0, STRETCH
         while at < n:
             to = min(n, at + width)
             new = np.zeros(n, bool)
-            new[lists[:, at:to].ravel()] = True
+            new[self.down[down, at:to]] = True
+            new[self.up[up, at:to]] = True
             new &= ~met
             met |= new
             rows = np.flatnonzero(new)
             if len(rows):
                 score = (self.v[rows] @ qk).astype(np.int64)
+                if len(best) == k:  # a tie may still win by its smaller id
+                    near = score >= best[-1]
+                    rows, score = rows[near], score[near]
                 rows, score = np.r_[best_rows, rows], np.r_[best, score]
                 order = np.lexsort((rows, -score))[:k]  # rows are in the order of their ids
                 best_rows, best = rows[order], score[order]
-            bound = int((q[dims] * ends[:, to - 1]).sum())
+            bound = int(q[down] @ self.high[down, to - 1] + q[up] @ self.low[up, to - 1])
             if len(best) == k and bound < best[-1]:
                 break
             at, width = to, 2 * width
