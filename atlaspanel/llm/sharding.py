@@ -86,8 +86,9 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 40, over
     # ids, not texts, spread a shard's rows (a text may be held by very many of them)
     order = ["shard", F.xxhash64("doc_id", "size"), "doc_id", "text_crc32"]
     placed = ranked(assigned, order, "shard-slots")
-    starts = placed.groupBy("shard").agg(F.min("rank").alias("start"))  # one row per shard
-    return placed.join(starts, "shard").select(
+    first = {r["shard"]: r["start"] for r in placed.groupBy("shard").agg(F.min("rank").alias("start")).collect()}  # one row per shard
+    start = F.element_at(F.lit([first.get(s, 0) for s in range(shards)]).cast("array<bigint>"), F.col("shard") + 1)
+    return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-        (F.col("rank") - F.col("start")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        (F.col("rank") - start).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
