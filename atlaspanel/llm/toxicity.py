@@ -3,10 +3,13 @@
 A character language model (trigrams over a to z, counted over all documents)
 ranks the readings of a disguised word. Its lattice offers, per character, the
 letters that a digit or sign may stand for, one or two letters for a run of
-equal ones, and joining or parting for letters set apart by spaces or signs;
-Viterbi decoding picks the likeliest reading. Words as written, restored words
-and their beginnings are then the features of a logistic model learned from
-labelled documents.
+equal ones, and joining or parting for letters and signs set apart;
+Viterbi decoding picks the likeliest reading. Every word with a sign beside a
+letter is decoded (signs at its edges also as plain marks, and the word also
+with the neighbour it may be parted from), every run of three equal letters,
+three or more pieces of one character set apart, and every gap between letters.
+Words as written, restored words and their beginnings are then the features of
+a logistic model learned from labelled documents.
 
 Defined results: null and empty texts score as texts without a feature; a
 document labelled twice counts as toxic if any label says so, null labels are
@@ -51,11 +54,17 @@ PART_COST = 0.5
 
 _SIGNS = "".join(re.escape(c) for c in READINGS)
 _SIGN_SET, _LETTERS = frozenset(READINGS), frozenset("abcdefghijklmnopqrstuvwxyz")
+_ANY = _SIGN_SET | _LETTERS
 # Marks of a disguise, cheap to search for; the word around a mark is then taken by hand.
-_INSIDE = re.compile(rf"[a-z][{_SIGNS}]+[a-z]|(?<!\S)[{_SIGNS}][a-z]")
+_SIGN_RUN = re.compile(f"[{_SIGNS}]+")
 _RUN = re.compile(r"([a-z])\1\1")
-_APART = re.compile(r"[a-z][ .\-_*][a-z][ .\-_*][a-z][ .\-_*][a-z]")
-_APART_ALL = re.compile(r"[a-z](?:[ .\-_*][a-z](?![^\W_]))+")
+# Letters and signs set apart: each piece one character, or several equal ones ("*" only sets apart).
+_PIECE = f"a-z{_SIGNS.replace(re.escape('*'), '')}"
+_APART = re.compile(rf"(?<![^\W_])([{_PIECE}])\1*(?:[\s.\-_*]+([{_PIECE}])\2*(?![^\W_])){{2,}}")
+# The neighbour that a sign's word may have been parted from (the left one is searched in the reversed text).
+_NEXT = re.compile(rf"([\s.\-_])\1*[{_PIECE}]+")
+#: A word may begin after, and end before, each of this many groups of equal signs at its edges.
+EDGE_GROUPS = 32
 # Words: what white space, ASCII signs and digits, and these marks set apart.
 _BLANK = bytes(c if c >= 128 or 97 <= c <= 122 or 65 <= c <= 90 else 32 for c in range(256))
 _MARKS = "\u2019\u2018\u201c\u201d\u2026\u2013\u2014\u00ab\u00bb\u00a0"
@@ -64,6 +73,9 @@ _CLASS = np.full(256, OTHER, np.int64)
 _CLASS[97:123] = np.arange(26)
 _CLASS[65:91] = np.arange(26)
 _CLASS[[0x20, *range(0x09, 0x0E)]] = EDGE
+_GAP = np.zeros(256, bool)
+_GAP[[0x20, *range(0x09, 0x0E), *b".-_*"]] = True
+_GAP_CLASS = np.where(_GAP, EDGE, _CLASS)
 
 
 def _char_counts(batches):
@@ -90,58 +102,199 @@ def char_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(three)
 
 
+class _Many:
+    """Viterbi steps over all pairs of symbols at once, for signs that stand for any letter."""
+
+    def __init__(self, lp: np.ndarray, states: dict):
+        self.lp, self.base, self.back = lp, {a * SYMBOLS + b: out for (a, b), (_, out) in states.items()}, []
+        self.score = np.full((SYMBOLS, SYMBOLS), -np.inf)
+        for (a, b), (s, _) in states.items():
+            self.score[a, b] = s
+
+    def step(self, slot: list[tuple[str, float]]) -> None:
+        code = lambda c: EDGE if c == " " else ord(c) - 97
+        lp, score = self.lp, self.score
+        new, read = np.full((SYMBOLS, SYMBOLS), -np.inf), np.zeros((SYMBOLS, SYMBOLS), np.int64)
+        same = np.arange(SYMBOLS * SYMBOLS).reshape(SYMBOLS, SYMBOLS)
+        before = same.copy()
+        one = [(i, code(r), cost) for i, (r, cost) in enumerate(slot) if len(r) == 1]
+        if one:
+            at, k, cost = (np.array(x) for x in zip(*one))
+            live = np.flatnonzero(score.max(0) > -np.inf)  # after a letter as written, only that letter
+            total = score[:, live, None] + lp[:, live[:, None], k] - cost
+            best = total.argmax(0)
+            to = live[:, None], k
+            new[to] = total.max(0)
+            before[to] = best * SYMBOLS + live[:, None]
+            read[to] = at
+        for i, (r, cost) in enumerate(slot):
+            if not r:
+                better = score - cost > new
+                new, before, read = np.where(better, score - cost, new), np.where(better, same, before), np.where(better, i, read)
+            elif len(r) == 2:
+                x, y = code(r[0]), code(r[1])
+                total = score + lp[:, :, x] + lp[:, x, y] - cost
+                at = int(total.argmax())
+                if total.flat[at] > new[x, y]:
+                    new[x, y], before[x, y], read[x, y] = total.flat[at], at, i
+        self.score = new
+        self.back.append((before, read, slot))
+
+    def best(self) -> str:
+        at, out = int((self.score + self.lp[:, :, EDGE]).argmax()), []
+        for before, read, slot in reversed(self.back):
+            out.append(slot[read.flat[at]][0])
+            at = int(before.flat[at])
+        return self.base[at] + "".join(reversed(out))
+
+
 class Restorer:
     """Viterbi decoding of disguised words; remembers readings (bounded) within a worker."""
 
     def __init__(self, model: np.ndarray):
         self.lp = model.tolist()
+        self.dense = np.asarray(model)
         self.memory: dict[str, tuple[str, ...]] = {}
-
-    def _slots(self, token: str) -> list[list[tuple[str, float]]]:
-        spaced = len(token) > 6 and set(token[1::2]) <= set(" .-_*") and all(c.isalpha() for c in token[::2])
-        slots, i = [], 0
+        # whether two words are likelier joined, by the last two symbols before and the first two after the gap
+        lp = self.dense
+        joined = lp[:, :26, :26, None] + lp[None, :26, :26, :]
+        parted = lp[:, :26, EDGE, None, None] + lp[:26, EDGE, :26][None, :, :, None] + lp[EDGE, :26, :][None, None] - PART_COST
+        self.joins = joined > parted
+
+    @staticmethod
+    def _runs(token: str, apart: bool) -> list[tuple[str, int]]:
+        """Runs of equal characters; separators of any number are one blank."""
+        runs, i = [], 0
         while i < len(token):
-            c = token[i]
-            j = i
-            while j < len(token) and token[j] == c:
-                j += 1
-            if spaced and not c.isalpha():
-                slots.append([("", 0.0), (" ", PART_COST)])
-                i += 1
-                continue
-            if c in READINGS:
-                slots += [[(x, READ_COST) for x in READINGS[c]] + ([("", 2 * READ_COST)] if c in "!|*+#(" else [])] * (j - i)
-            elif j - i >= 3:
-                slots.append([(c, RUN_COST), (c + c, RUN_COST)])
+            j, c = i, token[i]
+            if c in _ANY and not (apart and c == "*"):
+                while j < len(token) and token[j] == c:
+                    j += 1
+                runs.append((c, j - i))
             else:
-                slots += [[(c, 0.0)]] * (j - i)
+                while j < len(token) and (token[j] not in _ANY or apart and token[j] == "*"):
+                    j += 1
+                runs.append((" ", 1))
             i = j
-        return slots
+        return runs
+
+    @staticmethod
+    def _slots(c: str, m: int, again: bool, keep: bool, edge: bool) -> list[list[tuple[str, float]]]:
+        """Readings of a run; ``again``: it repeats the piece before a gap; ``keep``: two equal ones stay two;
+        ``edge``: it ends the word (a reading without it is taken apart)."""
+        if c == " ":
+            return [[("", 0.0), (" ", PART_COST)]]
+        fewer = []
+        if c in READINGS:
+            read = [(x, READ_COST) for x in READINGS[c]]
+            first = read + ([("", 2 * READ_COST)] if c in "!|*+#(" and not edge else []) + fewer
+            return [first] * m
+        if m == 1:
+            return [[(c, 0.0), *fewer]]
+        if m == 2:
+            return [[(c + c, 0.0), *([] if keep else [(c, RUN_COST)]), *fewer]]
+        return [[(c, RUN_COST), (c + c, RUN_COST), *fewer]]
+
+    def _step(self, states: dict, slot: list[tuple[str, float]]) -> dict:
+        lp, after = self.lp, {}
+        for (a, b), (score, out) in states.items():
+            for reading, cost in slot:
+                s, x, y = score - cost, a, b
+                for c in reading:
+                    k = EDGE if c == " " else ord(c) - 97
+                    s += lp[x][y][k]
+                    x, y = y, k
+                best = after.get((x, y))
+                if best is None or s > best[0]:
+                    after[x, y] = (s, out + reading)
+        return after
+
+    def _read(self, runs: list[tuple[str, int]], apart: bool, keep: bool, found: set[str]) -> None:
+        """Adds the likeliest reading, and those that end before each group of signs at the end."""
+        end = len(runs)
+        while end and (runs[end - 1][0] in _SIGN_SET or runs[end - 1][0] == " "):
+            end -= 1
+        signs = [c in _SIGN_SET or m > 1 or c == " " for c, m in runs]
+        first = signs.index(True)
+        lp, states, piece, many = self.lp, {(EDGE, EDGE): (0.0, "")}, "", None
+        for i, (c, m) in enumerate(runs, 1):
+            for slot in self._slots(c, m, apart and c == piece, keep, i > end):
+                if many is None and len(slot) > 25 and len(states) > 3:
+                    many = _Many(self.dense, states)
+                if many is None:
+                    states = self._step(states, slot)
+                else:
+                    many.step(slot)
+            if c != " ":
+                piece = c
+            if i == len(runs) or first < i and end <= i < end + EDGE_GROUPS:
+                best = many.best() if many else max((s + lp[a][b][EDGE], out) for (a, b), (s, out) in states.items())[1]
+                found.add(best)
 
     def restore(self, token: str) -> tuple[str, ...]:
-        """Likeliest reading of a token, as words."""
-        found = self.memory.get(token)
-        if found is not None:
-            return found
-        lp = self.lp
-        states = {(EDGE, EDGE): (0.0, "")}
-        for slot in self._slots(token):
-            after: dict = {}
-            for (a, b), (score, out) in states.items():
-                for reading, cost in slot:
-                    s, x, y = score - cost, a, b
-                    for c in reading:
-                        k = EDGE if c == " " else ord(c) - 97
-                        s += lp[x][y][k]
-                        x, y = y, k
-                    best = after.get((x, y))
-                    if best is None or s > best[0]:
-                        after[x, y] = (s, out + reading)
-            states = after
-        text = max((s + lp[a][b][EDGE], out) for (a, b), (s, out) in states.items())[1]
-        if len(self.memory) > 200_000:
-            self.memory.clear()
-        found = self.memory[token] = tuple(text.split())
+        """Words of the likeliest readings of a token.
+
+        Its runs of two equal characters are read once as two, once as one or
+        two; signs at its edges are read as letters, and left out as plain marks.
+        """
+        # letters beyond the two next to a choice change no choice: equal cores are decoded once
+        apart, i, j = _APART.fullmatch(token) is not None, 0, len(token)
+        while i + 2 < j and token[i] in _LETTERS and token[i + 1] in _LETTERS and token[i + 2] in _LETTERS and token[i] != token[i + 1] != token[i + 2]:
+            i += 1
+        while j - 3 >= i and token[j - 1] in _LETTERS and token[j - 2] in _LETTERS and token[j - 3] in _LETTERS and token[j - 1] != token[j - 2] != token[j - 3]:
+            j -= 1
+        core = token[i:j]
+        known = self.memory.get(core)
+        if known is None:
+            if len(self.memory) > 200_000:
+                self.memory.clear()
+            known = self.memory[core] = self._decode(core, apart)
+        return tuple(sorted({w for r in known for w in (token[:i] + r + token[j:]).split()}))
+
+    def _decode(self, token: str, apart: bool) -> tuple[str, ...]:
+        runs, found = self._runs(token, apart), set()
+        start = 0
+        while start < len(runs) and runs[start][0] in _SIGN_SET:
+            start += 1
+        for i in sorted({0, *range(max(0, start - EDGE_GROUPS), start + 1)}):
+            if any(c in _SIGN_SET or m > 1 or c == " " for c, m in runs[i:]):
+                for keep in (True,):
+                    self._read(runs[i:], apart, keep, found)
+        return tuple(sorted(found))
+
+    def rejoined(self, low: str) -> set[bytes]:
+        """Words of letters that are likelier joined than parted, by the gap between them (equal separators)."""
+        raw = np.frombuffer(f"  {low}  ".encode(), np.uint8)
+        gap, c = _GAP[raw], _GAP_CLASS[raw]
+        left = np.flatnonzero(gap[2:-2] & ~gap[1:-3]) + 2
+        if not len(left):
+            return set()
+        other = np.flatnonzero(c >= 26)  # no letters: the ends of words
+        change = np.flatnonzero(raw[1:] != raw[:-1]) + 1
+        right = np.append(change, len(raw))[np.searchsorted(change, left, side="right")]  # end of the equal separators
+        fits = (right < len(raw) - 2) & (c[left - 1] < 26)
+        left, right = left[fits], right[fits]
+        fits = c[right] < 26
+        left, right = left[fits], right[fits]
+        fits = self.joins[c[left - 2], c[left - 1], c[right], c[right + 1]]
+        left, right = left[fits], right[fits]
+        begin = other[np.searchsorted(other, left) - 1] + 1
+        end = other[np.searchsorted(other, right)]
+        data, found = raw.tobytes(), set()
+        chain, two, upto = [], b"", -1
+        for b, i, j, e in zip(begin.tolist(), left.tolist(), right.tolist(), end.tolist()):
+            word = data[j:e]
+            if b != upto:  # a new row of joined words: two, three, and all of them
+                found.add(b"".join(chain))
+                chain = [data[b:i]]
+            elif len(chain) > 1:
+                found.add(two + word)
+            two = chain[-1] + word
+            found.add(two)
+            chain.append(word)
+            upto = j
+        found.add(b"".join(chain))
+        found.discard(b"")
         return found
 
     def words(self, text: str) -> set[bytes]:
@@ -154,35 +307,42 @@ class Restorer:
         found = set(plain.encode().translate(_BLANK).split())
         for token in disguised(low):
             found.update(w.encode() for w in self.restore(token))
-        return found
+        return found | self.rejoined(low)
 
 
 def disguised(low: str) -> set[str]:
-    """Words of a lower-case text that look disguised."""
-    out, n = set(), len(low)
-    for mark, inner in ((_INSIDE, _SIGN_SET | _LETTERS), (_RUN, _LETTERS)):
+    """Words of a lower-case text that look disguised: signs beside letters (also with either neighbour), runs, letters set apart."""
+    out, n, back = set(), len(low), None
+    for mark, inner in ((_SIGN_RUN, _ANY), (_RUN, _LETTERS)):
         last = 0
         for m in mark.finditer(low):
             i, j = m.span()
             if i < last:
                 continue
+            if mark is _SIGN_RUN and not (i and low[i - 1] in _LETTERS or j < n and low[j] in _LETTERS):
+                continue
             while i and low[i - 1] in inner:
                 i -= 1
             while j < n and low[j] in inner:
                 j += 1
             last = j
-            out.add(low[i:j].rstrip("".join(_SIGN_SET)))
-    last = 0
+            out.add(low[i:j])
+            if mark is _SIGN_RUN:
+                # with its neighbours, stars at the edges only setting apart
+                word = low[i:j]
+                if _SIGN_SET.isdisjoint(word.strip("*")):
+                    continue
+                after = _NEXT.match(low, j) if word[-1] != "*" else None
+                if after and not _LETTERS.isdisjoint(after.group(0)):
+                    out.add(word.lstrip("*") + after.group(0))
+                if i and word[0] != "*":
+                    back = low[::-1] if back is None else back
+                    before = _NEXT.match(back, n - i)
+                    if before and not _LETTERS.isdisjoint(before.group(0)):
+                        out.add(before.group(0)[::-1] + word.rstrip("*"))
     for m in _APART.finditer(low):
-        i = m.start()
-        if i < last:
-            continue
-        if i and low[i - 1].isalnum():
-            i += 2  # the first letter ends a longer word
-        whole = _APART_ALL.match(low, i)
-        if whole and whole.end() - i >= 7:
-            out.add(whole.group(0))
-            last = whole.end()
+        if not _LETTERS.isdisjoint(m.group(0)):
+            out.add(m.group(0))
     return out
 
 

@@ -317,6 +317,24 @@ def test_disguises_are_read(spark, sf):
     assert toxicity.disguised("plain words, 1999 and rock'n'roll; end") == set()
 
 
+@pytest.fixture(scope="module")
+def restorer(spark):
+    return toxicity.Restorer(toxicity.char_model(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
+
+
+@pytest.mark.parametrize(
+    "written, word",
+    [
+        ("tr@$#", "trash"), ("idi07", "idiot"), ("10ser", "loser"), ("10$3r", "loser"), ('"$cum"', "scum"), ("($cum)", "scum"),
+        ("l 0 s e r", "loser"), ("l 0 $ 3 r!", "loser"), ("l  o  s  e  r", "loser"), ("a s s", "ass"), ("mo ron", "moron"), ("mo-ron", "moron"), ("lo  ser", "loser"),
+        ("l0 ser", "loser"), ("tr@ sh", "trash"), ("idi07!!", "idiot"),
+    ],
+)
+def test_disguises_are_marked(restorer, written, word):
+    """Signs at the start and end of words, pieces set apart with signs or wide gaps, words parted once."""
+    assert word.encode() in restorer.words(f"The {written.upper()} is here")
+
+
 def test_toxicity_odd_texts(spark, odd_docs, no_docs, clashing):
     labels = spark.createDataFrame([(4, 1), (4, 0), (6, 0), (None, 1), (8, None), (99, 1)], "doc_id long, toxic int")
     model = toxicity.fit(clashing, labels)
