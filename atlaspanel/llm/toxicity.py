@@ -3,7 +3,7 @@
 A character language model (trigrams over a to z, counted over all documents)
 ranks the readings of a disguised word. Its lattice offers, per character, the
 letters that a digit or sign may stand for, one or two letters for a run of
-equal ones, and joining or parting for letters and signs set apart;
+equal letters or signs, and joining or parting for letters and signs set apart;
 Viterbi decoding picks the likeliest reading. Every word with a sign beside a
 letter is decoded (signs at its edges also as plain marks, and the word also
 with the neighbour it may be parted from), every run of three equal letters,
@@ -184,11 +184,12 @@ class Restorer:
         ``edge``: it ends the word (a reading without it is taken apart)."""
         if c == " ":
             return [[("", 0.0), (" ", PART_COST)]]
-        fewer = []
+        fewer = [("", RUN_COST)] if again else []
         if c in READINGS:
             read = [(x, READ_COST) for x in READINGS[c]]
             first = read + ([("", 2 * READ_COST)] if c in "!|*+#(" and not edge else []) + fewer
-            return [first] * m
+            more = read + ([("", RUN_COST / (m - 1))] if m > 2 or m == 2 and not keep else [])
+            return [first] + [more] * (m - 1)
         if m == 1:
             return [[(c, 0.0), *fewer]]
         if m == 2:
@@ -256,9 +257,10 @@ class Restorer:
         start = 0
         while start < len(runs) and runs[start][0] in _SIGN_SET:
             start += 1
+        double = any(m == 2 for _, m in runs)
         for i in sorted({0, *range(max(0, start - EDGE_GROUPS), start + 1)}):
             if any(c in _SIGN_SET or m > 1 or c == " " for c, m in runs[i:]):
-                for keep in (True,):
+                for keep in (True, False) if double else (True,):
                     self._read(runs[i:], apart, keep, found)
         return tuple(sorted(found))
 

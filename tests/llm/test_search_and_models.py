@@ -335,6 +335,25 @@ def test_disguises_are_marked(restorer, written, word):
     assert word.encode() in restorer.words(f"The {written.upper()} is here")
 
 
+@pytest.mark.parametrize(
+    "written, word",
+    [
+        ("l000ser", "loser"), ("m000r0n", "moron"), ("l0sser", "loser"), ("1d107", "idiot"), ("7r@$#", "trash"), ("7 r @ $ #", "trash"),
+        ("l o o o s e r", "loser"), ("ll 0 s e r", "loser"), ("w0rthle55", "worthless"),
+    ],
+)
+def test_disguises_combine(restorer, written, word):
+    """Runs of signs and of two letters, signs and spacing, signs that end a word."""
+    assert word.encode() in restorer.words(f"The {written.upper()} is here")
+
+
+def test_equal_cores_read_alike(restorer):
+    """Letters away from a choice are left out of the decoding without changing it."""
+    for token in ["w0rthless", "worthl3ss", "of that$$$", "tr@ shore", "bett3rment", "(xylophone!!", "the l0ser"]:
+        whole = {w for r in restorer._decode(token, False) for w in r.split()}
+        assert set(restorer.restore(token)) == whole, token
+
+
 def test_toxicity_odd_texts(spark, odd_docs, no_docs, clashing):
     labels = spark.createDataFrame([(4, 1), (4, 0), (6, 0), (None, 1), (8, None), (99, 1)], "doc_id long, toxic int")
     model = toxicity.fit(clashing, labels)
