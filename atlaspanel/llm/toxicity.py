@@ -60,7 +60,7 @@ _SIGN_RUN = re.compile(f"[{_SIGNS}]+")
 _RUN = re.compile(r"([a-z])\1\1")
 # Letters and signs set apart: each piece one character, or several equal ones ("*" only sets apart).
 _PIECE = f"a-z{_SIGNS.replace(re.escape('*'), '')}"
-_APART = re.compile(rf"(?<![^\W_])([{_PIECE}])\1*(?:[\s.\-_*]+([{_PIECE}])\2*(?![^\W_])){{2,}}")
+_APART = re.compile(rf"(?<![^\W_])([{_PIECE}])(?<!\1\1)\1*+(?:[\s.\-_*]+([{_PIECE}])\2*+(?![^\W_])){{2,}}")
 # The neighbour that a sign's word may have been parted from (the left one is searched in the reversed text).
 _NEXT = re.compile(rf"([\s.\-_])\1*[{_PIECE}]+")
 #: A word may begin after, and end before, each of this many groups of equal signs at its edges.
