@@ -118,6 +118,15 @@ def test_program_reaches_the_optimum():
     assert total == 140
 
 
+@pytest.mark.parametrize("lengths, each, best", [((330, 700, 1000), 600, 600), ((400, 650, 900), 300, 305)])
+def test_program_packs_wasteful_fillings(lengths, each, best):
+    """Where the best filling of a sequence leaves more than a few tokens empty."""
+    slots = packing.plan({n: each for n in lengths}, 2048)
+    assert (slots["sequence"] >= 0).all()
+    configs = packing.packed(np.array(lengths), np.full(len(lengths), each), 2048)
+    assert sum(n for _, n in configs) <= best
+
+
 def test_knapsack_is_exact():
     lengths, prices = np.array([2, 3, 7]), np.array([0.3, 0.5, 1.3])
     best, take = packing._knapsack(lengths, prices, 12)
