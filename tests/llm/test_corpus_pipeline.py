@@ -42,7 +42,7 @@ def test_stages_on_odd_documents(spark, clashing, no_docs, sf):
 
 
 def test_registered_names():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert len(corpus_pipeline.STAGES) == 5
 
 
