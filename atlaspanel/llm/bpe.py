@@ -23,6 +23,7 @@ other columns pass through.
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import numpy as np
@@ -122,7 +123,7 @@ def merge_long(symbols: list[int], merges: Merges) -> list[int]:
     return out
 
 
-def merge_together(pieces: list[list[int]], merges: Merges) -> list[list[int]]:
+def merge_together(pieces: list[list[int]], merges: Merges) -> list[np.ndarray]:
     """Many short pieces: row r of the matrices is the tree and the symbols of piece r."""
     m, longest = len(pieces), max(map(len, pieces))
     size = max(2, 1 << (longest - 1).bit_length())
@@ -163,7 +164,7 @@ def merge_together(pieces: list[list[int]], merges: Merges) -> list[list[int]]:
             tree[rows, three] = np.minimum(tree[rows, 2 * three], tree[rows, 2 * three + 1])
         rows = rows[tree[rows, 1] < NONE]
     left = sym[:, :size] >= 0
-    flat, ends = sym[:, :size][left].tolist(), np.cumsum(left.sum(1)).tolist()
+    flat, ends = sym[:, :size][left].astype(np.int32), np.cumsum(left.sum(1)).tolist()
     return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
@@ -191,15 +192,17 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in added}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.parts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
-        self.mark = re.compile("|".join(map(re.escape, longest_first)).encode()) if added else None
+        self.mark = os.path.commonprefix(longest_first).encode()  # in every unit that holds a special token
         # units of printable ASCII can be cut without the library where its steps are the known ones
         steps = [*((spec.get("normalizer") or {}).get("normalizers") or []), *((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [])]
         known = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None), ("Split", WORD_PATTERN), ("ByteLevel", None)]
         self.simple = [(x["type"], (x.get("pattern") or {}).get("Regex")) for x in steps] == known and bool(self.word_end)
         self.ends = {t[: -len(self.word_end)]: i for t, i in self.vocabulary.items() if t.endswith(self.word_end)} if self.word_end else {}
         self.token = {i: t for t, i in [*self.vocabulary.items(), *self.special.items()]}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.units: dict[bytes, tuple[tuple[int, ...], str]] = {}
+        # ids are kept as 32-bit numbers side by side, so that those of a text are joined without a loop
+        self.pieces: dict[str, tuple[bytes, str]] = {}
+        self.unit_ids: dict[bytes, bytes] = {}
+        self.unit_texts: dict[bytes, str] = {}
 
     def symbols(self, piece: str) -> list[int]:
         """A piece's characters as ids; a character that the vocabulary lacks gives none, as in the library."""
@@ -210,9 +213,12 @@ class Encoder:
 
     def cut(self, unit: bytes) -> list[str | int]:
         """A unit as pieces (text) and special tokens (ids)."""
-        marked = self.mark and self.mark.search(unit)
-        if self.simple and not marked and _PRINTABLE(unit):
-            return WORD_ASCII.findall(unit.decode().lower())
+        marked = self.special and self.mark in unit
+        if self.simple and not marked:
+            if unit.isalpha():  # ASCII letters
+                return [unit.lower().decode()]
+            if _PRINTABLE(unit):
+                return WORD_ASCII.findall(unit.lower().decode())
         text, out = unit.decode(), []
         parts = self.parts.split(text) if marked else [text]
         for part in parts:
@@ -228,50 +234,54 @@ class Encoder:
         if len(self.pieces) > MEMORY_UNITS:
             self.pieces.clear()
         groups: dict[int, list[tuple[str, list[int]]]] = {}
-        for p in dict.fromkeys(pieces):
-            if p not in self.pieces:
-                s = self.symbols(p)
-                if len(s) > TOGETHER:
-                    self.pieces[p] = tuple(merge_long(s, self.merges))
-                elif s:  # trees of one height together
-                    groups.setdefault((len(s) - 1).bit_length(), []).append((p, s))
-                else:
-                    self.pieces[p] = ()
+        for p in set(pieces).difference(self.pieces):
+            s = self.symbols(p)
+            if 0 < len(s) <= TOGETHER:  # trees of one height together
+                groups.setdefault((len(s) - 1).bit_length(), []).append((p, s))
+            else:
+                self._learnt(p, np.array(merge_long(s, self.merges), np.int32))
         for group in groups.values():
             for at in range(0, len(group), ROWS):
                 some = group[at : at + ROWS]
                 for (p, _), ids in zip(some, merge_together([s for _, s in some], self.merges)):
-                    self.pieces[p] = tuple(ids)
+                    self._learnt(p, ids)
+
+    def _learnt(self, piece: str, ids: np.ndarray) -> None:
+        self.pieces[piece] = ids.tobytes(), self.decode(ids.tolist())
 
     def decode(self, ids) -> str:
         """The library's text of the ids, special tokens included."""
         tokens = [self.token[i] for i in ids]
         return self.library.decoder.decode(tokens) if self.library.decoder else " ".join(tokens)
 
-    def encode(self, batch: list[str]) -> tuple[list[list[int]], list[str]]:
-        """(ids, decoded text) of each text."""
-        if len(self.units) > MEMORY_UNITS:
-            self.units.clear()
+    def unit(self, cut: list[str | int]) -> tuple[bytes, str]:
+        """(ids, decoded text) of a unit's pieces and special tokens."""
+        if len(cut) == 1 and cut[0] in self.pieces:
+            return self.pieces[cut[0]]
+        ids = b"".join(np.int32(p).tobytes() if isinstance(p, int) else self.pieces[p][0] for p in cut)
+        if self.library.decoder:  # may look across pieces
+            return ids, self.decode(np.frombuffer(ids, np.int32).tolist())
+        return ids, " ".join(filter(None, (self.token[p] if isinstance(p, int) else self.pieces[p][1] for p in cut)))
+
+    def encode(self, batch: list[str]) -> tuple[list[bytes], list[str]]:
+        """(ids as 32-bit numbers side by side, decoded text) of each text."""
+        if len(self.unit_ids) > MEMORY_UNITS:
+            self.unit_ids.clear()
+            self.unit_texts.clear()
         cut_at_blanks = self.word_end and not self.library.decoder
         # without word ends the blanks are part of the pieces, and the library's decoder may look across units
         all_units = [t.encode().split() if cut_at_blanks else [t.encode()] * bool(t) for t in batch]
-        known = self.units
-        new = list({u for units in all_units for u in units if u not in known})
-        pieces = [self.cut(u) for u in new]
-        self.learn([p for cut in pieces for p in cut if isinstance(p, str)])
-        met = {}
-        for u, cut in zip(new, pieces):
-            ids = tuple(i for p in cut for i in ((p,) if isinstance(p, int) else self.pieces[p]))
-            met[u] = (ids, self.decode(ids))
-        out_ids, out_texts = [], []
-        for units in all_units:
-            values = [known.get(u) or met[u] for u in units]
-            ids: list[int] = []
-            for v in values:
-                ids.extend(v[0])
-            out_ids.append(ids)
-            out_texts.append(" ".join([v[1] for v in values if v[0]]) if cut_at_blanks else "".join(v[1] for v in values))
-        known.update((u, v) for u, v in met.items() if len(u) <= MEMORY_BYTES)
+        ids, text = self.unit_ids, self.unit_texts
+        new = list(set().union(*all_units).difference(ids))
+        cuts = [self.cut(u) for u in new]
+        self.learn([p for cut in cuts for p in cut if isinstance(p, str)])
+        for u, cut in zip(new, cuts):
+            ids[u], text[u] = self.unit(cut)
+        out_ids = [b"".join(map(ids.__getitem__, units)) for units in all_units]
+        out_texts = [" ".join(filter(None, map(text.__getitem__, units))) for units in all_units]
+        for u in new:
+            if len(u) > MEMORY_BYTES:
+                del ids[u], text[u]
         return out_ids, out_texts
 
 
@@ -289,9 +299,8 @@ def _run(path: str, text_name: str):
             for at in range(0, b.num_rows, STEP):
                 some = b.slice(at, STEP)
                 ids, decoded = encoder.encode(texts(some.column(text_name)))
-                lengths = np.cumsum([0, *map(len, ids)])
-                flat = pa.array([i for x in ids for i in x], pa.int32())
-                lists = pa.LargeListArray.from_arrays(pa.array(lengths, pa.int64()), flat).cast(pa.list_(pa.int32()))
+                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)), flat)
                 yield pa.RecordBatch.from_arrays([*[some.column(i) for i in kept], lists, pa.array(decoded, pa.string())], [*[b.schema.names[i] for i in kept], "ids", "decoded"])
 
     return run
