@@ -95,18 +95,19 @@ def landed_refresh_inputs(
     wb_format: str = "parquet",
     multi_line_json: bool = False,
 ) -> RefreshInputs:
-    """``multi_line_json``: for payloads landed as one JSON document over several
-    lines (then one task reads a file); line-delimited documents split. The FDI
-    source may be empty; the refresh then goes on with WEO alone."""
+    """``multi_line_json``: for payloads landed as one JSON document, over one or
+    several lines: their records are found from byte ranges in parallel;
+    line-delimited documents split as they are. The FDI source may be empty; the
+    refresh then goes on with WEO alone."""
     cfg = source_configs(start_year, end_year, current_year)
     seed = readers.read_country_seed(spark, seed_csv)
     wb = readers.payload_order(readers.read_wide_years(spark, wb_wide, fmt=wb_format), parquet=wb_format == "parquet", path=wb_wide)
-    hdr = readers.payload_order(readers.read_point_records(spark, hdr_json, multi_line=multi_line_json), parquet=False, path=hdr_json)
+    hdr = readers.read_point_records(spark, hdr_json, ordered=True, by_ranges=multi_line_json)
     points = {
         "wb": wb_points(wb),
         "hdr": hdr_points(hdr),
-        "weo": weo_points(readers.read_nested_map(spark, weo_json, multi_line=multi_line_json, ordered=True)),
-        "fdi": fdi_points(readers.read_parallel_arrays(spark, fdi_json, multi_line=multi_line_json, ordered=True)),
+        "weo": weo_points(readers.read_nested_map(spark, weo_json, ordered=True, by_ranges=multi_line_json)),
+        "fdi": fdi_points(readers.read_parallel_arrays(spark, fdi_json, ordered=True, by_ranges=multi_line_json)),
     }
     return RefreshInputs(
         seed=seed,

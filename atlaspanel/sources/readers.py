@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from atlaspanel.sources.json_ranges import Ranges
+
 # Seed CSV: six text columns and six 0/1 flag columns.
 SEED_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType(), True) for c in ("country_name", "iso3", "iso2", "continent", "region", "income_group")]
@@ -92,6 +94,28 @@ def _parts(field: str):
     return F.explode(F.array_compact(F.array(content, bad)))
 
 
+def _elements(spark: SparkSession, path: str, level: int, under: tuple) -> tuple[DataFrame, DataFrame, list[str]]:
+    """A payload of large documents by byte ranges: the elements (``text``, ``keys``, place) under the given keys
+    (None: any), texts of documents that end too early, and the files that hold no element at all."""
+    ranges = Ranges(spark, path)
+    found = ranges.elements(level)
+    for i, key in enumerate(under):
+        if key is not None:
+            found = found.filter(F.element_at("keys", i + 1) == key)
+    early = ranges.unfinished_outside(level)
+    bad = spark.createDataFrame([(f, f"unfinished document {f}") for f in early], "file string, bad string")
+    return found, bad, ranges.files_without(level)
+
+
+def _element_order(df: DataFrame, path: str, ordered: bool) -> DataFrame:
+    """``ingest_seq`` of elements: their file's rank, then their range and their place in it."""
+    if not ordered:
+        return df.drop("file", "start", "place")
+    pos = F.coalesce("start", F.lit(0)).cast("decimal(38,0)") * _decimal_power(TASK_ROW_DIGITS) + F.coalesce("place", F.lit(0))
+    out = _with_file_rank(df.withColumn("__file", F.col("file")).withColumn("__pos", pos), path, _decimal_power(OFFSET_DIGITS + TASK_ROW_DIGITS), "ingest_seq")
+    return out.drop("file", "start", "place")
+
+
 def read_country_seed(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV; only the empty field is NULL, so the code ``NA`` stays text."""
     return (
@@ -119,61 +143,113 @@ def read_wide_years(
     return df.withColumnsRenamed(present) if present else df
 
 
-def read_point_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_point_records(spark: SparkSession, path: str, multi_line: bool = False, ordered: bool = False, by_ranges: bool = False) -> DataFrame:
     """S3: JSON arrays (or lines) of point records.
 
-    A landed file that is one JSON array needs ``multi_line=True`` (one task per
-    file). Line-delimited files -- including one array per line -- split. An
-    unreadable document becomes one point without keys whose ``value`` is the
-    document's text, which validation rejects.
+    Line-delimited files -- including one array per line -- split as they are. A
+    file that is one JSON array over one or many lines is read with
+    ``by_ranges=True``: its records are found from byte ranges in parallel
+    (``json_ranges``); ``multi_line=True`` reads it in one task. An unreadable
+    record or document becomes one point without keys whose ``value`` is its
+    text, which validation rejects.
     """
-    raw = _json(spark, path, POINT_RECORD_SCHEMA, multi_line)
+    if by_ranges:
+        found, early, without = _elements(spark, path, 1, ())
+        declared = T.StructType([*POINT_RECORD_SCHEMA.fields, T.StructField(CORRUPT, T.StringType(), True)])
+        raw = found.withColumn("r", F.from_json("text", declared, {"columnNameOfCorruptRecord": CORRUPT})).select("file", "start", "place", "r.*")
+        raw = raw.unionByName(early.select("file", F.col("bad").alias(CORRUPT)), allowMissingColumns=True)
+        raw = _element_order(raw, path, ordered)
+        if without:
+            raw = raw.unionByName(_whole(spark, path, without, POINT_RECORD_SCHEMA, ordered))
+    else:
+        raw = _json(spark, path, POINT_RECORD_SCHEMA, multi_line)
+        if ordered:
+            raw = payload_order(raw, parquet=False, path=path)
     return raw.withColumn("value", F.coalesce(CORRUPT, "value")).drop(CORRUPT)
 
 
-def read_nested_map(spark: SparkSession, path: str, multi_line: bool = False, ordered: bool = False) -> DataFrame:
+def read_nested_map(spark: SparkSession, path: str, multi_line: bool = False, ordered: bool = False, by_ranges: bool = False) -> DataFrame:
     """``values[indicator][country][year] = value`` -> (country_code, indicator, year, value).
 
     Generator steps only; each output row is independent, so this stays a
-    narrow, per-partition transformation. Values are text (V5 parses them). An
-    unreadable document becomes one point without keys whose ``value`` is the
-    document's text, which validation rejects.
+    narrow, per-partition transformation. Values are text (V5 parses them).
+    ``by_ranges``: a document's (indicator, country) maps are found from byte
+    ranges in parallel. An unreadable document or map becomes one point without
+    keys whose ``value`` is its text, which validation rejects.
     """
-    raw = _json(spark, path, NESTED_MAP_SCHEMA, multi_line)
-    seq = []
-    if ordered:  # document order; entries of one document share it (map keys are unique)
-        raw = payload_order(raw, parquet=False, path=path)
-        seq = ["ingest_seq"]
-    parts = raw.select(*seq, _parts("values").alias("part")).select(*seq, "part.content", "part.bad")
-    by_indicator = parts.select(*seq, "bad", F.explode_outer("content").alias("indicator", "countries"))
-    by_country = by_indicator.select(*seq, "bad", "indicator", F.explode_outer("countries").alias("country_code", "years"))
+    seq = ["ingest_seq"] if ordered else []
+    if by_ranges:
+        found, early, without = _elements(spark, path, 3, ("values",))
+        years = F.from_json("text", "map<string,string>")
+        maps = found.select(
+            "file", "start", "place", F.element_at("keys", 3).alias("country_code"), F.element_at("keys", 2).alias("indicator"),
+            years.alias("years"), F.when(years.isNull(), F.col("text")).alias("bad"),
+        ).unionByName(early.select("file", "bad"), allowMissingColumns=True)
+        by_country = _element_order(maps, path, ordered)
+        if without:
+            by_country = by_country.unionByName(_countries(_whole(spark, path, without, NESTED_MAP_SCHEMA, ordered), seq))
+    else:
+        raw = _json(spark, path, NESTED_MAP_SCHEMA, multi_line)
+        if ordered:  # document order; entries of one document share it (map keys are unique)
+            raw = payload_order(raw, parquet=False, path=path)
+        by_country = _countries(raw, seq)
     cells = by_country.select(*seq, "bad", "country_code", "indicator", F.explode_outer("years").alias("year", "value"))
     return cells.filter(F.col("year").isNotNull() | F.col("bad").isNotNull()).select(
-        "country_code", "indicator", "year", F.coalesce("bad", "value").alias("value"), *seq
+        F.when(F.col("bad").isNull(), F.col("country_code")).alias("country_code"), F.when(F.col("bad").isNull(), F.col("indicator")).alias("indicator"),
+        "year", F.coalesce("bad", "value").alias("value"), *seq,
     )
 
 
-def read_parallel_arrays(spark: SparkSession, path: str, multi_line: bool = False, ordered: bool = False) -> DataFrame:
+def _whole(spark: SparkSession, path: str, files: list[str], schema: T.StructType, ordered: bool) -> DataFrame:
+    raw = _json(spark, files, schema, True)
+    return payload_order(raw, parquet=False, path=path) if ordered else raw
+
+
+def _countries(raw: DataFrame, seq: list[str]) -> DataFrame:
+    """Nested-map documents -> one row per (indicator, country) with its years."""
+    parts = raw.select(*seq, _parts("values").alias("part")).select(*seq, "part.content", "part.bad")
+    by_indicator = parts.select(*seq, "bad", F.explode_outer("content").alias("indicator", "countries"))
+    return by_indicator.select(*seq, "bad", "indicator", F.explode_outer("countries").alias("country_code", "years"))
+
+
+def read_parallel_arrays(spark: SparkSession, path: str, multi_line: bool = False, ordered: bool = False, by_ranges: bool = False) -> DataFrame:
     """Per document zip(period, value) -> (country_code, year, value).
 
     Like a zip over two lists, pairs stop at the shorter array: both arrays are
     sliced to the common length before ``arrays_zip`` (which would pad). Values
-    are text (V5 parses them). An unreadable document becomes one point without
-    keys whose ``value`` is the document's text, which validation rejects.
+    are text (V5 parses them). ``by_ranges``: the entries of ``series.docs`` are
+    found from byte ranges in parallel. An unreadable document or entry becomes
+    one point without keys whose ``value`` is its text, which validation rejects.
     """
-    raw = _json(spark, path, PARALLEL_ARRAYS_SCHEMA, multi_line)
-    seq = []
-    if ordered:  # document order; pairs of one document share it
-        raw = payload_order(raw, parquet=False, path=path)
-        seq = ["ingest_seq"]
-    parts = raw.select(*seq, _parts("series").alias("part")).select(*seq, "part.content", "part.bad")
-    docs = parts.select(*seq, "bad", F.explode_outer("content.docs").alias("doc"))
+    seq = ["ingest_seq"] if ordered else []
+    if by_ranges:
+        found, early, without = _elements(spark, path, 3, ("series", "docs"))
+        entry = PARALLEL_ARRAYS_SCHEMA["series"].dataType["docs"].dataType.elementType
+        declared = T.StructType([*entry.fields, T.StructField(CORRUPT, T.StringType(), True)])
+        read = found.withColumn("doc", F.from_json("text", declared, {"columnNameOfCorruptRecord": CORRUPT}))
+        docs = read.select("file", "start", "place", F.col(f"doc.{CORRUPT}").alias("bad"), F.struct(*[F.col(f"doc.{f.name}").alias(f.name) for f in entry.fields]).alias("doc"))
+        docs = _element_order(docs.unionByName(early.select("file", "bad"), allowMissingColumns=True), path, ordered)
+        if without:
+            docs = docs.unionByName(_series_docs(_whole(spark, path, without, PARALLEL_ARRAYS_SCHEMA, ordered), seq))
+    else:
+        raw = _json(spark, path, PARALLEL_ARRAYS_SCHEMA, multi_line)
+        if ordered:  # document order; pairs of one document share it
+            raw = payload_order(raw, parquet=False, path=path)
+        docs = _series_docs(raw, seq)
     n = F.coalesce(F.least(F.size("doc.period"), F.size("doc.value")), F.lit(0))
     zipped = F.arrays_zip(F.slice("doc.period", 1, n).alias("period"), F.slice("doc.value", 1, n).alias("value"))
     pairs = docs.select(
-        *seq, "bad", F.col("doc.dimensions.REF_AREA").alias("country_code"), F.inline_outer(F.when(n > 0, zipped))
+        *seq, "bad", F.col("doc.dimensions.REF_AREA").alias("country_code"), F.inline_outer(F.when((n > 0) & F.col("bad").isNull(), zipped))
     ).filter(F.col("period").isNotNull() | F.col("value").isNotNull() | F.col("bad").isNotNull())
-    return pairs.select("country_code", F.col("period").alias("year"), F.coalesce("bad", "value").alias("value"), *seq)
+    return pairs.select(
+        F.when(F.col("bad").isNull(), F.col("country_code")).alias("country_code"), F.col("period").alias("year"), F.coalesce("bad", "value").alias("value"), *seq
+    )
+
+
+def _series_docs(raw: DataFrame, seq: list[str]) -> DataFrame:
+    """Parallel-array documents -> one row per entry of ``series.docs``."""
+    parts = raw.select(*seq, _parts("series").alias("part")).select(*seq, "part.content", "part.bad")
+    return parts.select(*seq, "bad", F.explode_outer("content.docs").alias("doc"))
 
 
 def read_layer_table(spark: SparkSession, layer: str, name: str) -> DataFrame:
@@ -252,9 +328,15 @@ def payload_order(df: DataFrame, parquet: bool, path: str | list[str], col: str
         pos = F.col("_metadata.file_block_start").cast(dec) * _decimal_power(TASK_ROW_DIGITS) + row_in_task.cast(dec)
         scale = _decimal_power(OFFSET_DIGITS + TASK_ROW_DIGITS)
     with_meta = with_meta.withColumn("__pos", pos)
+    return _with_file_rank(with_meta, path, scale, col)
+
+
+def _with_file_rank(df: DataFrame, path: str | list[str], scale, col: str) -> DataFrame:
+    """``col``: the rank of ``__file`` in the listing of ``path`` times ``scale``, plus ``__pos``."""
     # the two listings may spell a path's scheme differently (file:/ and file:///)
     spelled = lambda c: F.regexp_replace(c, "^file:/+", "file:///")
     ranked = _file_ranks(_listing(df.sparkSession, path).select(spelled("__file").alias("__file")))
-    out = with_meta.withColumn("__file", spelled("__file")).join(ranked, "__file", "inner")
+    out = df.withColumn("__file", spelled("__file")).join(ranked, "__file", "inner")
+    dec = "decimal(38,0)"
     key = (F.col("__rank").cast(dec) * scale + F.col("__pos")).cast(dec)
     return out.withColumn(col, key).drop("__file", "__pos", "__rank")
