@@ -4,14 +4,14 @@ Checks are plain Python data (``Check``); ``quality_report`` evaluates all
 checks of one table with
 
 * one global aggregate for every row-level metric (row count, missing
-  counts, invalid range/value counts, minimum) -- a single scan, partial
-  aggregation per task, one tiny exchange;
-* one ``groupBy(keys).count()`` per uniqueness key (a shuffle per key, with
-  map-side combine so a hot key costs one partial row per task);
-* one anti-join per relationship (parent broadcast only behind a size check,
-  else the child is pre-aggregated per key before the shuffle).
-
-The result is a DataFrame ``(layer, dataset, check, column, measured, outcome)``
+  counts, invalid range/value counts, minimum) and for every relationship whose
+  parent keys may be broadcast -- a single scan, partial aggregation per task,
+  one tiny exchange;
+* one aggregate over grouping sets for all uniqueness keys and all other
+  relationships: one scan, expanded to a row per key set, counted per key with
+  map-side combine (a hot key costs one partial row per task).
+
+So a table is scanned twice at most, however many checks it has. The result is a DataFrame ``(layer, dataset, check, column, measured, outcome)``
 with one row per check. Nothing is collected except by the gate.
 """
 
@@ -164,6 +164,25 @@ def _rows(df_one_row: DataFrame, checks: list[tuple[Check, str]], layer: str, da
     return df_one_row.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
+_KEYED_KINDS = {"unique", "unique_combination", "duplicate_count"}
+
+
+def _parent_keys(check: Check, parents: dict[str, DataFrame], alias: str) -> DataFrame:
+    keys = parents[check.parent].select(F.col(check.parent_column).alias(alias))
+    return keys.filter(F.col(alias).isNotNull()).distinct()
+
+
+def _counts_by_key(df: DataFrame, sets: list[tuple]) -> tuple[DataFrame, dict[tuple, int]]:
+    """Rows per key of every key set, from one scan: (key columns, ``__set``, ``__n``) and the number of each set."""
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    if len(sets) == 1:
+        return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"), F.lit(0).cast("long").alias("__set")), {sets[0]: 0}
+    # Spark numbers a set by the columns it leaves out, the first column highest
+    number = {s: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s) for s in sets}
+    grouped = df.select(*columns).groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns])
+    return grouped.agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().cast("long").alias("__set")), number
+
+
 def quality_report(
     df: DataFrame,
     checks: list[Check],
@@ -174,21 +193,35 @@ def quality_report(
     """Q14: every check of one table -> report rows (one row per check)."""
     parents = parents or {}
     parts: list[DataFrame] = []
-
-    agg_checks = [(c, f"m{i}") for i, c in enumerate(checks) if c.kind in _AGG_KINDS]
-    if agg_checks:
-        one = df.selectExpr(*[f"{_metric(c, df)} AS {a}" for c, a in agg_checks])
-        parts.append(_rows(one, agg_checks, layer, dataset))
-
-    for i, c in enumerate(checks):
-        alias = f"k{i}"
-        if c.kind in ("unique", "unique_combination", "duplicate_count"):
-            one = duplicate_keys(df, list(c.columns)).agg(F.count(F.lit(1)).cast("double").alias(alias))
-            parts.append(_rows(one, [(c, alias)], layer, dataset))
-        elif c.kind == "relationships":
-            parent = parents[c.parent]
-            one = orphan_count(df, c.columns[0], parent, c.parent_column, alias)
-            parts.append(_rows(one, [(c, alias)], layer, dataset))
+    named = [(c, f"m{i}") for i, c in enumerate(checks)]
+    related = {a: _parent_keys(c, parents, f"__p_{a}") for c, a in named if c.kind == "relationships"}
+    small = {a for a, keys in related.items() if estimated_bytes(keys) <= DIMENSION_BROADCAST_MAX_BYTES}
+
+    in_scan = [(c, a) for c, a in named if c.kind in _AGG_KINDS or a in small]
+    if in_scan:
+        rows, metrics = df, []
+        for c, a in in_scan:
+            if a in small:  # a parent key occurs once, so the join keeps the rows as they are
+                rows = rows.join(F.broadcast(related[a]), F.col(c.columns[0]) == F.col(f"__p_{a}"), "left")
+                lonely = f"{ident(c.columns[0])} IS NOT NULL AND {ident(f'__p_{a}')} IS NULL"
+                metrics.append(f"CAST(coalesce(sum(CASE WHEN {lonely} THEN 1 ELSE 0 END), 0) AS DOUBLE) AS {a}")
+            else:
+                metrics.append(f"{_metric(c, df)} AS {a}")
+        parts.append(_rows(rows.selectExpr(*metrics), in_scan, layer, dataset))
+
+    by_key = [(c, a) for c, a in named if c.kind in _KEYED_KINDS or a in related and a not in small]
+    if by_key:
+        counts, number = _counts_by_key(df, list(dict.fromkeys(tuple(sorted(set(c.columns))) for c, _ in by_key)))
+        metrics = []
+        for c, a in by_key:
+            mine = f"`__set` = {number[tuple(sorted(set(c.columns)))]}"
+            present = " AND ".join(f"{ident(k)} IS NOT NULL" for k in c.columns)
+            if c.kind in _KEYED_KINDS:
+                metrics.append(f"CAST(coalesce(sum(CASE WHEN {mine} AND {present} AND `__n` > 1 THEN 1 ELSE 0 END), 0) AS DOUBLE) AS {a}")
+            else:  # the distinct keys meet the parent's, a key's rows count if it has none
+                counts = counts.join(related[a], (F.col("__set") == number[tuple(c.columns)]) & (F.col(c.columns[0]) == F.col(f"__p_{a}")), "left")
+                metrics.append(f"CAST(coalesce(sum(CASE WHEN {mine} AND {present} AND {ident(f'__p_{a}')} IS NULL THEN `__n` ELSE 0 END), 0) AS DOUBLE) AS {a}")
+        parts.append(_rows(counts.selectExpr(*metrics), by_key, layer, dataset))
 
     if not parts:
         raise ValueError("no checks given")

@@ -132,13 +132,46 @@ def split_valid_rejects(df: DataFrame, rules: list[Column], errors_col: str = "e
     return valid, rejects
 
 
-def reject_summary(rejects: DataFrame, source: str | None = None, errors_col: str = "errors") -> DataFrame:
-    """Reject count per (source, error code)."""
+#: Rows that one step of the expansion makes of one row at most.
+EXPAND_STEP = 1 << 16
+
+
+def count_rejects(rejects: DataFrame, count_col: str = "occurrences") -> DataFrame:
+    """Equal rejects as one row with their number (partial counts before the shuffle)."""
+    return rejects.groupBy(*rejects.columns).agg(F.count(F.lit(1)).alias(count_col))
+
+
+def expand_rejects(counted: DataFrame, count_col: str = "occurrences", step: int = EXPAND_STEP) -> DataFrame:
+    """Counted rejects, each as often as it occurred.
+
+    Two bounded steps: a reject becomes one row per ``step`` occurrences, those
+    rows are dealt over the tasks, and each becomes at most ``step`` rows. A
+    reject that occurs 3 billion times never stands in one array or one task.
+    """
+    n = F.col(count_col).cast("long")
+    blocks = counted.filter(n > 0).withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(CAST(`{count_col}` AS BIGINT) - 1) DIV {step}"))))
+    parts = max(int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    dealt = blocks.repartition(parts, F.xxhash64("__block", *[F.col(c) for c in counted.columns]))
+    rest = F.least(F.lit(step).cast("long"), n - F.col("__block") * F.lit(step))
+    return dealt.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), rest))).drop("__block", "__k", count_col)
+
+
+def expand_rejects_sql(table: str, columns: list[str], count_col: str = "occurrences", step: int = EXPAND_STEP) -> str:
+    """``expand_rejects`` as the text of a stored view over a counted table."""
+    listed = ", ".join(f"`{c}`" for c in columns)
+    blocks = f"SELECT *, explode(sequence(0L, (CAST(`{count_col}` AS BIGINT) - 1) DIV {step})) AS `__block` FROM {table} WHERE `{count_col}` > 0"
+    rest = f"least({step}L, CAST(`{count_col}` AS BIGINT) - `__block` * {step})"
+    return f"SELECT {listed} FROM (SELECT *, explode(sequence(1L, {rest})) AS `__k` FROM ({blocks}))"
+
+
+def reject_summary(rejects: DataFrame, source: str | None = None, errors_col: str = "errors", count_col: str | None = None) -> DataFrame:
+    """Reject count per (source, error code); ``count_col``: how often a row occurred, if they are counted."""
     src = F.lit(source) if source is not None else F.col("source")
+    number = F.col(count_col).cast("long") if count_col else F.lit(1)
     return (
-        rejects.select(src.alias("source"), F.explode(errors_col).alias("error"))
+        rejects.select(src.alias("source"), F.explode(errors_col).alias("error"), number.alias("__n"))
         .groupBy("source", "error")
-        .agg(F.count(F.lit(1)).alias("rejects"))
+        .agg(F.sum("__n").alias("rejects"))
     )
 
 

@@ -78,7 +78,7 @@ def fact_panel(
     )
 
 
-def outer_merge(sources: list[DataFrame], keys: list[str] = KEYS) -> DataFrame:
+def outer_merge(sources: list[DataFrame], keys: list[str] = KEYS, unique_null_keys: bool = True) -> DataFrame:
     """``DISTINCT keys of all sources`` LEFT JOIN each source, as FULL OUTER joins.
 
     For every key k with a_k, b_k, ... rows in the sources (0 counting as one
@@ -86,5 +86,23 @@ def outer_merge(sources: list[DataFrame], keys: list[str] = KEYS) -> DataFrame:
     are equal; the outer form drops the spine's extra scan and aggregate of
     each source (a source feeding both spine and join is otherwise computed
     twice, since the pruned spine branch is not exchange-reusable).
+
+    A key with a NULL part is one spine row that no source matches. The outer
+    joins pair such keys null-safely and their values are blanked, which gives
+    that one row where no source repeats a NULL key (a pivot's result never
+    does). ``unique_null_keys=False``: sources that may repeat one; then those
+    rows are read apart, as distinct keys.
     """
-    return reduce(lambda a, b: a.join(b, on=keys, how="full"), sources)
+    values = [[c for c in s.columns if c not in keys] for s in sources]
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    if not unique_null_keys:
+        out = reduce(lambda a, b: a.join(b, on=keys, how="full"), [s.filter(whole) for s in sources])
+        return out.unionByName(spine_distinct([s.filter(~whole) for s in sources], keys), allowMissingColumns=True)
+
+    def paired(left: DataFrame, right: DataFrame) -> DataFrame:
+        other = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+        match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        return left.join(other, match, "full").withColumns({k: F.coalesce(k, f"__{k}") for k in keys}).drop(*[f"__{k}" for k in keys])
+
+    out = reduce(paired, sources)
+    return out.select(*keys, *[F.when(whole, F.col(c)).alias(c) for cs in values for c in cs])

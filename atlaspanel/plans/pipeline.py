@@ -189,16 +189,21 @@ def raw_from_checked(checked: DataFrame, cfg: SourceConfig) -> DataFrame:
     return reshape.conform_columns(wide, list(cfg.keys), cfg.codes)
 
 
-def rejects_from_checked(checked: DataFrame, point_columns: list[str], cfg: SourceConfig) -> DataFrame:
-    """The rejects of ``checked_points``, shaped as ``validate_points`` returns them (each as often as it occurred)."""
-    repeated = checked.filter(F.col("__kind") == REJECT).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
-    return repeated.select(
+def counted_rejects(checked: DataFrame, point_columns: list[str], cfg: SourceConfig) -> DataFrame:
+    """The distinct rejects of ``checked_points`` with how often each occurred."""
+    return checked.filter(F.col("__kind") == REJECT).select(
         *[F.col(f"__r_{c}").alias(c) for c in point_columns],
         F.col("__r_errors").alias("errors"),
         F.lit(cfg.name).alias("source"),
+        F.col("__n").cast("long").alias("occurrences"),
     )
 
 
+def rejects_from_checked(checked: DataFrame, point_columns: list[str], cfg: SourceConfig) -> DataFrame:
+    """The rejects of ``checked_points``, shaped as ``validate_points`` returns them (each as often as it occurred)."""
+    return rules.expand_rejects(counted_rejects(checked, point_columns, cfg))
+
+
 REPORT_COLUMNS = ["source", "metric", "detail", "number"]
 
 
@@ -279,14 +284,21 @@ def stage_two_part_source(
     )
 
 
-def build_panel(staged: list[DataFrame], dim: DataFrame, columns: list[str], where=None) -> DataFrame:
+def build_panel(staged: list[DataFrame], dim: DataFrame, columns: list[str], where=None, co_located: bool = False) -> DataFrame:
     """L2: all (country, year) keys of the staged sources -> the fact table.
 
     J4 on U2's key set, planned as outer joins so each staged source is read
     once (``spine.outer_merge``). ``where``: a condition on the keys, applied to
     every source before the merge; the keys are the join keys, so the rows are
-    those of the filtered fact, and the condition reaches each source's scan."""
+    those of the filtered fact, and the condition reaches each source's scan.
+
+    ``co_located``: the staged sources are stored bucketed and sorted on the
+    keys. Then the spine itself is planned: the union of the key columns, its
+    distinct and every left join keep the buckets' partitioning, so no row is
+    exchanged between the scans and the fact (a full outer join's coalesced keys
+    would lose it); the keys are scanned twice, the values once."""
     keys = ["country_code", "year"]
     if where is not None:
         staged = [s.filter(where) for s in staged]
-    return spine.fact_panel(None, dim, staged, columns, keys)
+    key_set = spine.spine_distinct(staged, keys) if co_located else None
+    return spine.fact_panel(key_set, dim, staged, columns, keys)

@@ -1,15 +1,25 @@
 """Sinks K1-K6 and the landing writers used to round-trip the sources.
 
-Full-refresh semantics: a table is replaced as a whole. A table must never be
-overwritten from a plan that reads it (Spark refuses, and it would lose
-data); callers write from upstream frames only.
+Full-refresh semantics: a table is replaced as a whole. Every write makes a new
+version, a table of its own folder; the name that readers use is a pointer (a
+view of one version) that is switched in one catalog step once the version is
+complete. A reader therefore sees the old rows or the new ones, never a part or
+nothing, also while its own query runs: the versions before the current one stay
+for ``KEEP`` further writes.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Versions kept behind the current one, for readers that are still at work on them.
+KEEP = 2
+_MARK = "__v"
+
 
 def ensure_layer(spark: SparkSession, layer: str, location: str | None = None) -> str:
     """K2: ``CREATE DATABASE IF NOT EXISTS layer`` (optionally at a shared location)."""
@@ -18,27 +28,69 @@ def ensure_layer(spark: SparkSession, layer: str, location: str | None = None) -
     return layer
 
 
-def replace_table(df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None) -> str:
-    """K1/K5: full refresh of ``layer.name`` (DROP + CREATE TABLE AS SELECT).
+def write_version(
+    df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None, bucket_by: tuple[int, list[str]] | None = None
+) -> str:
+    """A new version of ``layer.name``, not yet pointed to; returns its table name.
 
     ``partition_by`` (e.g. ``year`` for the fact at scale) gives partition
     pruning to readers that filter on it; rows are rebalanced on it first, so a
     folder holds about one file per advisory partition size, not one per task.
+    ``bucket_by`` = (buckets, keys): rows are stored hashed and sorted by the
+    keys, one file per bucket, so joins and aggregates on them need no exchange.
     """
-    spark = df.sparkSession
-    ensure_layer(spark, layer)
-    full = f"`{layer}`.`{name}`"
-    writer = df.write.mode("overwrite").format("parquet")
+    ensure_layer(df.sparkSession, layer)
+    version = f"{name}{_MARK}{time.time_ns():020d}_{uuid.uuid4().hex[:6]}"
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-        writer = df.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
-    writer.saveAsTable(full)
+    if bucket_by:
+        df = df.repartition(bucket_by[0], *bucket_by[1])
+    writer = df.write.format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
+    writer.saveAsTable(f"`{layer}`.`{version}`")
+    return version
+
+
+def versions(spark: SparkSession, layer: str, name: str) -> list[str]:
+    """The stored versions of ``layer.name``, oldest first."""
+    found = spark.sql(f"SHOW TABLES IN `{layer}` LIKE '{name}{_MARK}*'").collect()
+    mark = f"{name}{_MARK}"
+    return sorted(r["tableName"] for r in found if r["tableName"].startswith(mark) and r["tableName"][len(mark) :].replace("_", "").isalnum())
+
+
+def point_to(spark: SparkSession, layer: str, name: str, version: str, keep: int = KEEP) -> str:
+    """Switch ``layer.name`` to a version (one catalog step), then drop versions older than the ``keep`` before it."""
+    full = f"`{layer}`.`{name}`"
+    there = spark.sql(f"SHOW TABLES IN `{layer}` LIKE '{name}'").collect()
+    if there and not spark.sql(f"SHOW VIEWS IN `{layer}` LIKE '{name}'").collect():
+        spark.sql(f"DROP TABLE {full}")  # a plain table of an earlier layout
+    spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT * FROM `{layer}`.`{version}`")
+    older = [v for v in versions(spark, layer, name) if v < version]
+    for v in older[: max(0, len(older) - keep)]:
+        spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{v}`")
     return full
 
 
+def replace_table(
+    df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None, bucket_by: tuple[int, list[str]] | None = None
+) -> str:
+    """K1/K5: full refresh of ``layer.name``: a complete new version, then one switch to it."""
+    return point_to(df.sparkSession, layer, name, write_version(df, layer, name, partition_by, bucket_by))
+
+
 publish_table = replace_table
 
 
+def publish_sql_view(spark: SparkSession, layer: str, name: str, sql: str) -> str:
+    """A stored view of a query over the layer's tables."""
+    full = f"`{layer}`.`{name}`"
+    spark.sql(f"CREATE OR REPLACE VIEW {full} AS {sql}")
+    return full
+
+
 def publish_view(df: DataFrame, name: str) -> str:
     """K4: staging published as a (session) view; nothing is materialised."""
     df.createOrReplaceTempView(name)
