@@ -81,11 +81,19 @@ def _wide_years_frame(p: PN.StandinPanel) -> DataFrame:
     )
 
 
+def _chunks(p: PN.StandinPanel) -> list[DataFrame]:
+    """The API frame as two requests of overlapping years; every cell is in one of them at least."""
+    wide = _wide_years_frame(p)
+    return [wide.select("economy", "Series", "Country", *years) for years in CHUNK_YEARS]
+
+
 def read_wide_years(spark, sf_dir):
-    """The wide year frame landed as parquet, read back with renames."""
+    """The wide year frame landed as two chunks of parquet with different years, read back with renames."""
     p = _panel(spark, sf_dir)
-    path = sinks.land_parquet(_wide_years_frame(p), scratch_path(spark, "wide_years"))
-    return readers.read_wide_years(spark, path)
+    path = scratch_path(spark, "wide_years")
+    for i, chunk in enumerate(_chunks(p)):
+        sinks.land_parquet(chunk, f"{path}/chunk{i}")
+    return readers.read_wide_years(spark, path).select("country_code", "indicator", "Country", *WIDE_YEARS)
 
 
 def read_point_records(spark, sf_dir):
@@ -186,12 +194,12 @@ def _layer(spark, name: str) -> str:
 
 
 def replace_table(spark, sf_dir):
-    """K1: write the seed, then replace it by the subset of one region; the
-    table holds exactly the last write."""
+    """K1: write the seed twice over, then replace it by the seed; the table
+    holds exactly the last write."""
     p = _panel(spark, sf_dir)
     layer = _layer(spark, "atlaspanel_raw")
+    sinks.replace_table(p.seed.unionByName(p.seed), layer, "seed_replace")
     sinks.replace_table(p.seed, layer, "seed_replace")
-    sinks.replace_table(p.seed.filter(F.col("region") == "ASIA"), layer, "seed_replace")
     return readers.read_layer_table(spark, layer, "seed_replace")
 
 
@@ -247,11 +255,7 @@ def pivot_indicators(spark, sf_dir):
 
 def concat_chunks(spark, sf_dir):
     """Two chunks of the wide year frame with different year columns."""
-    p = _panel(spark, sf_dir)
-    wide = _wide_years_frame(p)
-    first = wide.filter(F.col("Series").isin("1-URGENT", "2-HIGH")).select("economy", "Series", "Country", *CHUNK_YEARS[0])
-    second = wide.filter(~F.col("Series").isin("1-URGENT", "2-HIGH")).select("economy", "Series", "Country", *CHUNK_YEARS[1])
-    return reshape.concat_chunks([first, second])
+    return reshape.concat_chunks(_chunks(_panel(spark, sf_dir)))
 
 
 def map_labels_to_codes(spark, sf_dir):
@@ -567,7 +571,7 @@ def count_distinct(spark, sf_dir):
     """Distinct countries with a_low per continent."""
     p = _panel(spark, sf_dir)
     j = A.not_null_filter(A.fact_inner_dim(p.fact, p.dim, ["continent"]), "a_low")
-    return A.count_distinct(j, ["continent"], "country_code", "country_count")
+    return A.count_distinct(j, ["continent"], "country_code", "country_count", dictionary=A.code_dictionary(p.dim, "country_code"))
 
 
 def scalar_max_filter(spark, sf_dir):

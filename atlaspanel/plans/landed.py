@@ -101,7 +101,7 @@ def landed_refresh_inputs(
     refresh then goes on with WEO alone."""
     cfg = source_configs(start_year, end_year, current_year)
     seed = readers.read_country_seed(spark, seed_csv)
-    wb = readers.payload_order(readers.read_wide_years(spark, wb_wide, fmt=wb_format), parquet=wb_format == "parquet", path=wb_wide)
+    wb = readers.read_wide_years(spark, wb_wide, fmt=wb_format, ordered=True)
     hdr = readers.read_point_records(spark, hdr_json, ordered=True, by_ranges=multi_line_json)
     points = {
         "wb": wb_points(wb),

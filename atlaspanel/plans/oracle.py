@@ -304,8 +304,11 @@ def _select(name: str) -> str:
             SELECT CASE WHEN {_K} = 3 THEN country_name || ', Republic of' ELSE country_name END AS country_name,
                    iso3, CASE WHEN {_K} = 7 THEN 'NA' WHEN {_K} = 11 THEN NULL ELSE iso2 END AS iso2,
                    continent, region, income_group, EU, OECD, ASEAN, BRICS, G20, FCS FROM seed""",
-        "read_wide_years": """SELECT economy AS country_code, "Series" AS indicator, "Country", """
-        + ", ".join(f'"{y}"' for y in YEARS) + " FROM wide",
+        "read_wide_years": " UNION ALL ".join(
+            'SELECT economy AS country_code, "Series" AS indicator, "Country", '
+            + ", ".join(f'"{y}"' if y in chunk else f'CAST(NULL AS DOUBLE) AS "{y}"' for y in YEARS) + " FROM wide"
+            for chunk in CHUNKS
+        ),
         "read_point_records": """SELECT country_code AS "countryIsoCode", country_name AS country, year,
                    indicator AS "indicatorCode", value FROM pts_b""",
         "read_nested_map": """SELECT country_code, indicator, year,
@@ -319,7 +322,7 @@ def _select(name: str) -> str:
         "read_layer_table": "SELECT * FROM seed",
         "head_sample": "SELECT n_nationkey, n_name, n_regionkey FROM nation ORDER BY n_nationkey LIMIT 5",
         # sinks
-        "replace_table": "SELECT * FROM seed WHERE region = 'ASIA'",
+        "replace_table": "SELECT * FROM seed",
         "export_csv_backup": "SELECT * FROM stg_a",
         "publish_view": "SELECT * FROM stg_b",
         "publish_table": "SELECT * FROM fact",
@@ -335,8 +338,8 @@ def _select(name: str) -> str:
         "concat_chunks": " UNION ALL ".join(
             'SELECT economy, "Series", "Country", '
             + ", ".join(f'"{y}"' if y in chunk else f'CAST(NULL AS DOUBLE) AS "{y}"' for y in YEARS)
-            + f""" FROM wide WHERE "Series" {op} ('1-URGENT', '2-HIGH')"""
-            for chunk, op in zip(CHUNKS, ("IN", "NOT IN"))
+            + " FROM wide"
+            for chunk in CHUNKS
         ),
         "map_labels_to_codes": f"""SELECT country_code, year, indicator AS label, {_label_case(S.STANDIN_A)} AS indicator,
                    value, ingest_seq FROM pts_a""",

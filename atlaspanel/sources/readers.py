@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from atlaspanel.operators.reshape import concat_chunks
 from atlaspanel.sources.json_ranges import Ranges
 
 # Seed CSV: six text columns and six 0/1 flag columns.
@@ -132,13 +133,29 @@ def read_wide_years(
     path: str,
     fmt: str = "parquet",
     renames: dict[str, str] | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Id columns + one column per year; ``economy``/``Series`` renamed."""
+    """Id columns + one column per year; ``economy``/``Series`` renamed.
+
+    The files under ``path`` are chunks that may hold different years: their
+    columns are matched by name, and a year that a chunk lacks is NULL (R3).
+    Parquet footers carry the names; CSV files are grouped by their header line,
+    since a CSV scan matches columns by position. ``ordered`` adds the payload
+    order ``ingest_seq``.
+    """
     renames = renames if renames is not None else {"economy": "country_code", "Series": "indicator"}
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
     if fmt == "csv":
         reader = reader.option("header", True).option("nullValue", "")
-    df = reader.load(path)
+        groups: dict[tuple, list[str]] = {}
+        for file in sorted(r["__file"] for r in _listing(spark, path).collect()):  # one path per landed file
+            groups.setdefault(tuple(reader.load(file).columns), []).append(file)
+        chunks = [reader.load(files) for files in groups.values()]
+    else:
+        chunks = [reader.option("mergeSchema", True).load(path)]
+    if ordered:
+        chunks = [payload_order(c, parquet=fmt == "parquet", path=path) for c in chunks]
+    df = concat_chunks(chunks)
     present = {k: v for k, v in renames.items() if k in df.columns}
     return df.withColumnsRenamed(present) if present else df
 

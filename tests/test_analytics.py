@@ -89,3 +89,19 @@ def test_filters_and_expressions(spark):
 def test_averages_are_not_rounded(spark):
     df = spark.createDataFrame([("a", 0.123456789), ("a", 0.123456788)], "g string, v double")
     assert A.group_avg(df, ["g"], {"v": "v"}).first().v == pytest.approx(0.1234567885, abs=1e-12)
+
+
+def test_distinct_counts_as_bits(spark):
+    rows = [(f"g{i % 3}", f"c{i % n}" if i % 7 else None) for n in (5, 130) for i in range(700)]
+    df = spark.createDataFrame(rows, "g string, c string").repartition(4)
+    dictionary = A.code_dictionary(df, "c")
+    want = {r.g: r.n for r in A.count_distinct(df, ["g"], "c", "n").collect()}
+    bits = A.count_distinct(df, ["g"], "c", "n", dictionary=dictionary)
+    assert {r.g: r.n for r in bits.collect()} == want
+    plan = bits._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(g#") == 1 and "Expand" not in plan
+    with pytest.raises(Exception, match="more than 64 entries"):
+        A.count_distinct(df, ["g"], "c", "n", dictionary=dictionary, codes=64).collect()
+    with pytest.raises(Exception, match="not in the dictionary"):
+        A.count_distinct(df, ["g"], "c", "n", dictionary=dictionary.filter("__code < 3")).collect()
+    assert [r.n for r in A.count_distinct(df.filter("c IS NULL"), ["g"], "c", "n", dictionary=dictionary).collect()] == [0, 0, 0]

@@ -28,7 +28,9 @@ def _land(spark, d):
         ],
         "economy string, Series string, Country string, `2020` double, `2021` double",
     )
-    wide.coalesce(1).write.parquet(os.path.join(d, "wb"))  # one landed payload file
+    wide.coalesce(1).write.parquet(os.path.join(d, "wb", "1"))  # one landed payload file
+    later = spark.createDataFrame([("DEU", "Population, total", "Germany", 7.0, 8.2e7)], "economy string, Series string, Country string, `2021` double, `2022` double")
+    later.coalesce(1).write.parquet(os.path.join(d, "wb", "2"))  # a chunk with another year
     hdr = [
         {"countryIsoCode": "NAM", "country": "Namibia", "year": 2020, "indicatorCode": "hdi", "value": 0.61},
         {"countryIsoCode": "NAM", "country": "Namibia", "year": "20x1", "indicatorCode": "hdi", "value": 0.7},
@@ -55,7 +57,7 @@ def test_landed_refresh_with_full_dictionary(spark, tmp_path):
         spark, f"{d}/seed.csv", f"{d}/wb", f"{d}/hdr.json", f"{d}/weo.json", f"{d}/fdi.json",
         start_year=2000, end_year=2026, current_year=2025, multi_line_json=True,
     )
-    report = refresh_all(spark, inputs, Layers("l_raw", "l_stg", "l_marts", "l_quality"), stop_on_fail=False)
+    report = refresh_all(spark, inputs, Layers("l_raw", "l_stg", "l_marts", "l_quality"), stop_on_fail=False, backup_dir=f"{d}/backup")
     rows = report.collect()
     assert len(rows) == 52 + 56 + 20
     fact = spark.table("l_marts.fact_macro_indicators")
@@ -67,6 +69,9 @@ def test_landed_refresh_with_full_dictionary(spark, tmp_path):
     assert got[("NAM", 2020)].hdr_human_development_index == 0.61
     assert got[("NAM", 2020)].imf_financial_development_index == 0.3  # ISO2 'NA' -> NAM
     assert got[("DEU", 2020)].imf_current_account_balance == 250.0
+    # the second chunk's year comes through; the year of both keeps the first chunk's value
+    assert got[("DEU", 2022)].wb_population_total == 8.2e7
+    assert got[("DEU", 2021)].wb_population_total == 8.1e7
     assert got[("TZA", 2021)].country_name == "Tanzania, United Republic of"
     assert ("ZZZ", 2020) not in got
     assert ("NAM", 1999) not in got  # outside the window and below the WEO floor
@@ -90,6 +95,12 @@ def test_landed_refresh_with_full_dictionary(spark, tmp_path):
     # a point outside the window is no fault
     assert ("imf_weo_indicators", "reject", "year_range") not in load
 
+    # the seed is backed up, its first rows and member counts are reported
+    assert spark.read.option("header", True).csv(f"{d}/backup/country_metadata").count() == 3
+    seed = {(r.part, r["item"]): (r.detail, r.number) for r in spark.table("l_quality.seed_report").collect()}
+    assert seed["members", "EU"][1] == 1 and seed["members", "G20"][1] == 1 and seed["members", "FCS"][1] == 0
+    assert json.loads(seed["sample", "NAM"][0]) == {"country_name": "Namibia", "iso3": "NAM", "continent": "Africa", "income_group": "Upper middle income"}
+
     from atlaspanel.plans import questions as Q
 
     top = Q.top_economies(spark, 2021, layer="l_marts").collect()

@@ -67,7 +67,7 @@ def test_refresh_all_runs_every_layer(spark, tmp_path):
     p = PN.StandinPanel(spark, SF)
     backups = str(tmp_path / "backup")
     report = refresh_all(spark, p.refresh_inputs(), Layers("r_raw", "r_stg", "r_marts", "r_quality"), backup_dir=backups)
-    assert sorted(os.listdir(backups)) == ["a_1990_2026", "b_1990_2026", "c1_1990_2026", "c2_1990_2026"]
+    assert sorted(os.listdir(backups)) == ["a_1990_2026", "b_1990_2026", "c1_1990_2026", "c2_1990_2026", "country_metadata"]
     back = spark.read.option("header", True).csv(os.path.join(backups, "a_1990_2026"))
     assert back.count() == spark.table("r_raw.a").count()
     rows = report.collect()

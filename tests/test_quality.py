@@ -105,3 +105,43 @@ def test_sql_text_metrics_quote_names_and_values(spark):
     ]
     got = {r.check: (r.measured, r.outcome) for r in quality.quality_report(df, checks, "t").collect()}
     assert got == {"accepted_values": (1.0, "fail"), "invalid_range": (2.0, "warn"), "missing_count": (1.0, "fail")}
+
+
+def _many_checks():
+    return [
+        Check("row_count", grade=POSITIVE), Check("not_null", ("k",)), Check("unique", ("k",)), Check("unique", ("v",)), Check("unique_combination", ("k", "y")),
+        Check("unique_combination", ("y", "k")), Check("duplicate_count", ("y",)), Check("relationships", ("k",), parent="p", parent_column="pk"),
+        Check("relationships", ("v",), parent="p", parent_column="pk"),
+    ]
+
+
+def _table(spark, path):
+    rows = [("a", 1, "x"), ("a", 1, "y"), ("a", None, "x"), ("b", 2, None), (None, 2, "a"), (None, None, None), ("c", 3, "b"), ("c", 4, "a")]
+    spark.createDataFrame(rows, "k string, y int, v string").write.parquet(f"{path}/t")
+    spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "pk string").write.parquet(f"{path}/p")
+    return spark.read.parquet(f"{path}/t"), spark.read.parquet(f"{path}/p")
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_a_table_is_scanned_twice_at_most(spark, scratch, monkeypatch, broadcast):
+    t, parent = _table(spark, scratch)
+    if not broadcast:
+        monkeypatch.setattr(quality, "DIMENSION_BROADCAST_MAX_BYTES", -1)
+    report = quality.quality_report(t, _many_checks(), "t", parents={"p": parent})
+    got = [(r.check, r.column, r.measured) for r in report.collect()]
+    assert sorted(got) == sorted([
+        ("row_count", "", 8.0), ("not_null", "k", 2.0), ("unique", "k", 2.0), ("unique", "v", 2.0), ("unique_combination", "k,y", 1.0), ("unique_combination", "y,k", 1.0),
+        ("duplicate_count", "y", 2.0), ("relationships", "k", 2.0), ("relationships", "v", 3.0),
+    ])
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = [line for line in plan.split("\n") if "FileScan" in line and f"{scratch}/t" in line]
+    assert len(scans) == 2, plan
+
+
+def test_key_counts_equal_a_scan_per_key(spark, scratch):
+    t, _ = _table(spark, scratch)
+    for keys in (["k"], ["y"], ["k", "y"], ["v", "k", "y"]):
+        plain = quality.duplicate_keys(t, keys).count()
+        others = [Check("unique", ("v",)), Check("unique_combination", tuple(keys))]
+        got = [r.measured for r in quality.quality_report(t, others, "t").collect() if r.check == "unique_combination"]
+        assert got == [float(plain)]

@@ -100,3 +100,33 @@ def test_cast_year_ansi_raises_on_text(spark):
     with pytest.raises(Exception):
         cast_year(df).collect()
     assert F is not None
+
+
+def test_counted_rejects_expand_in_bounded_steps(spark):
+    rows = [("AAAA", 1.5, ["code_length"]), ("B", None, ["code_length", "missing"]), ("AAAA", 1.5, ["code_length"])]
+    rejects = spark.createDataFrame(rows, "country_code string, value double, errors array<string>")
+    counted = rules.count_rejects(rejects)
+    assert sorted(r.occurrences for r in counted.collect()) == [1, 2]
+    key = lambda df: sorted(map(str, map(tuple, df.collect())))
+    assert key(rules.expand_rejects(counted)) == key(rejects)
+    for n in (1, 65_535, 65_536, 65_537, 10_000_000):
+        many = counted.limit(1).withColumn("occurrences", F.lit(n).cast("long"))
+        assert rules.expand_rejects(many).count() == n
+    counted.createOrReplaceTempView("counted_rejects")
+    assert key(spark.sql(rules.expand_rejects_sql("counted_rejects", rejects.columns, step=2))) == key(rejects)
+
+
+def test_a_reject_of_three_billion(spark):
+    n = 3_000_000_000
+    counted = spark.createDataFrame([("AAAA", ["code_length", "year_range"], n), ("B", ["code_length"], 2)], "country_code string, errors array<string>, occurrences long")
+    summary = {r.error: r.rejects for r in rules.reject_summary(counted, "a", count_col="occurrences").collect()}
+    assert summary == {"code_length": n + 2, "year_range": n}
+    # the expansion's first step makes one small row per 65,536; every second step is that long at most
+    assert rules.expand_rejects(counted).limit(100_000).count() == 100_000
+
+
+def test_counted_and_repeated_rejects_have_one_summary(spark):
+    rejects = spark.createDataFrame([("A", ["x", "y"]), ("A", ["x", "y"]), ("B", ["y"])], "code string, errors array<string>")
+    plain = {(r.error, r.rejects) for r in rules.reject_summary(rejects, "s").collect()}
+    counted = {(r.error, r.rejects) for r in rules.reject_summary(rules.count_rejects(rejects), "s", count_col="occurrences").collect()}
+    assert plain == counted == {("x", 2), ("y", 3)}
