@@ -98,7 +98,8 @@ def refresh_all(
     stored counted (``<source>_rejects_counted``); ``<source>_rejects`` is a view
     that repeats them. Staging is written as tables of the staging layer, which
     later sessions read too, bucketed on the merge keys (``stage_buckets``, by
-    default the shuffle partitions), so the fact is merged without an exchange.
+    default the shuffle partitions), so the fact is merged without an exchange;
+    the wide mart is clustered by country (``readers.read_clustered``).
 
     Every table is published as a new version (``sinks``). ``resume``: steps that
     an unfinished refresh of the same input files and settings has done are
@@ -214,7 +215,8 @@ def refresh_all(
     stage_frames = [df for v, df in staged.items() if v != "stg_country_metadata"]
     one("fact", lambda: P.build_panel(stage_frames, dim_t, columns, co_located=True), layers.marts, suites.FACT_TABLE, partition_by=list(fact_partition_by or []))
     fact_t = table(layers.marts, suites.FACT_TABLE).select("country_code", "country_name", "year", *columns)
-    one("mart", lambda: marts.peak_and_last_year(dim_t, fact_t, columns), layers.marts, suites.MART_TABLE)
+    mart_files = max(1, min(buckets, readers.SORTED_FILES))
+    one("mart", lambda: marts.peak_and_last_year(dim_t, fact_t, columns), layers.marts, suites.MART_TABLE, cluster_by=(mart_files, ["country_code"]))
     mart_t = table(layers.marts, suites.MART_TABLE)
     mart_frames = {suites.DIM_TABLE: dim_t, suites.FACT_TABLE: fact_t, suites.MART_TABLE: mart_t}
 

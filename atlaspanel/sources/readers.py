@@ -7,11 +7,14 @@ pass over the data) and is splittable where the format allows it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from atlaspanel.operators.reshape import concat_chunks
+from atlaspanel.sources import sinks
 from atlaspanel.sources.json_ranges import Ranges
 
 # Seed CSV: six text columns and six 0/1 flag columns.
@@ -274,6 +277,53 @@ def read_layer_table(spark: SparkSession, layer: str, name: str) -> DataFrame:
     return spark.table(f"{layer}.{name}")
 
 
+#: Files that one sorted read lines up; beyond it the rows are sorted as usual.
+SORTED_FILES = 512
+
+
+def read_clustered(spark: SparkSession, layer: str, name: str, where: dict[str, tuple] | None = None, ordered: bool = False) -> DataFrame:
+    """A clustered table, of which only the files that may hold the asked keys are opened.
+
+    ``where``: cluster column -> (lowest, highest) value, either may be None; the
+    condition is applied to the rows as well. ``ordered``: the rows come in the
+    order of the cluster columns (nulls last) without an exchange: the files are
+    sorted ranges, so reading them in the order of their names is reading in key
+    order. A table of more than ``SORTED_FILES`` files, or with a file above the
+    size of a read partition, is sorted by an ordinary ``ORDER BY``.
+    """
+    version = sinks.current_version(spark, layer, name)
+    index = spark.table(f"`{layer}`.`{sinks.index_of(version)}`")
+    keys = [c.removesuffix("__min") for c in index.columns if c.endswith("__min")]
+    schema = spark.table(f"`{layer}`.`{version}`").schema
+    may, asked = F.lit(True), F.lit(True)
+    for col, (lo, hi) in (where or {}).items():
+        if lo is not None:
+            may, asked = may & (F.col(f"{col}__max") >= lo), asked & (F.col(col) >= lo)
+        if hi is not None:
+            may, asked = may & (F.col(f"{col}__min") <= hi), asked & (F.col(col) <= hi)
+    files = sorted(r["file"] for r in index.filter(may).collect())  # one row per file
+    if not files:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema)
+    if not ordered:
+        return reader.parquet(*files).filter(asked)
+    # a file that a scan would cut, or too many files: sort
+    if len(files) > SORTED_FILES or _largest(spark, files) > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
+        return reader.parquet(*files).filter(asked).orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+    return reduce(lambda a, b: a.unionAll(b), [reader.parquet(f).filter(asked) for f in files])
+
+
+def _largest(spark: SparkSession, files: list[str]) -> int:
+    return spark.read.format("binaryFile").load(files).agg(F.max("length")).first()[0]
+
+
+def _bytes(size: str) -> int:
+    """A size setting as bytes: a number with an optional unit."""
+    number = size.strip().lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(number[-1:], 0)
+    return int(number[:-1] if unit else number) << unit
+
+
 def head_sample(df: DataFrame, columns: list[str], order: list[str], n: int = 5) -> DataFrame:
     """``SELECT cols ... LIMIT n``, ordered by a key so the sample is deterministic."""
     return df.select(*columns).orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)

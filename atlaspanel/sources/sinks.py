@@ -16,6 +16,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The table property of a pointer that names its version.
+VERSION = "atlaspanel.version"
 #: Versions kept behind the current one, for readers that are still at work on them.
 KEEP = 2
 _MARK = "__v"
@@ -29,7 +31,8 @@ def ensure_layer(spark: SparkSession, layer: str, location: str | None = None) -
 
 
 def write_version(
-    df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None, bucket_by: tuple[int, list[str]] | None = None
+    df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None, bucket_by: tuple[int, list[str]] | None = None,
+    cluster_by: tuple[int, list[str]] | None = None,
 ) -> str:
     """A new version of ``layer.name``, not yet pointed to; returns its table name.
 
@@ -38,6 +41,9 @@ def write_version(
     folder holds about one file per advisory partition size, not one per task.
     ``bucket_by`` = (buckets, keys): rows are stored hashed and sorted by the
     keys, one file per bucket, so joins and aggregates on them need no exchange.
+    ``cluster_by`` = (files, keys): rows are stored in so many sorted ranges of
+    the keys (nulls last), with each file's smallest and largest keys in an index
+    table, for ``readers.read_clustered``.
     """
     ensure_layer(df.sparkSession, layer)
     version = f"{name}{_MARK}{time.time_ns():020d}_{uuid.uuid4().hex[:6]}"
@@ -45,15 +51,34 @@ def write_version(
         df = df.hint("rebalance", *partition_by)
     if bucket_by:
         df = df.repartition(bucket_by[0], *bucket_by[1])
+    if cluster_by:
+        order = [F.col(c).asc_nulls_last() for c in cluster_by[1]]
+        df = df.repartitionByRange(cluster_by[0], *order).sortWithinPartitions(*order)
     writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
         writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
     writer.saveAsTable(f"`{layer}`.`{version}`")
+    if cluster_by:
+        bounds = [f(c).alias(f"{c}__{n}") for c in cluster_by[1] for n, f in (("min", F.min), ("max", F.max))]
+        nulls = [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls") for c in cluster_by[1]]
+        stored = df.sparkSession.table(f"`{layer}`.`{version}`").withColumn("file", F.col("_metadata.file_path"))
+        index = stored.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), *bounds, *nulls)
+        index.coalesce(1).write.format("parquet").saveAsTable(f"`{layer}`.`{index_of(version)}`")  # a row per file
     return version
 
 
+def index_of(version: str) -> str:
+    """The name of a clustered version's file index."""
+    return "__i".join(version.rsplit(_MARK, 1))
+
+
+def current_version(spark: SparkSession, layer: str, name: str) -> str:
+    """The version that ``layer.name`` points to."""
+    return spark.sql(f"SHOW TBLPROPERTIES `{layer}`.`{name}` ('{VERSION}')").first()["value"]
+
+
 def versions(spark: SparkSession, layer: str, name: str) -> list[str]:
     """The stored versions of ``layer.name``, oldest first."""
     found = spark.sql(f"SHOW TABLES IN `{layer}` LIKE '{name}{_MARK}*'").collect()
@@ -67,18 +92,20 @@ def point_to(spark: SparkSession, layer: str, name: str, version: str, keep: int
     there = spark.sql(f"SHOW TABLES IN `{layer}` LIKE '{name}'").collect()
     if there and not spark.sql(f"SHOW VIEWS IN `{layer}` LIKE '{name}'").collect():
         spark.sql(f"DROP TABLE {full}")  # a plain table of an earlier layout
-    spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT * FROM `{layer}`.`{version}`")
+    spark.sql(f"CREATE OR REPLACE VIEW {full} TBLPROPERTIES ('{VERSION}' = '{version}') AS SELECT * FROM `{layer}`.`{version}`")
     older = [v for v in versions(spark, layer, name) if v < version]
     for v in older[: max(0, len(older) - keep)]:
         spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{v}`")
+        spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{index_of(v)}`")
     return full
 
 
 def replace_table(
-    df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None, bucket_by: tuple[int, list[str]] | None = None
+    df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None, bucket_by: tuple[int, list[str]] | None = None,
+    cluster_by: tuple[int, list[str]] | None = None,
 ) -> str:
     """K1/K5: full refresh of ``layer.name``: a complete new version, then one switch to it."""
-    return point_to(df.sparkSession, layer, name, write_version(df, layer, name, partition_by, bucket_by))
+    return point_to(df.sparkSession, layer, name, write_version(df, layer, name, partition_by, bucket_by, cluster_by))
 
 
 publish_table = replace_table

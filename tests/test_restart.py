@@ -24,7 +24,7 @@ def bag(df):
 def contents(spark, layers):
     out = {}
     for layer in (layers.raw, layers.staging, layers.marts):
-        for t in [r.tableName for r in spark.sql(f"SHOW TABLES IN `{layer}`").collect() if r.namespace and "__v" not in r.tableName]:
+        for t in [r.tableName for r in spark.sql(f"SHOW TABLES IN `{layer}`").collect() if r.namespace and not {"__v", "__i"} & {r.tableName[i : i + 3] for i in range(len(r.tableName))}]:
             out[layer.split("_", 1)[1], t] = bag(spark.table(f"{layer}.{t}"))
     return out
 

@@ -177,3 +177,39 @@ def test_a_failed_write_leaves_the_table(spark):
     sinks.replace_table(spark.range(5), "t_fail", "old")
     sinks.replace_table(spark.range(7), "t_fail", "old_v")
     assert spark.table("t_fail.old").count() == 5 and len(_versions(spark, "t_fail", "old")) == 1
+
+
+def test_clustered_tables(spark):
+    rows = [(f"C{(i * 37) % 200:03d}" if i % 50 else None, i % 17, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "code string, year int, v long").repartition(5)
+    for _ in range(4):  # an index goes with its version
+        sinks.replace_table(df, "t_clu", "t", cluster_by=(6, ["code", "year"]))
+    assert len([r for r in spark.sql("SHOW TABLES IN t_clu LIKE 't__i*'").collect()]) == 1 + sinks.KEEP
+    whole = readers.read_clustered(spark, "t_clu", "t", ordered=True)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    got = [(r.code, r.year) for r in whole.collect()]
+    assert got == [(r.code, r.year) for r in df.orderBy(F.col("code").asc_nulls_last(), F.col("year").asc_nulls_last()).collect()]
+    assert sorted(r.v for r in whole.collect()) == list(range(2000))
+    # a key filter opens the file that holds it (two, if the key lies on a boundary)
+    for code in ("C000", "C099", "C150"):
+        one = readers.read_clustered(spark, "t_clu", "t", where={"code": (code, code)})
+        assert len(one.inputFiles()) <= 2 < 6
+        assert sorted(r.v for r in one.collect()) == sorted(v for c, _, v in rows if c == code)
+    some = readers.read_clustered(spark, "t_clu", "t", where={"code": ("C010", "C020"), "year": (3, None)}, ordered=True)
+    assert [(r.code, r.year) for r in some.collect()] == sorted((c, y) for c, y, _ in rows if c and "C010" <= c <= "C020" and y >= 3)
+    assert readers.read_clustered(spark, "t_clu", "t", where={"code": ("X", None)}).collect() == []
+
+
+def test_files_larger_than_a_partition_are_sorted(spark):
+    df = spark.range(5000).select(F.concat(F.lit("k"), F.pmod(F.col("id") * 7919, F.lit(5000)).cast("string")).alias("k"), "id")
+    sinks.replace_table(df, "t_clu", "big", cluster_by=(2, ["k"]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = readers.read_clustered(spark, "t_clu", "big", ordered=True)
+        assert "Exchange rangepartitioning" in got._jdf.queryExecution().executedPlan().toString()
+        assert [r.k for r in got.collect()] == sorted(f"k{i}" for i in range(5000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [readers._bytes(x) for x in ("134217728b", "128m", "4k", "1gb", "10")] == [1 << 27, 1 << 27, 4096, 1 << 30, 10]
