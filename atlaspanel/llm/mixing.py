@@ -9,18 +9,24 @@ into whole copies.
 
 Defined results: a null text has size 0, a null source is a source of its own
 and comes last; a source of size 0 gets target 0; repeated rows are documents
-of their own; reruns give the same copies; an empty table gives an empty result.
+of their own, rows of one id and size beyond ``DOCS_PER_BUCKET`` are rounded in
+several groups; equal sizes are told apart by a hash of the id; reruns give the
+same copies; very long texts are counted whole; columns named like the
+operator's own pass through (``keep_rows``) or are not read; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlaspanel.llm.common import fresh, ranked, stored
+from atlaspanel.operators.joins import bounded_broadcast
 
 #: Documents of a source rounded together (one group of one task).
 DOCS_PER_BUCKET = 5_000
@@ -144,8 +150,15 @@ def mix_documents(
         .join(by_source.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")))
         .select("__id", "doc_id", "size", F.col("s.source").alias("source"), "source_size", "target", "rate", "buckets")
         .withColumn("__h", F.xxhash64("doc_id", "size"))
-        .withColumn("bucket", F.pmod("__h", F.col("buckets")))
     )
+    # rows of one id and size beyond a bucket's share are told apart by their number and go to several buckets
+    alike = ["source", "doc_id", "size"]
+    many = small.groupBy(*alike).agg(F.count("*").alias("n")).filter(F.col("n") > DOCS_PER_BUCKET)
+    many = stored(many.select(*[F.col(c).alias(f"__many_{c}") for c in alike], F.ceil(F.col("n") / DOCS_PER_BUCKET).alias("__salts")), "mix-alike")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__many_{c}")) for c in alike])
+    salt = F.coalesce(F.pmod(F.col("__id"), F.col("__salts")), F.lit(0))
+    rated = rated.join(bounded_broadcast(many), same, "left").withColumn("bucket", F.pmod(F.pmod("__h", F.col("buckets")) + salt, F.col("buckets")))
+    rated = rated.drop("__salts", *[f"__many_{c}" for c in alike])
     schema = "__id long, doc_id long, size long, source_size long, target double, rate double, copies int"
     mixed = rated.groupBy("source", "bucket").applyInArrow(_copies, schema)
     if not keep_rows:

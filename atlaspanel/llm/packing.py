@@ -11,8 +11,10 @@ numbers the pieces of each length, which gives every piece its sequence.
 
 Defined results: a null or empty text is the closing id alone; a text longer
 than a sequence is cut into full pieces, its first piece takes the remainder;
-repeated rows are packed as often as they occur; an empty table gives an empty
-result; very long texts are encoded whole, one at a time.
+repeated rows are packed as often as they occur; pieces of one length may stand
+for each other (their order decides); an empty table gives an empty result; very
+long texts are encoded whole, one at a time; further columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ WASTE = 0.002
 PRICINGS, STEP, STEP_ETA = 150, 0.05, 2.0
 #: The same of the small steps among the configurations found.
 FINE, FINE_STEP, FINE_ETA = 20_000, 0.005, 4.0
-#: The plan is good enough this close to the fewest sequences that could hold all tokens.
+#: A program's plan is good enough this close to the fewest sequences that could hold all tokens.
 NEAR = 0.001
 #: Units remembered by one Python worker; beyond it the memory starts anew (speed only).
 MEMORY_UNITS = 500_000
@@ -283,25 +285,37 @@ def cover(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> dict[tuple,
     return {key: float(v) for key, v in zip(keys, x) if v > 0}
 
 
-def packed(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
-    """The fewest sequences of: best-fit alone, and the programs' solutions rounded down, with their rest put best-fit."""
+def packed(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[list[tuple[tuple, int]], int]:
+    """Configurations with their numbers, and how many sequences of these the program made.
+
+    The program is solved first, always; its whole configurations are kept and
+    what rounding leaves is put best-fit. While that is above the bound by more
+    than ``NEAR``, the program is solved again with ever less well-filled
+    configurations, then for whatever covers all lengths. Best-fit alone takes
+    its place only where it needs fewer sequences.
+    """
+    if not len(lengths):
+        return [], 0
     least = -(-int((lengths * counts).sum()) // capacity)
     total = lambda t: sum(n for _, n in t)
-    best = best_fit(lengths, counts, capacity)
-    # well-filled configurations only; then ever less well-filled ones; then whatever covers all lengths
-    for program in (lambda: solve(lengths, counts, capacity, most=WASTE), lambda: solve(lengths, counts, capacity), lambda: cover(lengths, counts, capacity)):
+    best, made = None, 0
+    programs = (lambda: solve(lengths, counts, capacity, most=WASTE), lambda: solve(lengths, counts, capacity), lambda: cover(lengths, counts, capacity))
+    for program in programs:
+        configs, left = round_down(program(), counts)
+        found = configs + best_fit(lengths, left, capacity)
+        if best is None or total(found) < total(best):
+            best, made = found, total(configs)
         if total(best) <= least * (1 + NEAR):
             break
-        configs, left = round_down(program(), counts)
-        best = min(configs + best_fit(lengths, left, capacity), best, key=total)
-    return best
+    alone = best_fit(lengths, counts, capacity)
+    return (alone, 0) if total(alone) < total(best) else (best, made)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> dict[str, np.ndarray]:
     """Slots of every length: from which rank on, in which sequences, at which offset, how many per sequence."""
     lengths = np.array(sorted(histogram), np.int64)
     counts = np.array([histogram[int(n)] for n in lengths], np.int64)
-    configs = packed(lengths, counts, capacity)
+    configs, _ = packed(lengths, counts, capacity)
     rows, base, used = [], 0, np.zeros(len(lengths), np.int64)
     for key, n in sorted(configs):
         offset = 0

@@ -7,11 +7,16 @@ step is one distributed aggregate, since rows are binned by their distance and
 each bin carries its moments; the bins that hold the nearest ``h`` rows are then
 added up. A text is rejected when its Mahalanobis distance is beyond the cut.
 
+Every language and source has its own estimate. A group with fewer than ``FULL``
+sound rows has too few for eight statistics; its estimate is shrunk towards its
+language's, and that one likewise towards the estimate of all rows, in
+proportion to the rows that are missing. No count switches a group's judge.
+
 Defined results: a null or empty text has no words and fails the base rule;
-null languages and sources are groups of their own; a group too small for an
-estimate is judged in its language's pool of small groups, then in the pool of
-all; repeated rows count as often as they occur; an empty table gives an empty
-result; very long texts are read whole, one at a time.
+null languages and sources are groups of their own; repeated rows count as
+often as they occur, and rows with equal distances are taken or left together;
+an empty table gives an empty result; very long texts are read whole, one at a
+time; further columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,10 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlaspanel.llm.common import stored, texts
+from atlaspanel.operators.joins import bounded_broadcast
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: Smallest group that gets an estimate of its own.
-MIN_GROUP = 300
+#: Sound rows from which a group's estimate stands alone: ten for each statistic.
+FULL = 80
 #: Share of a group's rows that the estimate rests on.
 H_SHARE = 0.75
 #: Concentration steps (they converge in a few; each lowers the determinant).
@@ -148,7 +154,7 @@ def _whiten(cov: np.ndarray) -> tuple[np.ndarray, float]:
     return root, float(np.linalg.slogdet(cov)[1])
 
 
-PARAMS = "fit string, n long, mu array<double>, root array<double>, logdet double, scale double"
+PARAMS = "fit string, n long, mu array<double>, cov array<double>, root array<double>, logdet double, scale double"
 
 
 def _start(table: pa.Table) -> pa.Table:
@@ -156,15 +162,18 @@ def _start(table: pa.Table) -> pa.Table:
     r = table.to_pylist()[0]
     mid = np.array(r["mid"], float)
     dev = np.maximum(np.array(r["high"], float) - np.array(r["low"], float), 0) / 1.349
-    root, logdet = _whiten(np.diag(dev**2))
-    return pa.Table.from_pylist(
-        [{"fit": r["fit"], "n": r["n"], "mu": mid.tolist(), "root": root.ravel().tolist(), "logdet": logdet, "scale": 1.0}], schema=_params_schema()
-    )
+    return _params(r["fit"], r["n"], mid, np.diag(dev**2), 1.0)
+
+
+def _params(fit: str, n: int, mu: np.ndarray, cov: np.ndarray, scale: float) -> pa.Table:
+    root, logdet = _whiten(cov)
+    row = {"fit": fit, "n": n, "mu": mu.tolist(), "cov": cov.ravel().tolist(), "root": root.ravel().tolist(), "logdet": logdet, "scale": scale}
+    return pa.Table.from_pylist([row], schema=_params_schema())
 
 
 def _params_schema():
     f = pa.list_(pa.float64())
-    return pa.schema([("fit", pa.string()), ("n", pa.int64()), ("mu", f), ("root", f), ("logdet", pa.float64()), ("scale", pa.float64())])
+    return pa.schema([("fit", pa.string()), ("n", pa.int64()), ("mu", f), ("cov", f), ("root", f), ("logdet", pa.float64()), ("scale", pa.float64())])
 
 
 def _pairs():
@@ -185,12 +194,11 @@ def _concentrate(table: pa.Table) -> pa.Table:
     cov = np.zeros((P, P))
     for i, j in _pairs():
         cov[i, j] = cov[j, i] = np.sum(table[f"q{i}_{j}"].to_numpy()[take]) / m - mu[i] * mu[j]
-    root, logdet = _whiten(cov)
     # consistency: the median squared distance of a clean group is that of the chi-square
     middle = int(np.searchsorted(upto, total / 2))
     median = math.exp(table["bin"].to_pylist()[middle] / BINS)
     scale = max(median / chi2_quantile(0.0, P), 1.0)
-    return pa.Table.from_pylist([{"fit": table["fit"][0].as_py(), "n": total, "mu": mu.tolist(), "root": root.ravel().tolist(), "logdet": logdet, "scale": scale}], schema=_params_schema())
+    return _params(table["fit"][0].as_py(), total, mu, cov, scale)
 
 
 def _distance():
@@ -211,25 +219,47 @@ def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     return params
 
 
+def blend(own: tuple, wider: tuple, n: int, full: int) -> tuple:
+    """(centre, scatter, scale) of ``n`` rows, shrunk towards a wider group's for the rows missing to ``full``."""
+    w = min(n / full, 1.0)
+    mu, cov = (w * a + (1 - w) * b for a, b in zip(own[:2], wider[:2]))
+    return mu, cov, math.exp(w * math.log(own[2]) + (1 - w) * math.log(wider[2]))
+
+
+def _shrink(full: int):
+    def run(batches):
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                own, pool, every = ((np.array(r[f"{k}_mu"]), np.array(r[f"{k}_cov"]).reshape(P, P), r[f"{k}_scale"]) for k in ("own", "pool", "every"))
+                mu, cov, scale = blend(own, blend(pool, every, r["pool_n"], full), r["own_n"], full)
+                root, _ = _whiten(cov)
+                out.append({"own": r["own"], "mu": mu.tolist(), "root": root.ravel().tolist(), "scale": scale})
+            f = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("own", pa.string()), ("mu", f), ("root", f), ("scale", pa.float64())]))
+
+    return run
+
+
+def group_estimates(sound: DataFrame, full: int = FULL) -> DataFrame:
+    """(own, mu, root, scale) of every language and source among ``sound`` (own, pool, x)."""
+    fits = F.explode(F.array("own", "pool", F.lit("every")))
+    params = estimates(sound.select(fits.alias("fit"), "x"))
+    named = lambda k: params.select(F.col("fit").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in ("n", "mu", "cov", "scale")])
+    groups = sound.select("own", "pool").distinct().withColumn("every", F.lit("every"))
+    wide = groups.join(named("own"), "own").join(named("pool"), "pool").join(named("every"), "every")  # a row per group
+    return stored(wide.mapInArrow(_shrink(full), "own string, mu array<double>, root array<double>, scale double"), "quality-groups")
+
+
 def assess(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", source_col="source", row_col: str | None = None) -> DataFrame:
     """Per document: row, doc_id, counts, base_failed, distance, cut, kept."""
     v = vectors(docs, id_col, text_col, lang_col, source_col, row_col).withColumn("base_failed", base_failed())
     v = v.withColumn("own", F.to_json(F.struct("lang", "source"))).withColumn("pool", F.to_json(F.struct("lang")))
-    sound = v.filter(~F.col("base_failed"))
-    sizes = sound.groupBy("own", "pool").agg(F.count("*").alias("n"))
-    few = sizes.filter(F.col("n") < MIN_GROUP).groupBy("pool").agg(F.sum("n").alias("pooled"))
-    fits = stored(
-        sizes.join(few, "pool", "left").select(
-            "own",
-            F.when(F.col("n") >= MIN_GROUP, F.col("own")).when(F.col("pooled") >= MIN_GROUP, F.concat(F.lit("small "), F.col("pool"))).otherwise(F.lit("small")).alias("fit"),
-        ),
-        "quality-fits",
-    )
-    sound = sound.join(fits, "own")
-    params = estimates(sound.select("fit", "x"))
-    cut = F.lit(chi2_quantile(CUT_Z, P)) * F.col("scale")
-    judged = sound.join(params, "fit").select("__row", _distance().alias("distance"), cut.alias("cut"))
-    return v.join(judged, "__row", "left").select(
-        "__row", "doc_id", *COUNTS, "base_failed", "distance", "cut",
-        (~F.col("base_failed") & (F.col("distance") <= F.col("cut"))).alias("kept"),
-    )
+    params = group_estimates(v.filter(~F.col("base_failed")).select("own", "pool", "x"))
+    # the estimates (a row per group) come to the rows: no verdict is joined back
+    judged = v.join(bounded_broadcast(params), "own", "left")
+    sound = ~F.col("base_failed")
+    cut = F.when(sound, F.lit(chi2_quantile(CUT_Z, P)) * F.col("scale"))
+    return judged.select(
+        "__row", "doc_id", *COUNTS, "base_failed", F.when(sound, _distance()).alias("distance"), cut.alias("cut"),
+    ).withColumn("kept", F.coalesce(~F.col("base_failed") & (F.col("distance") <= F.col("cut")), F.lit(False)))

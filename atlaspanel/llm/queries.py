@@ -153,7 +153,8 @@ _PREFIX_TRIE_SQL = r"""
         ),
         prefix AS (
           SELECT c, d, array_to_string(list(sha256(len(r) || ':' || r || x)) OVER (PARTITION BY c ORDER BY d), ' ') AS k,
-                 len(regexp_extract_all(x, '[^ 	-]+')) AS words
+                 len(regexp_extract_all(x, '[^ 	-
+]+')) AS words
           FROM rebuilt
           UNION ALL SELECT c, 0, '', 0 FROM conv
         ),
@@ -184,12 +185,11 @@ ORACLE_SQL: dict[str, str] = {
             AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
         ),
         scored AS (
-          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-          FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
-          WHERE q.vec_id % 20 = 0
+          SELECT q.vec_id AS query_id, q.v AS query, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+          FROM (SELECT DISTINCT vec_id, v FROM v WHERE vec_id % 20 = 0) q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id) AS rank FROM scored)
         WHERE rank <= 20""",
     "op5_warc": """
         WITH p AS (

@@ -8,14 +8,15 @@ every vector not met yet, and the search of the shard stops when that bound is
 below the k-th best score found (a bound equal to it could still win by its
 smaller id). The shards' best are merged per query.
 
-Queries are dealt into blocks; every block meets every shard, one pair a task
-group of bounded size.
+A task reads a shard's candidates, builds its lists once, and then reads the
+queries as a stream: what it holds is one shard and one batch.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite
 component take no part, nor do rows without an id; a query is compared with
 vectors of its own length only; rows that share the query's id are its own and
-no candidates; repeated candidates are candidates each; ties go to the smaller
-id; an empty table gives an empty result.
+no candidates; repeated candidates are candidates each; equal query rows are one
+query, rows with one id and different vectors are queries each; ties go to the
+smaller id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,13 +30,12 @@ from atlaspanel.llm.common import stored
 
 SCALE = 64
 TOP = 20
-#: Candidates of a shard and queries of a block.
+#: Candidates of a shard.
 SHARD = 8_192
-QUERY_BLOCK = 512
 #: First stretch of the lists; stretches double.
 STRETCH = 128
 
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query long, query_id long, vec_id long, score long"
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
@@ -101,34 +101,49 @@ class Lists:
 
 
 def _search(k: int):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], []]
-        if left.num_rows and right.num_rows:
-            ids, v = _matrix(left)
-            lists = Lists(ids, v)
-            for query_id, q in zip(*_matrix(right)):
-                rows, score = lists.search(int(query_id), q, k)
-                out[0].append(np.full(len(rows), query_id))
-                out[1].append(lists.ids[rows])
-                out[2].append(score)
-        cols = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
-        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
+    """Rows sorted by shard, candidates before queries, to (query, query_id, vec_id, score)."""
+
+    def run(batches):
+        key, held, lists = None, [], None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            marks = np.stack([t[c].to_numpy() for c in ("dims", "shard", "asks")], 1).astype(np.int64)
+            cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(1)) + 1).tolist(), len(marks)]
+            for at, to in zip(cuts, cuts[1:]):
+                here, asks, some = tuple(marks[at, :2]), marks[at, 2], t.slice(at, to - at)
+                if here != key:
+                    key, held, lists = here, [], None
+                if not asks:
+                    held.append(some)
+                    continue
+                if lists is None and held:
+                    lists, held = Lists(*_matrix(pa.concat_tables(held))), []
+                if lists is None:  # no candidate of this length in the shard
+                    continue
+                out: list[list[np.ndarray]] = [[], [], [], []]
+                for query, query_id, q in zip(some["query"].to_numpy(), *_matrix(some)):
+                    rows, score = lists.search(int(query_id), q, k)
+                    for column, values in zip(out, (np.full(len(rows), query), np.full(len(rows), query_id), lists.ids[rows], score)):
+                        column.append(values)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], ["query", "query_id", "vec_id", "score"])
 
     return run
 
 
 def top_k(
     spark: SparkSession, candidates: DataFrame, queries: DataFrame, k: int = TOP, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding",
-    shard: int = SHARD, query_block: int = QUERY_BLOCK,
+    shard: int = SHARD,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best candidates of every query."""
     c = stored(integer_vectors(candidates, id_col, vector_col, scale).withColumn("dims", F.size("v")), "topk-candidates")
-    q = stored(integer_vectors(queries, id_col, vector_col, scale).withColumn("dims", F.size("v")), "topk-queries")
-    shards, blocks = max(1, -(-c.count() // shard)), max(1, -(-q.count() // query_block))
-    # candidates go by a hash of id and vector, so that many equal vectors spread; every shard meets every block
-    dealt = c.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = q.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    keys = ["dims", "shard", "block"]
-    found = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(_search(k), FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    asked = integer_vectors(queries, id_col, vector_col, scale).withColumn("dims", F.size("v")).distinct()
+    q = stored(asked.withColumn("query", F.monotonically_increasing_id()), "topk-queries")
+    shards = max(1, -(-c.count() // shard))
+    # candidates go by a hash of id and vector, so that many equal vectors spread; every query meets every shard
+    dealt = c.select("dims", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("asks"), F.lit(None).cast("long").alias("query"), "id", "v")
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    asking = q.select("dims", every, F.lit(1).alias("asks"), "query", "id", "v")
+    met = dealt.unionByName(asking).repartition(shards, "dims", "shard").sortWithinPartitions("dims", "shard", "asks")
+    found = met.mapInArrow(_search(k), FOUND)
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

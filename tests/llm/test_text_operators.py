@@ -123,7 +123,7 @@ def test_program_packs_wasteful_fillings(lengths, each, best):
     """Where the best filling of a sequence leaves more than a few tokens empty."""
     slots = packing.plan({n: each for n in lengths}, 2048)
     assert (slots["sequence"] >= 0).all()
-    configs = packing.packed(np.array(lengths), np.full(len(lengths), each), 2048)
+    configs, _ = packing.packed(np.array(lengths), np.full(len(lengths), each), 2048)
     assert sum(n for _, n in configs) <= best
 
 
@@ -234,3 +234,41 @@ def test_balance_of_two_margins(spark):
     rate = {(r.s, r.l): r["size"] * math.exp(dual["s"][r.s] + dual["l"][r.l]) for r in cells.collect()}
     assert rate["a", "x"] + rate["a", "y"] == pytest.approx(50, rel=1e-6)
     assert rate["a", "y"] + rate["b", "y"] == pytest.approx(45, rel=1e-6)
+
+
+def test_the_program_makes_most_sequences(spark, bpe):
+    """On the test tables the program's whole configurations hold most pieces, in no more sequences than best-fit needs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    end = np.array([0], "<u4").tobytes()
+    pieces = docs.select("doc_id", "text").mapInArrow(packing._pieces(bpe, packing.CAPACITY, end), packing.PIECES)
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    lengths = np.array(sorted(histogram))
+    counts = np.array([histogram[int(n)] for n in lengths])
+    configs, made = packing.packed(lengths, counts, packing.CAPACITY)
+    total = sum(n for _, n in configs)
+    alone = sum(n for _, n in packing.best_fit(lengths, counts, packing.CAPACITY))
+    assert total <= alone and made > total / 2, (total, made, alone)
+    assert packing.packed(lengths[:0], counts[:0], packing.CAPACITY) == ([], 0)
+
+
+def test_a_hot_id_is_rounded_in_many_groups(spark):
+    """A third of all rows with one id (and a null id): bounded groups, targets still met."""
+    n = 3 * mixing.DOCS_PER_BUCKET
+    docs = spark.range(2 * n).select(
+        F.when(F.col("id") < n, 7).when(F.col("id") < n + 7000, None).otherwise(F.col("id")).cast("long").alias("doc_id"), F.lit("one two three").alias("text"),
+        F.lit("en").alias("lang"), F.concat(F.lit("s"), F.col("id") % 2).alias("source"), F.lit(13).cast("long").alias("n_chars"),
+    )
+    got = rows(mixing.mix_documents(spark, docs))
+    assert len(got) == 2 * n
+    by = Counter()
+    for r in got:
+        by[r["source_size"], r["target"]] += r["taken"]
+        assert 0 <= r["taken"] <= 2 * r["size"]
+    taken, target = sum(by.values()), 1.5 * 2 * n * 3
+    assert abs(taken - target) < 0.001 * target
+
+
+def test_packing_and_sharding_with_clashing_columns(spark, clashing, odd_docs, bpe):
+    same = lambda a, b: sorted(map(str, map(tuple, a.collect()))) == sorted(map(str, map(tuple, b.collect())))
+    assert same(packing.pack_documents(spark, clashing, bpe).select("doc_id", "piece", "start", "length", "ids_crc32"), packing.pack_documents(spark, odd_docs, bpe).select("doc_id", "piece", "start", "length", "ids_crc32"))
+    assert same(sharding.shard_documents(spark, clashing).select("doc_id", "size", "text_crc32"), sharding.shard_documents(spark, odd_docs).select("doc_id", "size", "text_crc32"))
