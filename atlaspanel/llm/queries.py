@@ -48,7 +48,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _docs(spark, sf_dir), read_table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, toxicity.training_labels(labels).select("doc_id", "toxic"))
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     scored = toxicity.score(spark, docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
     return scored.withColumn("predicted", F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0))
 

@@ -4,16 +4,19 @@ A character language model (trigrams over a to z, counted over all documents)
 ranks the readings of a disguised word. Its lattice offers, per character, the
 letters that a digit or sign may stand for, one or two letters for a run of
 equal letters or signs, and joining or parting for letters and signs set apart;
-Viterbi decoding picks the likeliest reading. Every word with a sign beside a
-letter is decoded (signs at its edges also as plain marks, and the word also
-with the neighbour it may be parted from), every run of three equal letters,
-three or more pieces of one character set apart, and every gap between letters.
+Viterbi decoding keeps the ``LIST`` likeliest readings. Every word with a sign
+beside a letter is decoded (signs at its edges also as plain marks, and the word
+also with the neighbour it may be parted from), every run of equal letters, three
+or more pieces of one character set apart by any separator (also without the
+one-letter word that may stand before them), and every gap between letters.
 Words as written, restored words and their beginnings are then the features of
 a logistic model learned from labelled documents.
 
 Defined results: null and empty texts score as texts without a feature; a
 document labelled twice counts as toxic if any label says so, null labels are
-left out; repeated rows each get their row; without labels of both kinds every
+left out; repeated rows each get their row (and are as many examples when the
+model is fitted, within its bound); readings of equal likelihood rank by their
+text; columns named like the operator's own pass through as keys; without labels of both kinds every
 score is the smoothed share of toxic labels; an empty table gives an empty
 result; very long texts are read whole.
 """
@@ -51,16 +54,20 @@ READINGS = {
 READ_COST = 1.0
 RUN_COST = 0.5
 PART_COST = 0.5
+#: Readings that a state of the lattice keeps.
+LIST = 3
 
 _SIGNS = "".join(re.escape(c) for c in READINGS)
 _SIGN_SET, _LETTERS = frozenset(READINGS), frozenset("abcdefghijklmnopqrstuvwxyz")
 _ANY = _SIGN_SET | _LETTERS
 # Marks of a disguise, cheap to search for; the word around a mark is then taken by hand.
 _SIGN_RUN = re.compile(f"[{_SIGNS}]+")
-_RUN = re.compile(r"([a-z])\1\1")
+_RUN = re.compile(r"([a-z])\1")
 # Letters and signs set apart: each piece one character, or several equal ones ("*" only sets apart).
 _PIECE = f"a-z{_SIGNS.replace(re.escape('*'), '')}"
-_APART = re.compile(rf"(?<![^\W_])([{_PIECE}])(?<!\1\1)\1*+(?:[\s.\-_*]+([{_PIECE}])\2*+(?![^\W_])){{2,}}")
+_APART_BY = rf"(?:[^{_PIECE}\w]|_)++"
+_AFTER_ONE = re.compile(_APART_BY)
+_APART = re.compile(rf"(?<![^\W_])([{_PIECE}])(?<!\1\1)\1*+(?:{_APART_BY}([{_PIECE}])\2*+(?![^\W_])){{2,}}")
 # The neighbour that a sign's word may have been parted from (the left one is searched in the reversed text).
 _NEXT = re.compile(rf"([\s.\-_])\1*[{_PIECE}]+")
 #: A word may begin after, and end before, each of this many groups of equal signs at its edges.
@@ -106,10 +113,10 @@ class _Many:
     """Viterbi steps over all pairs of symbols at once, for signs that stand for any letter."""
 
     def __init__(self, lp: np.ndarray, states: dict):
-        self.lp, self.base, self.back = lp, {a * SYMBOLS + b: out for (a, b), (_, out) in states.items()}, []
+        self.lp, self.base, self.back = lp, {a * SYMBOLS + b: kept[0][1] for (a, b), kept in states.items()}, []
         self.score = np.full((SYMBOLS, SYMBOLS), -np.inf)
-        for (a, b), (s, _) in states.items():
-            self.score[a, b] = s
+        for (a, b), kept in states.items():
+            self.score[a, b] = kept[0][0]
 
     def step(self, slot: list[tuple[str, float]]) -> None:
         code = lambda c: EDGE if c == " " else ord(c) - 97
@@ -197,27 +204,43 @@ class Restorer:
         return [[(c, RUN_COST), (c + c, RUN_COST), *fewer]]
 
     def _step(self, states: dict, slot: list[tuple[str, float]]) -> dict:
-        lp, after = self.lp, {}
-        for (a, b), (score, out) in states.items():
+        lp, after, merged = self.lp, {}, set()
+        for (a, b), kept in states.items():
             for reading, cost in slot:
-                s, x, y = score - cost, a, b
+                s, x, y = -cost, a, b
                 for c in reading:
                     k = EDGE if c == " " else ord(c) - 97
                     s += lp[x][y][k]
                     x, y = y, k
-                best = after.get((x, y))
-                if best is None or s > best[0]:
-                    after[x, y] = (s, out + reading)
+                new = [(score + s, out + reading) for score, out in kept]
+                if (x, y) in after:
+                    after[x, y] += new
+                    merged.add((x, y))
+                else:
+                    after[x, y] = new
+        for state in merged:
+            after[state] = self._likeliest(after[state])
         return after
 
+    @staticmethod
+    def _likeliest(readings: list[tuple[float, str]]) -> list[tuple[float, str]]:
+        """The ``LIST`` likeliest different readings."""
+        out: dict[str, float] = {}
+        for s, text in sorted(readings, key=lambda r: (-r[0], r[1])):
+            if text not in out:
+                out[text] = s
+                if len(out) == LIST:
+                    break
+        return [(s, text) for text, s in out.items()]
+
     def _read(self, runs: list[tuple[str, int]], apart: bool, keep: bool, found: set[str]) -> None:
-        """Adds the likeliest reading, and those that end before each group of signs at the end."""
+        """Adds the likeliest readings, and those that end before each group of signs at the end."""
         end = len(runs)
         while end and (runs[end - 1][0] in _SIGN_SET or runs[end - 1][0] == " "):
             end -= 1
         signs = [c in _SIGN_SET or m > 1 or c == " " for c, m in runs]
         first = signs.index(True)
-        lp, states, piece, many = self.lp, {(EDGE, EDGE): (0.0, "")}, "", None
+        lp, states, piece, many = self.lp, {(EDGE, EDGE): [(0.0, "")]}, "", None
         for i, (c, m) in enumerate(runs, 1):
             for slot in self._slots(c, m, apart and c == piece, keep, i > end):
                 if many is None and len(slot) > 25 and len(states) > 3:
@@ -229,14 +252,16 @@ class Restorer:
             if c != " ":
                 piece = c
             if i == len(runs) or first < i and end <= i < end + EDGE_GROUPS:
-                best = many.best() if many else max((s + lp[a][b][EDGE], out) for (a, b), (s, out) in states.items())[1]
-                found.add(best)
+                if many:
+                    found.add(many.best())
+                else:
+                    found.update(out for _, out in self._likeliest([(s + lp[a][b][EDGE], out) for (a, b), kept in states.items() for s, out in kept]))
 
     def restore(self, token: str) -> tuple[str, ...]:
         """Words of the likeliest readings of a token.
 
-        Its runs of two equal characters are read once as two, once as one or
-        two; signs at its edges are read as letters, and left out as plain marks.
+        Its runs of equal characters are read as one or two; signs at its edges
+        are read as letters, and left out as plain marks.
         """
         # letters beyond the two next to a choice change no choice: equal cores are decoded once
         apart, i, j = _APART.fullmatch(token) is not None, 0, len(token)
@@ -257,11 +282,9 @@ class Restorer:
         start = 0
         while start < len(runs) and runs[start][0] in _SIGN_SET:
             start += 1
-        double = any(m == 2 for _, m in runs)
         for i in sorted({0, *range(max(0, start - EDGE_GROUPS), start + 1)}):
             if any(c in _SIGN_SET or m > 1 or c == " " for c, m in runs[i:]):
-                for keep in (True, False) if double else (True,):
-                    self._read(runs[i:], apart, keep, found)
+                self._read(runs[i:], apart, False, found)
         return tuple(sorted(found))
 
     def rejoined(self, low: str) -> set[bytes]:
@@ -343,8 +366,13 @@ def disguised(low: str) -> set[str]:
                     if before and not _LETTERS.isdisjoint(before.group(0)):
                         out.add(before.group(0)[::-1] + word.rstrip("*"))
     for m in _APART.finditer(low):
-        if not _LETTERS.isdisjoint(m.group(0)):
-            out.add(m.group(0))
+        token = m.group(0)
+        if not _LETTERS.isdisjoint(token):
+            out.add(token)
+            # the one-letter word before may not belong to it
+            gap = _AFTER_ONE.match(token, 1) if token[0] in "ai" else None
+            if gap and _APART.fullmatch(token, gap.end()):
+                out.add(token[gap.end() :])
     return out
 
 
@@ -412,6 +440,10 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     if share < 1:  # a documented bound on what the classifier is fitted on
         y = y.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     texts_of = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(y, "doc_id").select("text", "toxic"), "toxic-sample")
+    held = texts_of.count()
+    if held > 2 * max_labelled:  # ids held by very many rows: the bound is one of rows
+        part = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 20)) < int(max_labelled / held * (1 << 20))
+        texts_of = stored(texts_of.filter(part), "toxic-sample")
     sums = (
         texts_of.mapInArrow(_sum_features(lp), "feature binary, clean long, toxic long")
         .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("clean") + F.col("toxic") >= MIN_DOCS)

@@ -339,7 +339,8 @@ def test_disguises_are_read(spark, sf):
     r = toxicity.Restorer(model)
     for written, word in [("l0ser", b"loser"), ("tr@sh", b"trash"), ("m0r0n", b"moron"), ("w0rthl3ss", b"worthless"), ("l o s e r", b"loser"), ("s-t-u-p-i-d", b"stupid"), ("$cum", b"scum"), ("cloooown", b"clown")]:
         assert word in r.words(f"The {written.upper()} is here"), written
-    assert toxicity.disguised("plain words, 1999 and rock'n'roll; end") == set()
+    assert toxicity.disguised("plain words, 1999 and rock'n'pop; end") == set()
+    assert toxicity.disguised("rock'n'roll") == {"roll"}  # a doubled letter may be a disguise
 
 
 @pytest.fixture(scope="module")
@@ -372,6 +373,65 @@ def test_disguises_combine(restorer, written, word):
     assert word.encode() in restorer.words(f"The {written.upper()} is here")
 
 
+@pytest.mark.parametrize("before", ["the", "what a"])
+@pytest.mark.parametrize(
+    "word, written",
+    [
+        ("loser", "looser loosser l,o,s,e,r l/o/s/e/r l:o:s:e:r l~o~s~e~r l\u200bo\u200bs\u200be\u200br |0$3r"), ("scum", "sccum scuum"), ("idiot", "idiiot id!ot"),
+        ("trash", "trassh traash"), ("moron", "morron mooron"), ("stupid", "stuupid"), ("clown", "cloown clowwn"),
+    ],
+)
+def test_more_disguises_are_read(restorer, word, written, before):
+    """Doubled letters, signs that are also marks, letters set apart by any separator."""
+    for token in written.split():
+        assert word.encode() in restorer.words(f"{before} {token.upper()} he is"), token
+
+
+@pytest.mark.parametrize("before", ["the ", "what a ", "a ", "i "])
+@pytest.mark.parametrize("written, word", [("s c u m", "scum"), ("i d i o t", "idiot"), ("s t u p i d", "stupid"), ("5 t u p 1 d", "stupid"), ("$ c u m", "scum"), ("t r @ s h", "trash"), ("l o s e r s", "losers")])
+def test_words_set_apart_after_a_one_letter_word(restorer, before, written, word):
+    assert word.encode() in restorer.words(f"{before}{written} he is")
+
+
+def exhaustive(r, runs):
+    """The likeliest readings of a lattice, by trying every path."""
+    paths = [("", 0.0)]
+    for i, (c, m) in enumerate(runs, 1):
+        for slot in r._slots(c, m, False, False, False):
+            paths = [(text + reading, cost + extra) for text, cost in paths for reading, extra in slot]
+    best = {}
+    for text, cost in paths:
+        s = -cost
+        a, b = toxicity.EDGE, toxicity.EDGE
+        for ch in text + " ":
+            k = toxicity.EDGE if ch == " " else ord(ch) - 97
+            s += r.lp[a][b][k]
+            a, b = b, k
+        best[text] = max(best.get(text, -np.inf), s)
+    return sorted(best, key=lambda t: (-best[t], t))[: toxicity.LIST]
+
+
+@pytest.mark.parametrize("token", ["l0s3r", "a1l0", "t11n", "looser", "w0rr", "x(y", "iddio7", "m0r0nn", "b00kk"])
+def test_viterbi_equals_an_exhaustive_decode(restorer, token):
+    runs = restorer._runs(token, False)
+    found = set()
+    restorer._read(runs, False, False, found)
+    assert set(exhaustive(restorer, runs)) <= found
+
+
+def test_labels_of_a_hot_id_stay_bounded(spark):
+    docs = spark.range(3000).select(F.when(F.col("id") < 2500, 1).otherwise(F.col("id")).alias("doc_id"), F.lit("some plain words").alias("text"))
+    labels = docs.select("doc_id").distinct().withColumn("toxic", F.pmod("doc_id", F.lit(2)).cast("int"))
+    kept = []
+    plain = toxicity.fit_logistic
+    try:
+        toxicity.fit_logistic = lambda rows, y, width, **how: (kept.append(len(rows)), plain(rows, y, width, **how))[1]
+        toxicity.fit(docs, labels, max_labelled=600)
+    finally:
+        toxicity.fit_logistic = plain
+    assert 0 < kept[0] <= 1200
+
+
 def test_equal_cores_read_alike(restorer):
     """Letters away from a choice are left out of the decoding without changing it."""
     for token in ["w0rthless", "worthl3ss", "of that$$$", "tr@ shore", "bett3rment", "(xylophone!!", "the l0ser"]:
