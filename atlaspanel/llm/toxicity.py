@@ -62,7 +62,7 @@ _SIGN_SET, _LETTERS = frozenset(READINGS), frozenset("abcdefghijklmnopqrstuvwxyz
 _ANY = _SIGN_SET | _LETTERS
 # Marks of a disguise, cheap to search for; the word around a mark is then taken by hand.
 _SIGN_RUN = re.compile(f"[{_SIGNS}]+")
-_RUN = re.compile(r"([a-z])\1")
+_RUN = re.compile(r"(?<![a-z])[a-z]*?([a-z])\1[a-z]*")
 # Letters and signs set apart: each piece one character, or several equal ones ("*" only sets apart).
 _PIECE = f"a-z{_SIGNS.replace(re.escape('*'), '')}"
 _APART_BY = rf"(?:[^{_PIECE}\w]|_)++"
@@ -162,6 +162,7 @@ class Restorer:
         self.lp = model.tolist()
         self.dense = np.asarray(model)
         self.memory: dict[str, tuple[str, ...]] = {}
+        self.tokens: dict[str, tuple[bytes, ...]] = {}
         # whether two words are likelier joined, by the last two symbols before and the first two after the gap
         lp = self.dense
         joined = lp[:, :26, :26, None] + lp[None, :26, :26, :]
@@ -330,41 +331,46 @@ class Restorer:
             if c in plain:
                 plain = plain.replace(c, " ")
         found = set(plain.encode().translate(_BLANK).split())
+        known = self.tokens
+        if len(known) > 200_000:
+            known.clear()
         for token in disguised(low):
-            found.update(w.encode() for w in self.restore(token))
+            words = known.get(token)
+            if words is None:
+                words = tuple(w.encode() for w in self.restore(token))
+                if len(token) < 40:
+                    known[token] = words
+            found.update(words)
         return found | self.rejoined(low)
 
 
 def disguised(low: str) -> set[str]:
     """Words of a lower-case text that look disguised: signs beside letters (also with either neighbour), runs, letters set apart."""
-    out, n, back = set(), len(low), None
-    for mark, inner in ((_SIGN_RUN, _ANY), (_RUN, _LETTERS)):
-        last = 0
-        for m in mark.finditer(low):
-            i, j = m.span()
-            if i < last:
-                continue
-            if mark is _SIGN_RUN and not (i and low[i - 1] in _LETTERS or j < n and low[j] in _LETTERS):
-                continue
-            while i and low[i - 1] in inner:
-                i -= 1
-            while j < n and low[j] in inner:
-                j += 1
-            last = j
-            out.add(low[i:j])
-            if mark is _SIGN_RUN:
-                # with its neighbours, stars at the edges only setting apart
-                word = low[i:j]
-                if _SIGN_SET.isdisjoint(word.strip("*")):
-                    continue
-                after = _NEXT.match(low, j) if word[-1] != "*" else None
-                if after and not _LETTERS.isdisjoint(after.group(0)):
-                    out.add(word.lstrip("*") + after.group(0))
-                if i and word[0] != "*":
-                    back = low[::-1] if back is None else back
-                    before = _NEXT.match(back, n - i)
-                    if before and not _LETTERS.isdisjoint(before.group(0)):
-                        out.add(before.group(0)[::-1] + word.rstrip("*"))
+    out, n, back, last = {m.group(0) for m in _RUN.finditer(low)}, len(low), None, 0
+    for m in _SIGN_RUN.finditer(low):
+        i, j = m.span()
+        if i < last:
+            continue
+        if not (i and low[i - 1] in _LETTERS or j < n and low[j] in _LETTERS):
+            continue
+        while i and low[i - 1] in _ANY:
+            i -= 1
+        while j < n and low[j] in _ANY:
+            j += 1
+        last = j
+        out.add(low[i:j])
+        # with its neighbours, stars at the edges only setting apart
+        word = low[i:j]
+        if _SIGN_SET.isdisjoint(word.strip("*")):
+            continue
+        after = _NEXT.match(low, j) if word[-1] != "*" else None
+        if after and not _LETTERS.isdisjoint(after.group(0)):
+            out.add(word.lstrip("*") + after.group(0))
+        if i and word[0] != "*":
+            back = low[::-1] if back is None else back
+            before = _NEXT.match(back, n - i)
+            if before and not _LETTERS.isdisjoint(before.group(0)):
+                out.add(before.group(0)[::-1] + word.rstrip("*"))
     for m in _APART.finditer(low):
         token = m.group(0)
         if not _LETTERS.isdisjoint(token):
