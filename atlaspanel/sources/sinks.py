@@ -89,8 +89,8 @@ def versions(spark: SparkSession, layer: str, name: str) -> list[str]:
 def point_to(spark: SparkSession, layer: str, name: str, version: str, keep: int = KEEP) -> str:
     """Switch ``layer.name`` to a version (one catalog step), then drop versions older than the ``keep`` before it."""
     full = f"`{layer}`.`{name}`"
-    there = spark.sql(f"SHOW TABLES IN `{layer}` LIKE '{name}'").collect()
-    if there and not spark.sql(f"SHOW VIEWS IN `{layer}` LIKE '{name}'").collect():
+    named = lambda kind: [r for r in spark.sql(f"SHOW {kind} IN `{layer}` LIKE '{name}'").collect() if not r["isTemporary"]]
+    if named("TABLES") and not named("VIEWS"):
         spark.sql(f"DROP TABLE {full}")  # a plain table of an earlier layout
     spark.sql(f"CREATE OR REPLACE VIEW {full} TBLPROPERTIES ('{VERSION}' = '{version}') AS SELECT * FROM `{layer}`.`{version}`")
     older = [v for v in versions(spark, layer, name) if v < version]

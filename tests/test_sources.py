@@ -174,6 +174,7 @@ def test_a_failed_write_leaves_the_table(spark):
     assert spark.table("t_fail.t").columns == ["id", "w"]
     # a plain table of an earlier layout gives way; a name that begins alike is another table
     spark.range(2).write.saveAsTable("t_fail.old")
+    spark.range(1).createOrReplaceTempView("old")  # a session's view of that name is not the stored one
     sinks.replace_table(spark.range(5), "t_fail", "old")
     sinks.replace_table(spark.range(7), "t_fail", "old_v")
     assert spark.table("t_fail.old").count() == 5 and len(_versions(spark, "t_fail", "old")) == 1
