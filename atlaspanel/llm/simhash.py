@@ -4,14 +4,17 @@ A text's fingerprint takes, bit by bit, the majority over the XXH64 hashes of
 its word shingles. Fingerprints within ``radius`` differing bits are linked;
 groups are the connected components of links.
 
-Two fingerprints within 3 bits agree on at least one of four 16-bit blocks, so
-each block value is a shard: its distinct fingerprints form a BK-tree, whose
-children are keyed by their integer Hamming distance to the parent, and a search
-follows only the edges within the radius of its own distance. A shard with more
-than ``SHARD`` fingerprints is cut into parts; each pair of parts is a task of
-its own, in which one part's tree is sent to the other part's queries. A task
-returns a forest (each fingerprint with the root it is joined to), so the number
-of links stays linear however large a group is.
+Of ``m`` blocks of a fingerprint, two within ``r`` bits agree on at least
+``m - r``, so each value of each choice of ``m - r`` blocks is a shard: its
+distinct fingerprints form a BK-tree, whose children are keyed by their integer
+Hamming distance to the parent, and a search follows only the edges within the
+radius of its own distance. More blocks make more shards and smaller ones; their
+number follows from the counted sizes of the shards (``shards``), so that the
+work stays near linear where the values of four 16-bit blocks are all held by
+many. A shard that still has more than ``SHARD`` fingerprints is cut into parts;
+each pair of parts is a task of its own, in which one part's tree is sent to the
+other part's queries. A task returns a forest (each fingerprint with the root it
+is joined to), so the number of links stays linear however large a group is.
 
 Defined results: null and empty texts have fingerprint zero and are linked like
 any other; equal texts share a fingerprint; a null id is never a group's name
@@ -21,6 +24,9 @@ gives an empty result; very long texts are read whole.
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,10 +38,10 @@ from atlaspanel.llm.common import lower_words, stored, texts
 RADIUS = 3
 SHINGLE = 3
 SEED = 42
-#: Blocks of the fingerprint: one more than the radius, so that one agrees.
-BLOCKS = 4
 #: Fingerprints of a tree.
 SHARD = 1_000
+#: Comparisons in a tree that cost as much as sending a fingerprint to one more shard.
+COMPARED = 10
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -165,12 +171,44 @@ def _edges(pairs):
     return pa.RecordBatch.from_arrays([pa.array([p[0] for p in signed], pa.int64()), pa.array([p[1] for p in signed], pa.int64())], ["u", "v"])
 
 
-def links(prints: DataFrame, radius: int = RADIUS, shard_size: int = SHARD) -> DataFrame:
-    """Forest edges (u, v) over the distinct fingerprints ``prints`` (fp)."""
+def _masks(radius: int, blocks: int) -> list[int]:
+    """Every choice of ``blocks - radius`` of the blocks, as the bits it covers."""
+    cuts = [64 * k // blocks for k in range(blocks + 1)]
+    bits = [(1 << high) - (1 << low) for low, high in zip(cuts, cuts[1:])]
+    return [sum(choice) for choice in combinations(bits, blocks - radius)]
+
+
+def _sharded(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """(fp, shard): a fingerprint once per choice of blocks. Shards whose names collide are one; distances decide there as anywhere."""
+    signed = (m - (1 << 64) if m >> 63 else m for m in _masks(radius, blocks))
+    names = [F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m).cast("long"))) for k, m in enumerate(signed)]
+    return prints.select("fp", F.explode(F.array(*names)).alias("shard"))
+
+
+def shards(prints: DataFrame, radius: int) -> int:
+    """The number of blocks that costs least, by the counted sizes of the shards it makes.
+
+    Sending costs one per row, searching the pairs of a shard over ``COMPARED``;
+    more blocks are tried while they cost less, and as long as sending alone may.
+    """
+    total = prints.count()
+    best, least = radius + 1, None
+    for blocks in range(radius + 1, 65):
+        if least is not None and comb(blocks, radius) * total >= least:
+            break
+        sizes = _sharded(prints, radius, blocks).groupBy("shard").agg(F.count("*").cast("double").alias("n"))
+        sent, pairs = sizes.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+        cost = (sent or 0) + (pairs or 0) / COMPARED
+        if least is not None and cost >= least:
+            break
+        best, least = blocks, cost
+    return best
+
+
+def links(prints: DataFrame, radius: int = RADIUS, shard_size: int = SHARD, blocks: int | None = None) -> DataFrame:
+    """Forest edges (u, v) over the distinct fingerprints ``prints`` (fp); ``blocks`` as counted (``shards``) unless given."""
     spark = prints.sparkSession
-    blocks, width = radius + 1, 64 // (radius + 1)
-    shard = lambda k: F.lit(k << 48) + F.shiftrightunsigned("fp", k * width).bitwiseAND(F.lit((1 << width) - 1))
-    sharded = prints.select("fp", F.explode(F.array(*[shard(k) for k in range(blocks)])).alias("shard"))
+    sharded = _sharded(prints, radius, blocks or shards(prints, radius))
     large = sharded.groupBy("shard").count().filter(F.col("count") > shard_size).select("shard", F.ceil(F.col("count") / shard_size).cast("int").alias("parts"))
     parts = F.coalesce("parts", F.lit(1))
     own = F.pmod(F.xxhash64("fp"), parts).cast("int")

@@ -234,8 +234,8 @@ def test_fingerprints_and_groups(spark, sf, odd_docs, clashing):
         assert simhash.representatives(spark, docs).count() == len(set(root.values()))
 
 
-@pytest.mark.parametrize("shard", [1000, 7])
-def test_links_find_every_group(spark, shard):
+@pytest.mark.parametrize(("shard", "blocks"), [(1000, None), (7, None), (1000, 5), (7, 6), (1000, 7)])
+def test_links_find_every_group(spark, shard, blocks):
     """Chains, dense groups and near misses; with small shards every block value is cut into parts."""
     rng = np.random.default_rng(3)
     prints = set(int(x) for x in rng.integers(0, 1 << 63, 300))
@@ -247,7 +247,7 @@ def test_links_find_every_group(spark, shard):
     want = groups_brute(prints)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     df = spark.createDataFrame([(signed(x),) for x in prints], "fp long")
-    got = {r.node: r.root for r in simhash.components(simhash.links(df, shard_size=shard)).collect()}
+    got = {r.node: r.root for r in simhash.components(simhash.links(df, shard_size=shard, blocks=blocks)).collect()}
     by = collections.defaultdict(set)
     for x in prints:
         by[got.get(signed(x), signed(x))].add(x)
@@ -257,6 +257,23 @@ def test_links_find_every_group(spark, shard):
     assert sorted(map(sorted, by.values())) == sorted(map(sorted, parts.values()))
 
 
+def test_blocks_follow_from_the_counted_shards(spark):
+    """Few values of each 16-bit block held by many prints: more blocks; random prints or all in one place: four are enough."""
+    rng = np.random.default_rng(11)
+    varied = sum(1 << b for b in range(64) if b % 8 in (0, 3, 6))
+    crowded = {int(x) & varied for x in rng.integers(0, 1 << 63, 4000)}
+    free = {int(x) for x in rng.integers(0, 1 << 63, 4000)}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    chosen = []
+    for prints in (crowded, free):
+        df = spark.createDataFrame([(signed(x),) for x in prints], "fp long")
+        chosen.append(simhash.shards(df, 3))
+    assert chosen[0] > 4 and chosen[1] == 4
+    assert simhash.shards(spark.createDataFrame([], "fp long"), 3) == 4
+    masks = simhash._masks(3, 6)
+    assert len(masks) == 20 and all(m.bit_count() >= 30 for m in masks)
+
+
 def test_bk_tree_equals_a_scan():
     rng = np.random.default_rng(5)
     values = [int(x) for x in rng.integers(0, 1 << 16, 400)]
