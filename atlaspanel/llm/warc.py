@@ -112,6 +112,14 @@ def parse(plain: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     return headers, plain[end + 4 : end + 4 + n], end + 4 + n + 4
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with its scheme: a bare path lies on the cluster's default file system, not on each machine's own disk."""
+    if "://" in folder or folder.startswith("file:/"):
+        return folder
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _filesystem(folder: str):
     if folder.startswith("file:/"):
         folder = "/" + folder[6:].lstrip("/")
@@ -189,6 +197,7 @@ def write_archives(
     frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES,
 ) -> DataFrame:
     """Write ``pages`` as bundles in ``folder``; returns the stored index (record_id, page_id, bundle, frame, offset, length)."""
+    folder = _qualified(pages.sparkSession, folder)
     html = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"),
@@ -244,7 +253,13 @@ def read_archives(spark: SparkSession, folder: str, index: DataFrame) -> DataFra
 
     Tasks open the bundles where they lie, frame by frame; no bundle moves.
     """
-    return _dealt(spark, index.select("bundle").distinct()).mapInArrow(_read(folder), RECORDS)
+    return _dealt(spark, index.select("bundle").distinct()).mapInArrow(_read(_qualified(spark, folder)), RECORDS)
+
+
+def verified(records: DataFrame) -> DataFrame:
+    """``records`` as read, an error if one's payload is not what its digest says (a filter, so that no selection prunes it)."""
+    damaged = F.raise_error(F.format_string("damaged payload: %s in %s, frame %d", "record_id", "bundle", "frame")).cast("boolean")
+    return records.filter(F.when(F.col("payload_ok"), True).otherwise(damaged))
 
 
 def _seek(folder: str):
@@ -267,11 +282,11 @@ def fetch_records(spark: SparkSession, folder: str, index: DataFrame, record_ids
     """(record_id, record) of the wanted identifiers, reading and decoding only the frames that hold them."""
     wanted = index.join(record_ids.select("record_id").distinct(), "record_id", "left_semi")
     places = wanted.groupBy("bundle").agg(F.collect_list(F.struct("record_id", "frame", "offset", "length")).alias("places"))  # at most a bundle's records
-    return _dealt(spark, places).mapInArrow(_seek(folder), "record_id string, record binary")
+    return _dealt(spark, places).mapInArrow(_seek(_qualified(spark, folder)), "record_id string, record binary")
 
 
 def archive_pages(spark: SparkSession, pages: DataFrame, folder: str | None = None, **columns) -> DataFrame:
-    """Write ``pages`` as archives and read them back: one row per record."""
+    """Write ``pages`` as archives and read them back: one row per record, an error if a payload came back damaged."""
     folder = folder or scratch_path(spark, "llm-warc")
     index = write_archives(pages, folder, **columns)
-    return read_archives(spark, folder, index)
+    return verified(read_archives(spark, folder, index))

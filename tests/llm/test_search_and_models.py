@@ -333,6 +333,16 @@ def test_files_of_lost_attempts_are_passed_over(spark, tmp_path):
     assert warc.read_archives(spark, str(tmp_path), index).count() == 3
 
 
+def test_a_damaged_payload_is_an_error(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "x" * 50), (2, "u", "y" * 50)], "page_id long, url string, html string")
+    index = warc.write_archives(pages, f"file:{tmp_path}/bundles")
+    records = warc.read_archives(spark, f"{tmp_path}/bundles", index)
+    assert warc.verified(records).select("page_id").count() == 2
+    wrong = records.withColumn("payload_ok", F.when(F.col("page_id") == 1, F.col("payload_ok")).otherwise(F.lit(False)))
+    with pytest.raises(Exception, match="damaged payload: <urn:x-page:2>"):
+        warc.verified(wrong).select("page_id").collect()
+
+
 def test_no_pages(spark):
     assert warc.archive_pages(spark, spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
