@@ -29,6 +29,13 @@ def stored(df: DataFrame, name: str, path: str | None = None, compression: str |
     return spark.read.schema(_nullable(df.schema)).parquet(path)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads, from their file sizes (no job); one of unknown size counts for none."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    return sum(n for n in sizes if n < 1 << 60)
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 

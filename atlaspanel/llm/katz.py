@@ -30,13 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlaspanel.llm.common import lower_words, scratch_path, stored, texts
+from atlaspanel.llm.common import input_bytes, lower_words, scratch_path, stored, texts
 
 #: Counts up to this are discounted.
 K = 5
 #: Tokens of a block, and of a bucket's share of the corpus.
 BLOCK_TOKENS = 1_500_000
 BUCKET_TOKENS = 4_000_000
+#: Bytes of stored documents whose blocks one task reads.
+PART_BYTES = 16 << 20
 #: Tokens of a text's segment.
 SEGMENT_TOKENS = 1_000_000
 
@@ -411,7 +413,9 @@ def score_texts(
     partitioned by kind and bucket.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    corpus = _bucketed(rows.mapInArrow(_blocks(order), BLOCKS), "katz-blocks")
+    # as many parts as the input asks for: a bucketed table's are not cut further when it is read
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(rows) // PART_BYTES), 1)
+    corpus = _bucketed(rows.mapInArrow(_blocks(order), BLOCKS), "katz-blocks", parts)
     size = corpus.select(
         F.aggregate("tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"),
         F.size(F.filter(F.arrays_zip("held_out", "lead"), lambda x: ~x["held_out"] & (x["lead"] == 0))).alias("texts"),
@@ -436,24 +440,26 @@ def score_texts(
         model[level] = {"n_r": [x or 0 for x in m[: K + 1]], "grams": m[K + 1] or 0, "total": m[K + 2] or 0}
         tables.append(t)
 
-    parts = _with_answers(corpus, tables).applyInArrow(_finish(order, buckets, dict(model)), SCORES)
+    scores = _with_answers(corpus, tables).applyInArrow(_finish(order, buckets, dict(model)), SCORES)
     scored = (
-        parts.groupBy("row", "doc_id", "held_out")
+        scores.groupBy("row", "doc_id", "held_out")
         .agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
         .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model[1]["total"]).cast("long").alias("train_tokens"), "base_score", "score")
     )
     return scored, model, tables
 
 
-def _bucketed(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table bucketed by ``block`` in the shared folder: what meets it by block moves, the blocks stay."""
+def _bucketed(df: DataFrame, name: str, parts: int) -> DataFrame:
+    """``df`` as files bucketed by ``block`` in the shared folder: what meets it by block moves, the blocks stay."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     table = f"llm_{path.rsplit('/', 1)[-1].replace('-', '_')}"
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     # binary columns are compressed already
     df.write.bucketBy(parts, "block").option("path", path).option("compression", "uncompressed").format("parquet").saveAsTable(table)
-    return spark.table(table)
+    kept = spark.table(table)
+    # buckets need a catalog entry to be written and resolved; the files are external and stay when it goes
+    spark.sql(f"DROP TABLE {table}")
+    return kept
 
 
 def _with_answers(corpus: DataFrame, tables: list[DataFrame]):

@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from atlaspanel.llm import katz, quality, simhash, topk, toxicity, warc
+from atlaspanel.llm.common import input_bytes
 
 
 def held_out():
@@ -96,6 +97,23 @@ def test_katz_equals_brute_force(spark, sf, monkeypatch, order, block):
     assert sum(len(katz.unpack(r.data)[-1 if order == 1 else 2]) for r in kept.collect()) == model[order]["grams"]
 
 
+def test_katz_parts_follow_the_input_and_no_table_is_left(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    before = [t.name for t in spark.catalog.listTables()]
+    want = collections.Counter(tuple(r) for r in katz.score_texts(spark, docs, held_out())[0].collect())
+    made = []
+    monkeypatch.setattr(katz, "PART_BYTES", 1 + input_bytes(docs) // 40)
+    bucketed = katz._bucketed
+    monkeypatch.setattr(katz, "_bucketed", lambda df, name, parts: made.append(parts) or bucketed(df, name, parts))
+    scored = katz.score_texts(spark, docs, held_out())[0]
+    assert collections.Counter(tuple(r) for r in scored.collect()) == want
+    assert 30 <= made[0] <= 40
+    assert [t.name for t in spark.catalog.listTables()] == before
+    # rows that come from no file: their size is unknown, the cluster's width stands
+    katz.score_texts(spark, spark.createDataFrame([(1, "a b")], "doc_id long, text string"), held_out())
+    assert made[1] == max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+
+
 def test_katz_segments_carry_their_context(spark):
     """Segments of 64 tokens (set in the tasks, which are other processes) score as the whole text does."""
     text = " ".join(f"w{i * i % 37}" for i in range(500))
