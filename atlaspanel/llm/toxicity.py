@@ -44,6 +44,9 @@ MIN_DOCS = 4
 #: Least likelihood-ratio statistic (chi-square with one degree of freedom) of a feature.
 MIN_RATIO = 24.0
 PREFIXES = (4, 5)
+#: Entries that a worker remembers or adds up before it lets go of them (memory only).
+REMEMBERED = 100_000
+FEATURES_HELD = 50_000
 THRESHOLD = 0.7
 
 # What a sign may stand for (fixed values of the channel), each with the cost of reading it so.
@@ -273,9 +276,11 @@ class Restorer:
         core = token[i:j]
         known = self.memory.get(core)
         if known is None:
-            if len(self.memory) > 200_000:
+            if len(self.memory) > REMEMBERED:
                 self.memory.clear()
-            known = self.memory[core] = self._decode(core, apart)
+            known = self._decode(core, apart)
+            if len(core) < 40:
+                self.memory[core] = known
         return tuple(sorted({w for r in known for w in (token[:i] + r + token[j:]).split()}))
 
     def _decode(self, token: str, apart: bool) -> tuple[str, ...]:
@@ -332,7 +337,7 @@ class Restorer:
                 plain = plain.replace(c, " ")
         found = set(plain.encode().translate(_BLANK).split())
         known = self.tokens
-        if len(known) > 200_000:
+        if len(known) > REMEMBERED:
             known.clear()
         for token in disguised(low):
             words = known.get(token)
@@ -391,6 +396,12 @@ def features(found: set[bytes]) -> set[bytes]:
 
 
 def _sum_features(model):
+    def sums(n):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(n), pa.binary()), pa.array([v[0] for v in n.values()], pa.int64()), pa.array([v[1] for v in n.values()], pa.int64())],
+            ["feature", "clean", "toxic"],
+        )
+
     def run(batches):
         restorer = Restorer(model)
         n: dict[bytes, list[int]] = defaultdict(lambda: [0, 0])
@@ -398,10 +409,10 @@ def _sum_features(model):
             for t, y in zip(texts(b.column("text")), b.column("toxic").to_pylist()):
                 for f in features(restorer.words(t)):
                     n[f][y] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(n), pa.binary()), pa.array([v[0] for v in n.values()], pa.int64()), pa.array([v[1] for v in n.values()], pa.int64())],
-            ["feature", "clean", "toxic"],
-        )
+                if len(n) > FEATURES_HELD:  # the shuffle adds the parts up
+                    yield sums(n)
+                    n.clear()
+        yield sums(n)
 
     return run
 
@@ -471,7 +482,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     return {"chars": lp, "weights": {f: float(w[i]) for f, i in known.items() if w[i]}, "bias": float(b)}
 
 
-def _score(shared, text: str, score_name: str):
+def _score(shared, text: str, kept: set[str], score_name: str):
     def run(batches):
         model = shared.value
         restorer, weights, bias = Restorer(model["chars"]), model["weights"], model["bias"]
@@ -486,19 +497,23 @@ def _score(shared, text: str, score_name: str):
                 for k, own, keys in starts:
                     z += sum(own[f] for f in sorted({w[:k] for w in found} & keys))
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-            names = [n for n in b.schema.names if n != text]
+            names = [n for n in b.schema.names if n in kept]
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(scores, pa.float64())], [*names, score_name])
 
     return run
 
 
-def score(spark: SparkSession, docs: DataFrame, model: dict, keys: dict, text_col: str = "text", score_name: str = "score") -> DataFrame:
-    """``keys`` (name -> column; they may hold the text itself) of every document with its score."""
+def score(
+    spark: SparkSession, docs: DataFrame, model: dict, keys: dict, text_col: str = "text", score_name: str = "score", text_key: str | None = None
+) -> DataFrame:
+    """``keys`` (name -> column) of every document with its score. ``text_key``: the key that is the text itself, which is then sent once."""
     kept = docs.select(*[c.alias(n) for n, c in keys.items()])
-    (text,) = fresh(kept, "__text")
-    rows = docs.select(*[c.alias(n) for n, c in keys.items()], F.col(text_col).alias(text))
+    text, rows = text_key, kept
+    if text is None:
+        (text,) = fresh(kept, "__text")
+        rows = docs.select(*[c.alias(n) for n, c in keys.items()], F.col(text_col).alias(text))
     schema = T.StructType([*kept.schema.fields, T.StructField(score_name, T.DoubleType())])
-    return rows.mapInArrow(_score(spark.sparkContext.broadcast(model), text, score_name), schema)
+    return rows.mapInArrow(_score(spark.sparkContext.broadcast(model), text, set(kept.columns), score_name), schema)
 
 
 def training_labels(labels: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -488,6 +489,9 @@ def test_toxicity_odd_texts(spark, odd_docs, no_docs, clashing):
     labels = spark.createDataFrame([(4, 1), (4, 0), (6, 0), (None, 1), (8, None), (99, 1)], "doc_id long, toxic int")
     model = toxicity.fit(clashing, labels)
     got = toxicity.score(spark, clashing, model, {"doc_id": F.col("doc_id")}).collect()
+    held = toxicity.score(spark, clashing, model, {"id": F.col("doc_id"), "body": F.col("text")}, text_key="body").collect()
+    assert collections.Counter((r.id, r.score) for r in held) == collections.Counter(tuple(r) for r in got)
+    assert collections.Counter(r.body for r in held) == collections.Counter(r.text for r in clashing.collect())
     assert len(got) == odd_docs.count() and all(0 <= r.score <= 1 for r in got)
     empty = toxicity.fit(no_docs, labels.limit(0))
     assert toxicity.score(spark, no_docs, empty, {"doc_id": F.col("doc_id")}).count() == 0
@@ -602,3 +606,20 @@ def test_quality_odd_texts(spark, odd_docs, no_docs, clashing):
     assert len(got) == odd_docs.count() and all(r.kept in (True, False) for r in got)
     assert not any(r.kept for r in got if r.n_words < 10)
     assert quality.assess(spark, no_docs).count() == 0
+
+
+def test_features_are_added_up_in_parts(monkeypatch):
+    """Sums that a worker lets go of early are the same in the end."""
+    batch = pa.RecordBatch.from_arrays([pa.array([f"alpha beta w{'xyz'[i % 3]}q" for i in range(30)]), pa.array([i % 2 for i in range(30)], pa.int32())], ["text", "toxic"])
+    lp = np.log(np.full((toxicity.SYMBOLS,) * 3, 1 / toxicity.SYMBOLS))
+    found = []
+    for bound in (50_000, 3):
+        monkeypatch.setattr(toxicity, "FEATURES_HELD", bound)
+        total = collections.Counter()
+        parts = list(toxicity._sum_features(lp)([batch]))
+        for p in parts:
+            for f, clean, toxic in zip(*(c.to_pylist() for c in p.columns)):
+                total[f, 0] += clean
+                total[f, 1] += toxic
+        found.append((len(parts), +total))
+    assert found[0][0] == 1 < found[1][0] and found[0][1] == found[1][1]
