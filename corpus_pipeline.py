@@ -35,7 +35,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     model = toxicity.fit(docs, toxicity.training_labels(labels))
     # a score needs no other row: the documents pass through, and nothing is joined back
     (score,) = fresh(docs, "__score")
-    scored = toxicity.score(spark, docs, model, {c: F.col(c) for c in docs.columns}, score_name=score)
+    scored = toxicity.score(spark, docs, model, {c: F.col(c) for c in docs.columns}, score_name=score, text_key="text")
     return scored.filter(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
