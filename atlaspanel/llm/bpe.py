@@ -9,9 +9,11 @@ carried up in logarithmic time; encoding ends when the root holds no merge.
 Short pieces are encoded together, a row of one matrix each; a long piece has a
 tree of its own, so a text without a blank costs n log n.
 
-Spark deals the rows; a worker cuts a text at ASCII white space, which no piece
-crosses, and encodes equal units once (a bounded memory, for speed only). The
-library's own normaliser and pre-tokeniser cut a unit into pieces.
+Spark deals the rows. A worker cuts stretches of ASCII and Latin letters into
+pieces by one pattern. A unit (what ASCII white space sets apart, which no piece
+crosses) with any other character is cut by the library's own normaliser and
+pre-tokeniser. Equal pieces and units are encoded once (a bounded memory, for
+speed only). The decoded text follows from the ids alone.
 
 Defined results: a null text counts as the empty text (no ids, empty decoded
 text); every row gets its row, repeated rows and ids too; an empty table gives
@@ -28,30 +30,61 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from atlaspanel.llm.common import fresh, texts
 
-#: Units and pieces remembered by one Python worker; beyond it the memory starts anew (speed only).
-MEMORY_UNITS = 300_000
-#: Units longer than this many bytes are not remembered.
+#: Pieces, and units with other characters, remembered by one Python worker (speed only).
+MEMORY_PIECES = 500_000
+#: Longer pieces and units (characters, bytes) are not remembered.
 MEMORY_BYTES = 200
 #: Pieces of at most this many symbols are encoded together.
 TOGETHER = 64
 #: Pieces of one matrix: bounds its memory.
 ROWS = 20_000
 #: Texts that are encoded at once.
-STEP = 100
+STEP = 400
 
 NONE = np.int64(1 << 62)
 _WORKER: dict = {}
 
-# A pre-tokeniser pattern of public vocabularies, and the same for lower-case printable ASCII.
+# A pre-tokeniser pattern of public vocabularies, and the same for lower-case texts without odd characters.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-WORD_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PRINTABLE = re.compile(rb"[!-~]+").fullmatch
+WORD_LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^ \t-\ra-z0-9\u00df-\u00f6\u00f8-\u017f]+")
+BLANKS = re.compile(r"[ \t-\r]+")
+# Beyond ASCII and the Latin letters that stay letters of their own when normalised and lower-cased.
+ODD = re.compile(r"[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]")
+
+
+class Memory:
+    """A bounded map of two halves: when the newer is full, the older is let go of; what is asked for again moves up."""
+
+    def __init__(self, bound: int):
+        self.half, self.new, self.old = bound // 2, {}, {}
+
+    def turn(self) -> None:
+        """Make room, between two steps."""
+        if len(self.new) > self.half:
+            self.old, self.new = self.new, {}
+
+    def missing(self, keys: set) -> list:
+        """Those of ``keys`` that are not known; the others are in ``new`` until the next turn."""
+        new, old, out = self.new, self.old, []
+        for k in keys.difference(new):
+            known = old.get(k)
+            if known is None:
+                out.append(k)
+            else:
+                new[k] = known
+        return out
+
+    def forget(self, keys: list) -> None:
+        for k in keys:
+            if len(k) > MEMORY_BYTES:
+                del self.new[k]
 
 
 class Merges:
@@ -124,48 +157,66 @@ def merge_long(symbols: list[int], merges: Merges) -> list[int]:
 
 
 def merge_together(pieces: list[list[int]], merges: Merges) -> list[np.ndarray]:
-    """Many short pieces: row r of the matrices is the tree and the symbols of piece r."""
-    m, longest = len(pieces), max(map(len, pieces))
-    size = max(2, 1 << (longest - 1).bit_length())
-    length = np.fromiter(map(len, pieces), np.int64, m)
-    sym = np.full((m, size + 1), -1, np.int64)  # the last column: no symbol
-    sym[:, :size][np.arange(size) < length[:, None]] = np.concatenate([np.array(p, np.int64) for p in pieces])
-    at = np.arange(size)
-    after = np.where(at + 1 < length[:, None], at + 1, size)
-    before = np.broadcast_to(np.where(at > 0, at - 1, size), (m, size)).copy()
-    before = np.concatenate([before, np.full((m, 1), size)], 1)  # a place to write to where nothing follows
+    """Many short pieces, encoded together."""
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    flat, counts = merge_rows(np.concatenate([np.array(p, np.int64) for p in pieces]), lengths, merges)
+    ends = np.cumsum(counts).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
 
-    def leaves(rows: np.ndarray, places: np.ndarray) -> np.ndarray:
-        here = np.minimum(places, size - 1)
-        rank = merges.lookup(sym[rows, places], sym[rows, after[rows, here]])
-        return np.where(rank < NONE, rank * size + here, NONE)
+def merge_rows(symbols: np.ndarray, length: np.ndarray, merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces side by side and their lengths -> ids side by side and their numbers.
 
-    every = np.arange(m)
+    Row r of the matrices is the tree and the symbols of piece r.
+    """
+    m, size = len(length), max(2, 1 << (int(length.max()) - 1).bit_length())
+    wide, at = size + 1, np.arange(size)  # the last column: no symbol, and a place to write to where nothing follows
+    held = at < length[:, None]
+    sym = np.full((m, wide), -1, np.int64)
+    sym[:, :size][held] = symbols
     tree = np.full((m, 2 * size), NONE)
-    tree[:, size:] = leaves(np.repeat(every, size), np.tile(at, m)).reshape(m, size)
+    rank = merges.lookup(sym[:, :-1], sym[:, 1:])
+    tree[:, size:] = np.where(rank < NONE, rank * size + at, NONE)
     for k in range(size - 1, 0, -1):
-        tree[:, k] = np.minimum(tree[:, 2 * k], tree[:, 2 * k + 1])
-    rows = np.flatnonzero(tree[:, 1] < NONE)
+        np.minimum(tree[:, 2 * k], tree[:, 2 * k + 1], out=tree[:, k])
+    after = np.where(at + 1 < length[:, None], at + 1, size)
+    after = np.concatenate([after, np.full((m, 1), size)], 1).ravel()
+    before = np.broadcast_to(np.where(at > 0, at - 1, size), (m, size))
+    before = np.concatenate([before, np.full((m, 1), size)], 1).ravel()
+    flat, tree = sym.ravel(), tree.ravel()
+    rows = np.flatnonzero(tree[1 :: 2 * size] < NONE)
+    best = tree[rows * (2 * size) + 1]
     while len(rows):
-        rank, i = np.divmod(tree[rows, 1], size)
-        gone = after[rows, i]
-        sym[rows, i] = merges.into[rank]
-        sym[rows, gone] = -1
-        after[rows, i] = after[rows, gone]
-        before[rows, after[rows, i]] = i
-        left = before[rows, i]
-        tree[rows, size + gone] = NONE
-        tree[rows, size + i] = leaves(rows, i)
+        row, top = rows * wide, rows * (2 * size)
+        rank, i = np.divmod(best, size)
+        here = row + i
+        gone = after[here]
+        beyond = after[row + gone]
+        left = before[here]
+        into = merges.into[rank]
+        flat[here] = into
+        flat[row + gone] = -1
+        after[here] = beyond
+        before[row + beyond] = i
+        # the ranks of the merged symbol with the next one, and of the one before with it
+        two = merges.lookup(np.concatenate([into, flat[row + left]]), np.concatenate([flat[row + beyond], into]))
+        two = np.where(two < NONE, two * size + np.concatenate([i, left]), NONE)
         some = left < size
-        tree[rows[some], size + left[some]] = leaves(rows[some], left[some])
+        leaf = top + size
+        tree[leaf + gone] = NONE
+        tree[leaf + i] = two[: len(rows)]
+        tree[(leaf + left)[some]] = two[len(rows) :][some]
         three = np.stack([i, gone, np.where(some, left, i)]) + size
         while three[0, 0] > 1:
             three >>= 1
-            tree[rows, three] = np.minimum(tree[rows, 2 * three], tree[rows, 2 * three + 1])
-        rows = rows[tree[rows, 1] < NONE]
+            node = top + three
+            child = node + three
+            tree[node] = np.minimum(tree[child], tree[child + 1])
+        best = tree[top + 1]
+        going = best < NONE
+        rows, best = rows[going], best[going]
     left = sym[:, :size] >= 0
-    flat, ends = sym[:, :size][left].astype(np.int32), np.cumsum(left.sum(1)).tolist()
-    return [flat[a:b] for a, b in zip([0, *ends], ends)]
+    return sym[:, :size][left].astype(np.int32), left.sum(1)
 
 
 class Encoder:
@@ -192,17 +243,28 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in added}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.parts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
-        self.mark = os.path.commonprefix(longest_first).encode()  # in every unit that holds a special token
-        # units of printable ASCII can be cut without the library where its steps are the known ones
+        self.mark = os.path.commonprefix(longest_first)  # in every text that holds a special token
+        # texts without odd characters can be cut without the library where its steps are the known ones
         steps = [*((spec.get("normalizer") or {}).get("normalizers") or []), *((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [])]
         known = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None), ("Split", WORD_PATTERN), ("ByteLevel", None)]
         self.simple = [(x["type"], (x.get("pattern") or {}).get("Regex")) for x in steps] == known and bool(self.word_end)
         self.ends = {t[: -len(self.word_end)]: i for t, i in self.vocabulary.items() if t.endswith(self.word_end)} if self.word_end else {}
         self.token = {i: t for t, i in [*self.vocabulary.items(), *self.special.items()]}
+        self.tokens = pa.array([self.token.get(i, "") for i in range(max(self.token, default=-1) + 1)], pa.large_string())
+        if self.simple:
+            # the ids of a byte within a piece and at its end (the byte-level step shows each byte as a character)
+            shown = [self._shown(k) for k in range(256)]
+            self.inner = np.array([self.vocabulary.get(c, -1) for c in shown], np.int64)
+            self.last = np.array([self.ends.get(c, -1) for c in shown], np.int64)
+            self.byte = {c: k for k, c in enumerate(shown)}
         # ids are kept as 32-bit numbers side by side, so that those of a text are joined without a loop
-        self.pieces: dict[str, tuple[bytes, str]] = {}
-        self.unit_ids: dict[bytes, bytes] = {}
-        self.unit_texts: dict[bytes, str] = {}
+        self.memory = Memory(MEMORY_PIECES)
+
+    @staticmethod
+    def _shown(byte: int) -> str:
+        """The byte-level step's character of a byte: itself if visible in Latin-1, else the next one free from U+0100 on."""
+        visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        return chr(byte if byte in visible else 0x100 + byte - sum(v < byte for v in visible))
 
     def symbols(self, piece: str) -> list[int]:
         """A piece's characters as ids; a character that the vocabulary lacks gives none, as in the library."""
@@ -211,78 +273,106 @@ class Encoder:
         ids = [*map(self.vocabulary.get, piece[:-1]), self.ends.get(piece[-1])]
         return [v for v in ids if v is not None] if None in ids else ids
 
+    def plain(self, text: str) -> bool:
+        """Whether ``WORD_LATIN`` cuts the text as the library would."""
+        return not ODD.search(text) and not (self.special and self.mark in text)
+
+    def parted(self, text: str) -> list[str | bytes]:
+        """A text as pieces (text) and as units that are yet to be cut (bytes)."""
+        if not self.word_end or self.library.decoder:  # blanks are part of the pieces, or the decoder may look across units
+            return [text.encode()] * bool(text)
+        if not self.simple:
+            return text.encode().split()
+        if self.plain(text):
+            return WORD_LATIN.findall(text.lower())
+        out, stretch = [], []
+        for u in BLANKS.split(text):
+            if self.plain(u):
+                stretch.append(u)
+            else:
+                out += WORD_LATIN.findall(" ".join(stretch).lower())
+                out.append(u.encode())
+                stretch = []
+        return out + WORD_LATIN.findall(" ".join(stretch).lower())
+
     def cut(self, unit: bytes) -> list[str | int]:
         """A unit as pieces (text) and special tokens (ids)."""
-        marked = self.special and self.mark in unit
-        if self.simple and not marked:
-            if unit.isalpha():  # ASCII letters
-                return [unit.lower().decode()]
-            if _PRINTABLE(unit):
-                return WORD_ASCII.findall(unit.lower().decode())
         text, out = unit.decode(), []
-        parts = self.parts.split(text) if marked else [text]
+        parts = self.parts.split(text) if self.special and self.mark in text else [text]
         for part in parts:
             if part in self.special:
                 out.append(self.special[part])
             elif part:
                 normal = self.library.normalizer.normalize_str(part) if self.library.normalizer else part
-                out += [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)] if self.library.pre_tokenizer else [normal]
+                some = [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)] if self.library.pre_tokenizer else [normal]
+                out += [bytes(map(self.byte.__getitem__, p)).decode() for p in some] if self.simple else some
         return out
 
-    def learn(self, pieces: list[str]) -> None:
-        """Encode the pieces that are not known yet."""
-        if len(self.pieces) > MEMORY_UNITS:
-            self.pieces.clear()
-        groups: dict[int, list[tuple[str, list[int]]]] = {}
-        for p in set(pieces).difference(self.pieces):
-            s = self.symbols(p)
-            if 0 < len(s) <= TOGETHER:  # trees of one height together
-                groups.setdefault((len(s) - 1).bit_length(), []).append((p, s))
-            else:
-                self._learnt(p, np.array(merge_long(s, self.merges), np.int32))
-        for group in groups.values():
+    def learn(self, new: list[str]) -> None:
+        """Encode pieces that are not known yet."""
+        if self.simple:
+            raw = [p.encode() for p in new]
+            lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+            held = np.frombuffer(b"".join(raw), np.uint8)
+            flat, ends = self.inner[held], np.cumsum(lengths)
+            flat[ends - 1] = self.last[held[ends - 1]]
+            if len(flat) and flat.min() < 0:  # a character that the vocabulary lacks gives no id
+                lengths = np.add.reduceat(flat >= 0, ends - lengths, dtype=np.int64)
+                flat = flat[flat >= 0]
+        else:
+            ids = [self.symbols(p) for p in new]
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.array([k for some in ids for k in some], np.int64)
+        known, starts = self.memory.new, np.cumsum(lengths) - lengths
+        for k in np.flatnonzero((lengths == 0) | (lengths > TOGETHER)).tolist():
+            known[new[k]] = np.array(merge_long(flat[starts[k] : starts[k] + lengths[k]].tolist(), self.merges), np.int32).tobytes()
+        short, high = (lengths > 0) & (lengths <= TOGETHER), 0
+        while high <= TOGETHER:  # trees of one height together
+            low, high = high, max(1, 2 * high)
+            group = np.flatnonzero(short & (lengths > low) & (lengths <= high))
             for at in range(0, len(group), ROWS):
                 some = group[at : at + ROWS]
-                for (p, _), ids in zip(some, merge_together([s for _, s in some], self.merges)):
-                    self._learnt(p, ids)
-
-    def _learnt(self, piece: str, ids: np.ndarray) -> None:
-        self.pieces[piece] = ids.tobytes(), self.decode(ids.tolist())
+                size = lengths[some]
+                within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                ids, counts = merge_rows(flat[np.repeat(starts[some], size) + within], size, self.merges)
+                packed, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+                known.update(zip([new[k] for k in some.tolist()], [packed[a:b] for a, b in zip([0, *ends], ends)]))
 
     def decode(self, ids) -> str:
         """The library's text of the ids, special tokens included."""
         tokens = [self.token[i] for i in ids]
         return self.library.decoder.decode(tokens) if self.library.decoder else " ".join(tokens)
 
-    def unit(self, cut: list[str | int]) -> tuple[bytes, str]:
-        """(ids, decoded text) of a unit's pieces and special tokens."""
-        if len(cut) == 1 and cut[0] in self.pieces:
-            return self.pieces[cut[0]]
-        ids = b"".join(np.int32(p).tobytes() if isinstance(p, int) else self.pieces[p][0] for p in cut)
+    def decoded(self, ids: pa.ListArray) -> pa.Array:
+        """The library's texts of lists of ids."""
         if self.library.decoder:  # may look across pieces
-            return ids, self.decode(np.frombuffer(ids, np.int32).tolist())
-        return ids, " ".join(filter(None, (self.token[p] if isinstance(p, int) else self.pieces[p][1] for p in cut)))
+            return pa.array([self.decode(x) for x in ids.to_pylist()], pa.string())
+        tokens = pa.ListArray.from_arrays(ids.offsets, self.tokens.take(ids.values))
+        return pc.binary_join(tokens, pa.scalar(" ", pa.large_string())).cast(pa.string())
+
+    def ids(self, batch: list[str]) -> pa.ListArray:
+        """The ids of each text."""
+        self.memory.turn()
+        parted = [self.parted(t) for t in batch]
+        new = self.memory.missing(set().union(*parted))
+        units = [u for u in new if isinstance(u, bytes)]
+        if units:
+            cuts = [self.cut(u) for u in units]
+            more = {p for some in cuts for p in some if isinstance(p, str)}.difference(new)
+            new = [p for p in new if isinstance(p, str)] + self.memory.missing(more)
+        self.learn(new)
+        known = self.memory.new
+        if units:
+            known.update((u, b"".join(np.int32(p).tobytes() if isinstance(p, int) else known[p] for p in some)) for u, some in zip(units, cuts))
+        packed = [b"".join(map(known.__getitem__, some)) for some in parted]
+        self.memory.forget(new + units)
+        offsets = np.cumsum([0, *(len(x) // 4 for x in packed)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
 
     def encode(self, batch: list[str]) -> tuple[list[bytes], list[str]]:
         """(ids as 32-bit numbers side by side, decoded text) of each text."""
-        if len(self.unit_ids) > MEMORY_UNITS:
-            self.unit_ids.clear()
-            self.unit_texts.clear()
-        cut_at_blanks = self.word_end and not self.library.decoder
-        # without word ends the blanks are part of the pieces, and the library's decoder may look across units
-        all_units = [t.encode().split() if cut_at_blanks else [t.encode()] * bool(t) for t in batch]
-        ids, text = self.unit_ids, self.unit_texts
-        new = list(set().union(*all_units).difference(ids))
-        cuts = [self.cut(u) for u in new]
-        self.learn([p for cut in cuts for p in cut if isinstance(p, str)])
-        for u, cut in zip(new, cuts):
-            ids[u], text[u] = self.unit(cut)
-        out_ids = [b"".join(map(ids.__getitem__, units)) for units in all_units]
-        out_texts = [" ".join(filter(None, map(text.__getitem__, units))) for units in all_units]
-        for u in new:
-            if len(u) > MEMORY_BYTES:
-                del ids[u], text[u]
-        return out_ids, out_texts
+        ids = self.ids(batch)
+        return [np.array(x, np.int32).tobytes() for x in ids.to_pylist()], self.decoded(ids).to_pylist()
 
 
 def _encoder(path: str) -> Encoder:
@@ -298,10 +388,8 @@ def _run(path: str, text_name: str):
             kept = [i for i, n in enumerate(b.schema.names) if n != text_name]
             for at in range(0, b.num_rows, STEP):
                 some = b.slice(at, STEP)
-                ids, decoded = encoder.encode(texts(some.column(text_name)))
-                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)), flat)
-                yield pa.RecordBatch.from_arrays([*[some.column(i) for i in kept], lists, pa.array(decoded, pa.string())], [*[b.schema.names[i] for i in kept], "ids", "decoded"])
+                ids = encoder.ids(texts(some.column(text_name)))
+                yield pa.RecordBatch.from_arrays([*[some.column(i) for i in kept], ids, encoder.decoded(ids)], [*[b.schema.names[i] for i in kept], "ids", "decoded"])
 
     return run
 
