@@ -47,6 +47,8 @@ PREFIXES = (4, 5)
 #: Entries that a worker remembers or adds up before it lets go of them (memory only).
 REMEMBERED = 100_000
 FEATURES_HELD = 50_000
+#: Characters of the texts that are looked at together, one longer text alone.
+TOGETHER = 200_000
 THRESHOLD = 0.7
 
 # What a sign may stand for (fixed values of the channel), each with the cost of reading it so.
@@ -63,8 +65,8 @@ LIST = 3
 _SIGNS = "".join(re.escape(c) for c in READINGS)
 _SIGN_SET, _LETTERS = frozenset(READINGS), frozenset("abcdefghijklmnopqrstuvwxyz")
 _ANY = _SIGN_SET | _LETTERS
-# Marks of a disguise, cheap to search for; the word around a mark is then taken by hand.
-_SIGN_RUN = re.compile(f"[{_SIGNS}]+")
+# Letters and signs side by side, with at least one sign.
+_SIGNED = re.compile(f"(?<![a-z{_SIGNS}])[a-z]*+[{_SIGNS}][a-z{_SIGNS}]*+")
 _RUN = re.compile(r"(?<![a-z])[a-z]*?([a-z])\1[a-z]*")
 # Letters and signs set apart: each piece one character, or several equal ones ("*" only sets apart).
 _PIECE = f"a-z{_SIGNS.replace(re.escape('*'), '')}"
@@ -86,6 +88,14 @@ _CLASS[[0x20, *range(0x09, 0x0E)]] = EDGE
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, *range(0x09, 0x0E), *b".-_*"]] = True
 _GAP_CLASS = np.where(_GAP, EDGE, _CLASS)
+# What a byte of a lower-case text is or may be part of: a letter, a gap, a sign, a piece of letters set apart, what sets them apart.
+_LETTER, _GAPS, _SIGN, _PART, _SETS_APART, _WORD = 1, 2, 4, 8, 16, 32
+_BITS = bytes(
+    _LETTER * (chr(b) in _LETTERS) + _GAPS * bool(_GAP[b]) + _SIGN * (chr(b) in _SIGN_SET) + _PART * (chr(b) in _ANY and b != 42)
+    + _SETS_APART * (b >= 128 or chr(b) not in _ANY or b == 42) + _WORD * (chr(b) in _LETTERS or 48 <= b <= 57)
+    for b in range(128)
+) + bytes([_SETS_APART + _GAPS * bool(_GAP[b]) for b in range(128, 256)])
+_WIDE_SIGNS = [c for c in READINGS if ord(c) > 127]
 
 
 def _char_counts(batches):
@@ -207,6 +217,16 @@ class Restorer:
             return [[(c + c, 0.0), *([] if keep else [(c, RUN_COST)]), *fewer]]
         return [[(c, RUN_COST), (c + c, RUN_COST), *fewer]]
 
+    def _letter(self, states: dict, c: str) -> dict:
+        """The step of a letter as written."""
+        lp, after, k = self.lp, {}, ord(c) - 97
+        for (a, b), kept in states.items():
+            s = lp[a][b][k]
+            new = [(score + s, out + c) for score, out in kept]
+            at = b, k
+            after[at] = self._likeliest(after[at] + new) if at in after else new
+        return after
+
     def _step(self, states: dict, slot: list[tuple[str, float]]) -> dict:
         lp, after, merged = self.lp, {}, set()
         for (a, b), kept in states.items():
@@ -246,7 +266,12 @@ class Restorer:
         first = signs.index(True)
         lp, states, piece, many = self.lp, {(EDGE, EDGE): [(0.0, "")]}, "", None
         for i, (c, m) in enumerate(runs, 1):
-            for slot in self._slots(c, m, apart and c == piece, keep, i > end):
+            if m == 1 and many is None and c in _LETTERS and not (apart and c == piece):
+                states = self._letter(states, c)
+                slots = ()
+            else:
+                slots = self._slots(c, m, apart and c == piece, keep, i > end)
+            for slot in slots:
                 if many is None and len(slot) > 25 and len(states) > 3:
                     many = _Many(self.dense, states)
                 if many is None:
@@ -293,89 +318,160 @@ class Restorer:
                 self._read(runs[i:], apart, False, found)
         return tuple(sorted(found))
 
-    def rejoined(self, low: str) -> set[bytes]:
-        """Words of letters that are likelier joined than parted, by the gap between them (equal separators)."""
-        raw = np.frombuffer(f"  {low}  ".encode(), np.uint8)
-        gap, c = _GAP[raw], _GAP_CLASS[raw]
-        left = np.flatnonzero(gap[2:-2] & ~gap[1:-3]) + 2
-        if not len(left):
-            return set()
-        other = np.flatnonzero(c >= 26)  # no letters: the ends of words
-        change = np.flatnonzero(raw[1:] != raw[:-1]) + 1
-        right = np.append(change, len(raw))[np.searchsorted(change, left, side="right")]  # end of the equal separators
-        fits = (right < len(raw) - 2) & (c[left - 1] < 26)
-        left, right = left[fits], right[fits]
-        fits = c[right] < 26
-        left, right = left[fits], right[fits]
-        fits = self.joins[c[left - 2], c[left - 1], c[right], c[right + 1]]
-        left, right = left[fits], right[fits]
-        begin = other[np.searchsorted(other, left) - 1] + 1
-        end = other[np.searchsorted(other, right)]
-        data, found = raw.tobytes(), set()
-        chain, two, upto = [], b"", -1
-        for b, i, j, e in zip(begin.tolist(), left.tolist(), right.tolist(), end.tolist()):
-            word = data[j:e]
-            if b != upto:  # a new row of joined words: two, three, and all of them
-                found.add(b"".join(chain))
-                chain = [data[b:i]]
-            elif len(chain) > 1:
-                found.add(two + word)
-            two = chain[-1] + word
-            found.add(two)
-            chain.append(word)
-            upto = j
-        found.add(b"".join(chain))
-        found.discard(b"")
-        return found
-
     def words(self, text: str) -> set[bytes]:
         """Distinct words as written and as restored (UTF-8)."""
-        low = text.lower()
-        plain = low
-        for c in _MARKS:
-            if c in plain:
-                plain = plain.replace(c, " ")
-        found = set(plain.encode().translate(_BLANK).split())
+        return self.words_of([text])[0]
+
+    def words_of(self, some: list[str]) -> list[set[bytes]]:
+        """The words of each text; the marks of a disguise are searched for in all texts at once."""
+        lows, out = [t.lower() for t in some], []
+        for plain in lows:
+            for c in _MARKS:
+                if c in plain:
+                    plain = plain.replace(c, " ")
+            out.append(set(plain.encode().translate(_BLANK).split()))
+        raw = [low.encode() for low in lows]
+        starts = np.cumsum([2, *(len(r) + 5 for r in raw)])[:-1]  # two blanks around each, and what is no gap between them
+        data = b"  " + b"  \0  ".join(raw) + b"  "
+        bits = np.frombuffer(data.translate(_BITS), np.uint8)
+        byte = np.frombuffer(data, np.uint8)
+        other = np.flatnonzero((bits & _LETTER) == 0)  # no letters: the ends of words
+        self._rejoin(data, byte, bits, other, starts, out)
+        tokens: list[set[str]] = [set() for _ in some]
+        self._doubled(data, byte, bits, other, starts, out, tokens)
+        signs = _signed_texts(bits, starts)
+        apart = _apart_texts(byte, bits, starts)
+        for k, low in enumerate(lows):
+            wide = not low.isascii() and any(c in low for c in _WIDE_SIGNS)
+            if wide or k in signs:
+                tokens[k] |= _with_signs(low)
+            if wide or k in apart:
+                tokens[k] |= _set_apart(low)
         known = self.tokens
         if len(known) > REMEMBERED:
             known.clear()
-        for token in disguised(low):
-            words = known.get(token)
-            if words is None:
-                words = tuple(w.encode() for w in self.restore(token))
-                if len(token) < 40:
-                    known[token] = words
-            found.update(words)
-        return found | self.rejoined(low)
-
-
-def disguised(low: str) -> set[str]:
-    """Words of a lower-case text that look disguised: signs beside letters (also with either neighbour), runs, letters set apart."""
-    out, n, back, last = {m.group(0) for m in _RUN.finditer(low)}, len(low), None, 0
-    for m in _SIGN_RUN.finditer(low):
-        i, j = m.span()
-        if i < last:
-            continue
-        if not (i and low[i - 1] in _LETTERS or j < n and low[j] in _LETTERS):
+        for found, those in zip(out, tokens):
+            for token in those:
+                words = known.get(token)
+                if words is None:
+                    words = tuple(w.encode() for w in self.restore(token))
+                    if len(token) < 40:
+                        known[token] = words
+                found.update(words)
+        return out
+
+    def _rejoin(self, data: bytes, byte: np.ndarray, bits: np.ndarray, other: np.ndarray, starts: np.ndarray, out: list[set[bytes]]) -> None:
+        """Adds words of letters that are likelier joined than parted, by the gap between them (equal separators)."""
+        gap, letter = (bits & _GAPS) > 0, (bits & _LETTER) > 0
+        left = np.flatnonzero(gap[2:-2] & ~gap[1:-3] & letter[1:-3]) + 2
+        change = np.append(np.flatnonzero(gap[:-1] & (byte[1:] != byte[:-1])) + 1, len(byte))
+        right = change[np.searchsorted(change, left, side="right")]  # end of the equal separators
+        fits = right < len(byte) - 2
+        left, right = left[fits], right[fits]
+        fits = letter[right]
+        left, right = left[fits], right[fits]
+        sort = lambda at: _GAP_CLASS[byte[at]]
+        fits = self.joins[sort(left - 2), sort(left - 1), sort(right), sort(right + 1)]
+        left, right = left[fits], right[fits]
+        if not len(left):
+            return
+        begin = other[np.searchsorted(other, left) - 1] + 1
+        end = other[np.searchsorted(other, right)]
+        # the bytes without these gaps: joined words are slices of them
+        width = right - left
+        gone = np.cumsum(width)
+        kept = np.ones(len(byte), bool)
+        kept[np.arange(gone[-1]) + np.repeat(left - gone + width, width)] = False
+        joined = byte[kept].tobytes()
+        a, b = begin - gone + width, end - gone
+        of = np.searchsorted(starts, left, side="right") - 1
+        # rows of joined words: two, three, and all of them
+        chained = begin[1:] == right[:-1]
+        first, last = np.flatnonzero(np.append(True, ~chained)), np.flatnonzero(np.append(~chained, True))
+        many = last - first > 1
+        first, last = first[many], last[many]
+        three = np.flatnonzero(chained)
+        for x, y, at in ((a, b, of), (a[three], b[three + 1], of[three]), (a[first], b[last], of[first])):
+            words = [joined[i:j] for i, j in zip(x.tolist(), y.tolist())]
+            upto = np.searchsorted(at, np.arange(len(out) + 1)).tolist()
+            for found, i, j in zip(out, upto, upto[1:]):
+                found.update(words[i:j])
+
+    def _doubled(self, data: bytes, byte: np.ndarray, bits: np.ndarray, other: np.ndarray, starts: np.ndarray, out: list[set[bytes]], tokens: list[set[str]]) -> None:
+        """Words with equal letters side by side: of one such pair both readings are words, what has more is to be decoded."""
+        pair = np.flatnonzero((byte[1:] == byte[:-1]) & ((bits[1:] & _LETTER) > 0))
+        if not len(pair):
+            return
+        at = np.searchsorted(other, pair)
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        one = (np.diff(np.append(first, len(pair))) == 1).tolist()
+        pair, at = pair[first], at[first]
+        of = np.searchsorted(starts, pair, side="right") - 1
+        for k, i, p, j, single in zip(of.tolist(), (other[at - 1] + 1).tolist(), pair.tolist(), other[at].tolist(), one):
+            word = data[i:j]
+            if single:  # a list of two readings keeps both
+                found = out[k]
+                found.add(word)
+                found.add(data[i:p] + data[p + 1 : j])
+            else:
+                tokens[k].add(word.decode())
+
+
+def _signed_texts(bits: np.ndarray, starts: np.ndarray) -> set[int]:
+    """Numbers of the texts with an ASCII sign beside a letter."""
+    sign, letter = (bits & _SIGN) > 0, (bits & _LETTER) > 0
+    at = np.flatnonzero(sign[1:-1] & (letter[:-2] | letter[2:])) + 1
+    return set((np.searchsorted(starts, at, side="right") - 1).tolist())
+
+
+def _apart_texts(byte: np.ndarray, bits: np.ndarray, starts: np.ndarray) -> set[int]:
+    """Numbers of the texts that may hold ASCII letters and signs set apart (the pattern decides)."""
+    word = (bits & _WORD) > 0
+    change = byte[1:] != byte[:-1]
+    # runs of an equal piece character without a letter or digit beside them
+    begin = np.flatnonzero(change[:-1] & ~word[:-2] & ((bits[1:-1] & _PART) > 0) & (~word[2:] | ~change[1:])) + 1
+    end = begin + 1
+    longer = np.flatnonzero(~change[begin])
+    if len(longer):
+        ends = np.append(np.flatnonzero(change) + 1, len(byte))
+        end[longer] = ends[np.searchsorted(ends, begin[longer], side="right")]
+    fits = ~word[np.minimum(end, len(word) - 1)]
+    begin, end = begin[fits], end[fits]
+    if len(begin) < 3:
+        return set()
+    # two in a row: nothing but what sets apart is between them
+    held = np.append(0, np.cumsum((bits & _SETS_APART) == 0, dtype=np.int32))
+    next_to = (begin[1:] > end[:-1]) & (held[begin[1:]] == held[end[:-1]])
+    at = begin[:-2][next_to[:-1] & next_to[1:]]
+    return set((np.searchsorted(starts, at, side="right") - 1).tolist())
+
+
+def _with_signs(low: str) -> set[str]:
+    """Words with a sign beside a letter, also with either neighbour."""
+    out, n, back = set(), len(low), None
+    for m in _SIGNED.finditer(low):
+        word = m.group()
+        if _LETTERS.isdisjoint(word):
             continue
-        while i and low[i - 1] in _ANY:
-            i -= 1
-        while j < n and low[j] in _ANY:
-            j += 1
-        last = j
-        out.add(low[i:j])
+        out.add(word)
         # with its neighbours, stars at the edges only setting apart
-        word = low[i:j]
-        if _SIGN_SET.isdisjoint(word.strip("*")):
+        if "*" in word and _SIGN_SET.isdisjoint(word.strip("*")):
             continue
+        i, j = m.span()
         after = _NEXT.match(low, j) if word[-1] != "*" else None
-        if after and not _LETTERS.isdisjoint(after.group(0)):
-            out.add(word.lstrip("*") + after.group(0))
+        if after and not _LETTERS.isdisjoint(after.group()):
+            out.add(word.lstrip("*") + after.group())
         if i and word[0] != "*":
             back = low[::-1] if back is None else back
             before = _NEXT.match(back, n - i)
-            if before and not _LETTERS.isdisjoint(before.group(0)):
-                out.add(before.group(0)[::-1] + word.rstrip("*"))
+            if before and not _LETTERS.isdisjoint(before.group()):
+                out.add(before.group()[::-1] + word.rstrip("*"))
+    return out
+
+
+def _set_apart(low: str) -> set[str]:
+    """Letters and signs set apart."""
+    out = set()
     for m in _APART.finditer(low):
         token = m.group(0)
         if not _LETTERS.isdisjoint(token):
@@ -387,6 +483,24 @@ def disguised(low: str) -> set[str]:
     return out
 
 
+def disguised(low: str) -> set[str]:
+    """Words of a lower-case text that look disguised: signs beside letters (also with either neighbour), runs, letters set apart."""
+    return {m.group(0) for m in _RUN.finditer(low)} | _with_signs(low) | _set_apart(low)
+
+
+def parts_of(some: list[str]):
+    """Texts in parts of about ``TOGETHER`` characters."""
+    part, n = [], 0
+    for t in some:
+        if part and n + len(t) > TOGETHER:
+            yield part
+            part, n = [], 0
+        part.append(t)
+        n += len(t)
+    if part:
+        yield part
+
+
 def features(found: set[bytes]) -> set[bytes]:
     """Words, and their beginnings (written with a trailing hyphen)."""
     out = set(found)
@@ -406,12 +520,14 @@ def _sum_features(model):
         restorer = Restorer(model)
         n: dict[bytes, list[int]] = defaultdict(lambda: [0, 0])
         for b in batches:
-            for t, y in zip(texts(b.column("text")), b.column("toxic").to_pylist()):
-                for f in features(restorer.words(t)):
-                    n[f][y] += 1
-                if len(n) > FEATURES_HELD:  # the shuffle adds the parts up
-                    yield sums(n)
-                    n.clear()
+            labels = iter(b.column("toxic").to_pylist())
+            for part in parts_of(texts(b.column("text"))):
+                for found, y in zip(restorer.words_of(part), labels):
+                    for f in features(found):
+                        n[f][y] += 1
+                    if len(n) > FEATURES_HELD:  # the shuffle adds the parts up
+                        yield sums(n)
+                        n.clear()
         yield sums(n)
 
     return run
@@ -419,9 +535,10 @@ def _sum_features(model):
 
 def _pick_features(model, known):
     def run(batches):
-        restorer = Restorer(model)
+        restorer, names = Restorer(model), set(known)
         for b in batches:
-            rows = [sorted(known[f] for f in features(restorer.words(t)) if f in known) for t in texts(b.column("text"))]
+            found = (w for part in parts_of(texts(b.column("text"))) for w in restorer.words_of(part))
+            rows = [sorted(known[f] for f in features(w) & names) for w in found]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), b.column("toxic")], ["at", "toxic"])
 
     return run
@@ -489,14 +606,16 @@ def _score(shared, text: str, kept: set[str], score_name: str):
         vocab = {f for f in weights if not f.endswith(b"-")}
         starts = [(k, {f[:-1]: weights[f] for f in weights if f.endswith(b"-") and len(f) == k + 1}) for k in PREFIXES]
         starts = [(k, own, set(own)) for k, own in starts if own]
+        longest = max(PREFIXES)
         for b in batches:
             scores = []
-            for t in texts(b.column(text)):
-                found = restorer.words(t)
-                z = bias + sum(weights[f] for f in sorted(found & vocab))
-                for k, own, keys in starts:
-                    z += sum(own[f] for f in sorted({w[:k] for w in found} & keys))
-                scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+            for part in parts_of(texts(b.column(text))):
+                for found in restorer.words_of(part):
+                    z = bias + sum(weights[f] for f in sorted(found & vocab))
+                    begun = {w[:longest] for w in found}
+                    for k, own, keys in starts:
+                        z += sum(own[f] for f in sorted((begun if k == longest else {w[:k] for w in begun}) & keys))
+                    scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
             names = [n for n in b.schema.names if n in kept]
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(scores, pa.float64())], [*names, score_name])
 

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -485,6 +486,53 @@ def test_equal_cores_read_alike(restorer):
         assert set(restorer.restore(token)) == whole, token
 
 
+def words_by_loops(r, text):
+    """Words of one text: marks found by patterns, every marked word decoded, gaps tried one by one."""
+    low = text.lower()
+    found = set(re.split("[\x00-@\\[-`{-\x7f" + toxicity._MARKS + "]+", low)) - {""}
+    for token in toxicity.disguised(low):
+        apart = toxicity._APART.fullmatch(token) is not None
+        found |= {w for reading in r._decode(token, apart) for w in reading.split()}
+    code = lambda c: ord(c) - 97 if "a" <= c <= "z" else toxicity.EDGE if c in " \t\n\v\f\r.-_*" else toxicity.OTHER
+    row, end, padded = [], None, f"  {low}  "
+    for m in re.finditer(r"(?<=[a-z])(([ \t\n\v\f\r.\-_*])\2*)(?=[a-z])", padded):
+        i, j = m.span()
+        if not r.joins[code(padded[i - 2]), code(padded[i - 1]), code(padded[j]), code(padded[j + 1])]:
+            continue
+        left, right = re.search("[a-z]+$", padded[:i]).group(), re.match("[a-z]+", padded[j:]).group()
+        row = row + [right] if end == i - len(left) else [left, right]
+        end = j
+        found |= {"".join(row[-2:]), "".join(row[-3:])}
+        after = re.compile(r"([ \t\n\v\f\r.\-_*])\1*(?=[a-z])").match(padded, j + len(right))
+        k = after and after.end()
+        if not after or not r.joins[code(padded[after.start() - 2]), code(padded[after.start() - 1]), code(padded[k]), code(padded[k + 1])]:
+            found.add("".join(row))
+    return {w.encode() for w in found}
+
+
+def test_texts_looked_at_together_are_those_looked_at_alone(restorer):
+    rng = random.Random(8)
+    some = ["a", "b", "i", "the", "hit", "ee", "lll", "sS", "0", "1", "$", "!!", "*", "**", ".", "..", "-", "_", " ", "  ", "\n", "\0", "\u00e9", "\u20ac", "\u2026", "\u2019", "x y z", "i am", "(", "9"]
+    batch = ["".join(rng.choice(some) for _ in range(rng.randrange(rng.choice([3, 12, 40])))) for _ in range(600)]
+    assert [t for part in toxicity.parts_of(batch) for t in part] == batch
+    for text, found in zip(batch, restorer.words_of(batch)):
+        assert found == words_by_loops(restorer, text), text
+        assert found == restorer.words(text)
+
+
+def test_one_doubled_letter_needs_no_decoding(restorer, monkeypatch):
+    """Of one run of two letters both readings are kept, whatever they score."""
+    for token in ("roll", "aab", "baa", "ee", "xxq"):
+        runs, found = restorer._runs(token, False), set()
+        restorer._read(runs, False, False, found)
+        assert found == set(exhaustive(restorer, runs)) and len(found) == 2
+    asked = []
+    monkeypatch.setattr(toxicity.Restorer, "_decode", lambda self, token, apart: asked.append(token) or ())
+    fresh = toxicity.Restorer(restorer.dense)
+    found = fresh.words("Rock'n'roll, aab \u00fcbell baa")
+    assert asked == [] and {b"roll", b"rol", b"aab", b"ab", b"bell", b"bel", b"baa", b"ba"} <= found
+
+
 def test_toxicity_odd_texts(spark, odd_docs, no_docs, clashing):
     labels = spark.createDataFrame([(4, 1), (4, 0), (6, 0), (None, 1), (8, None), (99, 1)], "doc_id long, toxic int")
     model = toxicity.fit(clashing, labels)
